@@ -11,8 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.operators import labels, summary, training
+from recspark.functions import electrodes
+from recspark.operators import channels, labels, summary, training
 from recspark.plans import standins as S
+from recspark.sources import annotations, headers, pages
 from recspark.session import apply_query_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,3 +136,140 @@ def training_batches(spark, d):
     """M1 + W2 + L3: states 0 and 2, all types, pages of 1000 in key order."""
     return training.training_set(_training_chunks(spark, d), states=(0, 2), batch_size=1000,
                                  key=TRAINING_KEY, payload=("patient_id",))
+
+
+# --- membership ----------------------------------------------------------------------
+
+@query("patients_with_chunks")
+def patients_with_chunks(spark, d):
+    """J4 + A15: patients that have at least one chunk."""
+    return summary.patients_with_chunks(S.patients(spark, d), S.recordings(spark, d))
+
+
+@query("patients_unreviewed")
+def patients_unreviewed(spark, d):
+    """J5 + L4 + H3: patients with chunks not on the reviewed list.
+
+    The reviewed list is the supplier names, whose trailing digits are the ids.
+    """
+    reviewed = S.table(spark, d, "supplier").select(
+        electrodes.trailing_id("s_name").alias("patient_id"))
+    with_chunks = summary.patients_with_chunks(S.patients(spark, d), S.recordings(spark, d))
+    return summary.not_reviewed(with_chunks, reviewed)
+
+
+# --- text sources ----------------------------------------------------------------------
+
+_HEADER_OUT = ("data_file", "patient_id", "dataset_name", "start_ts", "num_samples",
+               "sample_freq", "conversion_factor", "num_channels", "elec_names", "adm_id",
+               "rec_id", "duration_in_sec", "sample_bytes")
+
+
+@query("parse_headers")
+def parse_headers(spark, d):
+    """S3 + Q1 + H9 + H10: headers rendered from orders, parsed; good rows."""
+    good, _ = headers.parse_headers(S.header_texts(spark, d))
+    return good.select(*_HEADER_OUT, F.size("electrodes").alias("n_electrodes"),
+                       F.col("extra")["site"].alias("site"))
+
+
+@query("header_rejects")
+def header_rejects(spark, d):
+    """S3 + Q1: rejected headers with every reason."""
+    _, bad = headers.parse_headers(S.header_texts(spark, d))
+    return bad.select("path", F.array_join("reasons", ";").alias("reasons"))
+
+
+@query("parse_annotations")
+def parse_annotations(spark, d):
+    """S4 + H4: annotation lines rendered from events, parsed; good rows."""
+    good, _ = annotations.parse_annotation_lines(S.annotation_lines(spark, d))
+    return good
+
+
+@query("annotation_rejects")
+def annotation_rejects(spark, d):
+    """Skipped annotation lines with the reason."""
+    _, bad = annotations.parse_annotation_lines(S.annotation_lines(spark, d))
+    return bad.select("path", "line_no", F.array_join("reasons", ";").alias("reasons"))
+
+
+# Names a listing page links to that are not patient listings (fixed list).
+NON_LISTING_ANCHORS = ("The", "the", "and", "of", "to", "a", "in")
+
+
+@query("page_links")
+def page_links(spark, d):
+    """Anchor texts of every page, minus the fixed non-listing names."""
+    return pages.listing_links(S.table(spark, d, "pages"), must_contain=None,
+                               exclude=NON_LISTING_ANCHORS)
+
+
+@query("page_text")
+def page_text(spark, d):
+    """Text of the first heading of every page (pages here carry no <pre>)."""
+    return pages.first_tag_text(S.table(spark, d, "pages"), tag="h1")
+
+
+@query("resolve_patient_dirs")
+def resolve_patient_dirs(spark, d):
+    """Listing FR_<supplier> -> first existing of pat_<n>02, pat_<n>03.
+
+    Existing directories are pat_<customer> for customers with a non-negative balance.
+    """
+    listings = S.table(spark, d, "supplier").select(
+        F.concat(F.lit("FR_"), F.col("s_suppkey").cast("string")).alias("listing"))
+    existing = (S.table(spark, d, "customer").where(F.col("c_acctbal") >= 0)
+                .select(F.concat(F.lit("pat_"), F.col("c_custkey").cast("string"))
+                        .alias("dir_name")))
+    return pages.resolve_listing_dirs(listings, existing)
+
+
+# --- electrodes ---------------------------------------------------------------------------
+
+def _electrode_array():
+    return F.array(*[F.lit(x) for x in S.STANDIN_ELECTRODES])
+
+
+@query("electrode_types")
+def electrode_types(spark, d):
+    """H2: type code of a name per dataset; parts get a name and a dataset."""
+    p = S.table(spark, d, "part")
+    n = len(S.STANDIN_ELECTRODES)
+    return p.select(
+        "p_partkey",
+        F.element_at(_electrode_array(), (F.col("p_partkey") % n + 1).cast("int"))
+        .alias("electrode"),
+        F.when(F.col("p_size") % 2 == 0, F.lit("inv")).otherwise(F.lit("surf"))
+        .alias("dataset_name")
+    ).withColumn("data_type", electrodes.electrode_type("electrode", "dataset_name"))
+
+
+def _recording_electrodes(spark, d):
+    """Orders with a header-style name list: ``3 + k%5`` names from position ``k%12``,
+    in Python-list notation for every third order; dataset by customer nation parity."""
+    o = S.table(spark, d, "orders").join(
+        S.table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"),
+                                             "c_nationkey"), "o_custkey", "left")
+    k = F.col("o_orderkey")
+    n = len(S.STANDIN_ELECTRODES)
+    names = F.slice(_electrode_array(), (k % n + 1).cast("int"), (k % 5 + 3).cast("int"))
+    pylist = F.concat(F.lit("['"), F.array_join(names, "', '"), F.lit("']"))
+    plain = F.concat(F.lit("["), F.array_join(names, ","), F.lit("]"))
+    text = F.when(k % 3 == 0, pylist).otherwise(plain)
+    return o.select(
+        k.alias("recording_id"),
+        electrodes.parse_electrode_list(text).alias("electrodes"),
+        F.when(F.col("c_nationkey") % 2 == 0, F.lit("inv")).otherwise(F.lit("surf"))
+        .alias("dataset_name"))
+
+
+@query("channel_map")
+def channel_map(spark, d):
+    """J6 + H1 + H2: lineitem channel (line - 1) paired with its recording's name."""
+    ch = S.table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("recording_id"),
+        (F.col("l_linenumber") - 1).cast("int").alias("channel_idx"), "l_partkey")
+    out = channels.attach_electrodes(ch, _recording_electrodes(spark, d))
+    return out.select("recording_id", "channel_idx", "l_partkey", "electrode", "dataset_name",
+                      "data_type", "missing_name")

@@ -108,3 +108,124 @@ sel AS (SELECT *, row_number() OVER (ORDER BY {TRAINING_ORDER}) - 1 AS pos
 SELECT CAST(pos // 1000 AS BIGINT) AS batch_id, CAST(pos % 1000 AS INTEGER) AS pos_in_batch,
        recording_id, chunk_idx, channel_idx, data, seizure_state, data_type, patient_id
 FROM sel"""
+
+# --- membership --------------------------------------------------------------------------
+
+SQL["patients_with_chunks"] = """
+SELECT c_custkey AS patient_id FROM customer
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)"""
+
+SQL["patients_unreviewed"] = r"""
+SELECT c_custkey AS patient_id FROM customer
+WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)
+  AND NOT EXISTS (SELECT 1 FROM supplier
+                  WHERE TRY_CAST(NULLIF(regexp_extract(s_name, '(\d+)$', 1), '') AS BIGINT)
+                        = c_custkey)"""
+
+# --- text sources (expected parse computed from the columns) ---------------------------
+
+_HEAD_PATH = ("'/data/inv/pat_' || o_custkey || '/adm_' || (o_custkey * 10 + 1) || '/rec_' "
+              "|| o_orderkey || '/' || o_orderkey")
+
+SQL["parse_headers"] = f"""
+SELECT {_HEAD_PATH} || '.data' AS data_file,
+       CAST(o_custkey AS INTEGER) AS patient_id, 'inv' AS dataset_name,
+       o_orderdate AS start_ts,
+       CAST(floor(o_totalprice * 10) AS BIGINT) AS num_samples,
+       CASE o_orderkey % 3 WHEN 0 THEN 1024 WHEN 1 THEN 512 ELSE 256 END AS sample_freq,
+       CASE WHEN o_orderkey % 19 = 4 THEN NULL ELSE o_totalprice / 1e6 END AS conversion_factor,
+       CAST(o_orderkey % 90 + 3 AS INTEGER) AS num_channels,
+       'E' || o_orderkey || ',ECG' AS elec_names,
+       CAST(o_custkey * 10 + 1 AS INTEGER) AS adm_id,
+       o_orderkey AS rec_id, 3600 AS duration_in_sec, 2 AS sample_bytes,
+       2 AS n_electrodes, o_orderstatus AS site
+FROM orders
+WHERE NOT (o_orderkey % 13 = 6 OR o_orderkey % 17 = 2 OR o_orderkey % 23 = 7
+           OR o_orderkey % 7 = 3 OR o_orderkey % 11 = 5)"""
+
+SQL["header_rejects"] = f"""
+SELECT {_HEAD_PATH} || '.head' AS path,
+       concat_ws(';',
+         CASE WHEN o_orderkey % 17 = 2 THEN 'line 8: not key=value' END,
+         CASE WHEN o_orderkey % 23 = 7 THEN 'line 12: not key=value' END,
+         CASE WHEN o_orderkey % 7 = 3 THEN 'missing num_channels' END,
+         CASE WHEN o_orderkey % 17 = 2 THEN 'missing rec_id' END,
+         CASE WHEN o_orderkey % 13 = 6 THEN 'bad start_ts' END,
+         CASE WHEN o_orderkey % 11 = 5 AND o_orderkey % 7 <> 3
+              THEN 'bad int num_channels' END) AS reasons
+FROM orders
+WHERE o_orderkey % 13 = 6 OR o_orderkey % 17 = 2 OR o_orderkey % 23 = 7
+   OR o_orderkey % 7 = 3 OR o_orderkey % 11 = 5"""
+
+_OFFSET_TS = "ts + to_microseconds(CAST(round(round(value * 60, 6) * 1000000) AS BIGINT))"
+
+SQL["parse_annotations"] = f"""
+SELECT CAST(user_id AS INTEGER) AS patient_id,
+       CASE WHEN event_id % 7 = 2 THEN date_trunc('second', ts) ELSE ts END AS onset,
+       CASE WHEN event_id % 7 = 2 THEN date_trunc('second', {_OFFSET_TS})
+            ELSE {_OFFSET_TS} END AS "offset",
+       event_id * 256 AS onset_sample, event_id * 256 + user_id AS offset_sample
+FROM events
+WHERE event_id % 10 NOT IN (0, 5) AND event_id % 13 <> 1 AND event_id % 17 <> 3"""
+
+SQL["annotation_rejects"] = """
+SELECT '/data/inv/pat_' || user_id || '/seizure_list' AS path,
+       CAST(event_id + 1 AS INTEGER) AS line_no,
+       CASE WHEN event_id % 13 = 1 THEN 'expected 6 fields, got 5' ELSE 'bad onset' END
+         AS reasons
+FROM events
+WHERE event_id % 10 NOT IN (0, 5) AND (event_id % 13 = 1 OR event_id % 17 = 3)"""
+
+SQL["page_links"] = """
+SELECT page_id, CAST(pos AS INTEGER) AS link_pos, anchor FROM (
+  SELECT page_id, unnest(range(0, len(a))) AS pos, unnest(a) AS anchor
+  FROM (SELECT page_id, regexp_extract_all(html, '<a[^>]*>([^<]*)</a>', 1) AS a FROM pages))
+WHERE anchor NOT IN ('The', 'the', 'and', 'of', 'to', 'a', 'in')"""
+
+SQL["page_text"] = """
+SELECT page_id, regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS text FROM pages"""
+
+SQL["resolve_patient_dirs"] = """
+WITH l AS (SELECT 'FR_' || s_suppkey AS listing, s_suppkey AS n FROM supplier),
+c AS (SELECT listing, p AS priority, 'pat_' || n || sfx AS dir_name
+      FROM l, (VALUES (1, '02'), (2, '03')) v(p, sfx)),
+e AS (SELECT DISTINCT 'pat_' || c_custkey AS dir_name FROM customer WHERE c_acctbal >= 0),
+best AS (SELECT listing, arg_min(c.dir_name, priority) AS dir_name,
+                min(priority) AS priority
+         FROM c JOIN e ON c.dir_name = e.dir_name GROUP BY listing)
+SELECT l.listing, best.dir_name, best.priority FROM l LEFT JOIN best ON l.listing = best.listing"""
+
+# --- electrodes -----------------------------------------------------------------------------
+
+_NAMES = "['GA1', 'GA2', 'ECG', 'FP', 'FP1', 'T', 'HR3', 'EKG', 'EMG', 'TLA4', 'PO', 'C']"
+_SURFACE = ("('N', 'FP', 'AF', 'F', 'FT', 'FC', 'A', 'T', 'C', 'TP', 'CP', 'P', 'PO', 'O', "
+            "'I', 'EMG', 'EOG', 'PHO')")
+
+
+def _type_sql(e: str, d: str) -> str:
+    return (f"CAST(CASE WHEN {e} = 'ECG' THEN 1 WHEN {e} = 'EKG' THEN 2 "
+            f"WHEN {d} = 'inv' AND {e} IN {_SURFACE} THEN 3 WHEN {d} = 'inv' THEN 0 "
+            f"WHEN {d} = 'surf' THEN 3 END AS SMALLINT)")
+
+
+SQL["electrode_types"] = f"""
+SELECT p_partkey, electrode, dataset_name, {_type_sql('electrode', 'dataset_name')} AS data_type
+FROM (SELECT p_partkey, {_NAMES}[p_partkey % 12 + 1] AS electrode,
+             CASE WHEN p_size % 2 = 0 THEN 'inv' ELSE 'surf' END AS dataset_name
+      FROM part)"""
+
+SQL["channel_map"] = f"""
+WITH r AS (
+  SELECT o_orderkey AS recording_id,
+         list_slice({_NAMES}, o_orderkey % 12 + 1, o_orderkey % 12 + o_orderkey % 5 + 3) AS names,
+         CASE WHEN c_nationkey % 2 = 0 THEN 'inv' ELSE 'surf' END AS dataset_name
+  FROM orders LEFT JOIN customer ON c_custkey = o_custkey),
+ch AS (SELECT l_orderkey AS recording_id, CAST(l_linenumber - 1 AS INTEGER) AS channel_idx,
+              l_partkey FROM lineitem),
+j AS (SELECT ch.recording_id, ch.channel_idx, ch.l_partkey,
+             CASE WHEN ch.channel_idx < len(r.names) THEN r.names[ch.channel_idx + 1] END
+               AS electrode, r.dataset_name
+      FROM ch LEFT JOIN r ON ch.recording_id = r.recording_id)
+SELECT recording_id, channel_idx, l_partkey, electrode, dataset_name,
+       {_type_sql('electrode', 'dataset_name')} AS data_type, electrode IS NULL AS missing_name
+FROM j"""

@@ -97,3 +97,96 @@ def timed_chunks(spark, d) -> DataFrame:
             .select("event_id", F.col("user_id").alias("patient_id"),
                     F.col("ts").alias("chunk_start_ts"),
                     add_seconds("ts", 1).alias("chunk_end_ts")))
+
+
+# --- synthesised text sources -------------------------------------------------------
+#
+# Header files and annotation lists are rendered from driver rows, with faults
+# injected by key modulus so that every reject rule fires somewhere. The oracle
+# SQL derives the expected parse directly from the same columns.
+
+def _ts_text(c, whole_seconds=None):
+    full = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if whole_seconds is None:
+        return full
+    return F.when(whole_seconds, F.date_format(c, "yyyy-MM-dd HH:mm:ss")).otherwise(full)
+
+
+def header_texts(spark, d) -> DataFrame:
+    """One header per order: ``(path, text)``.
+
+    Faults by ``k = o_orderkey``: k%13=6 month 96 in start_ts; k%17=2 a second
+    ``=`` on the rec_id line; k%19=4 conversion_factor ``n/a`` (NULL, kept);
+    k%23=7 a blank line; k%7=3 no num_channels line; k%11=5 num_channels
+    ``ninety-three``; k%5=1 a trailing ``#`` comment line.
+    """
+    o = table(spark, d, "orders")
+    k = F.col("o_orderkey")
+    start = F.when(k % 13 == 6, F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-96-"),
+                                         F.date_format("o_orderdate", "dd HH:mm:ss"))
+                   ).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
+    freq = F.when(k % 3 == 0, 1024).when(k % 3 == 1, 512).otherwise(256)
+    conv = F.when(k % 19 == 4, F.lit("n/a")).otherwise(
+        (F.col("o_totalprice") / 1e6).cast("string"))
+    rec = F.when(k % 17 == 2, F.concat(k.cast("string"), F.lit("="), k.cast("string"))
+                 ).otherwise(k.cast("string"))
+    nch = F.when(k % 11 == 5, F.lit("ninety-three")).otherwise((k % 90 + 3).cast("string"))
+    lines = F.array_compact(F.array(
+        F.concat(F.lit("start_ts="), start),
+        F.concat(F.lit("num_samples="), F.floor(F.col("o_totalprice") * 10)
+                 .cast("string")),
+        F.concat(F.lit("sample_freq="), freq.cast("string")),
+        F.concat(F.lit("conversion_factor="), conv),
+        F.concat(F.lit("elec_names=[E"), k.cast("string"), F.lit(",ECG]")),
+        F.concat(F.lit("pat_id="), F.col("o_custkey").cast("string")),
+        F.concat(F.lit("adm_id="), (F.col("o_custkey") * 10 + 1).cast("string")),
+        F.concat(F.lit("rec_id="), rec),
+        F.lit("duration_in_sec=3600"),
+        F.lit("sample_bytes=2"),
+        F.concat(F.lit("site="), F.col("o_orderstatus")),
+        F.when(k % 23 == 7, F.lit("")),
+        F.when(k % 7 != 3, F.concat(F.lit("num_channels="), nch)),
+        F.when(k % 5 == 1, F.lit("#checked=yes"))))
+    path = F.concat(F.lit("/data/inv/pat_"), F.col("o_custkey").cast("string"),
+                    F.lit("/adm_"), (F.col("o_custkey") * 10 + 1).cast("string"),
+                    F.lit("/rec_"), k.cast("string"), F.lit("/"), k.cast("string"),
+                    F.lit(".head"))
+    return o.select(path.alias("path"),
+                    F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias("text"))
+
+
+def annotation_lines(spark, d) -> DataFrame:
+    """One annotation line per event: ``(path, line_no, line)``.
+
+    ``e = event_id``: e%10=0 a comment, e%10=5 a blank line, e%7=2 whole-second
+    stamps, e%5=3 tabs and e%5=4 double spaces between fields, e%13=1 the last
+    field missing, e%17=3 month 96 in the onset.
+    """
+    ev = table(spark, d, "events")
+    e = F.col("event_id")
+    off = add_seconds("ts", F.round(F.col("value") * 60, 6))
+    whole = e % 7 == 2
+    onset = F.when(e % 17 == 3, F.concat(F.date_format("ts", "yyyy"), F.lit("-96-"),
+                                         F.substring(_ts_text("ts", whole), 9, 100))
+                   ).otherwise(_ts_text("ts", whole))
+    sep = F.when(e % 5 == 3, F.lit("\t")).when(e % 5 == 4, F.lit("  ")).otherwise(F.lit(" "))
+    on_s = (e * 256).cast("string")
+    off_s = (e * 256 + F.col("user_id")).cast("string")
+    fields = F.when(e % 13 == 1, F.array(onset, _ts_text(off, whole), on_s)).otherwise(
+        F.array(onset, _ts_text(off, whole), on_s, off_s))
+    line = (F.when(e % 10 == 0, F.concat(F.lit("# note "), e.cast("string")))
+            .when(e % 10 == 5, F.lit(""))
+            .otherwise(F.concat_ws("", *[F.concat(F.element_at(fields, i), sep) if i < 3 else
+                                         F.element_at(fields, i) for i in (1, 2, 3)],
+                                   F.when(F.size(fields) == 4,
+                                          F.concat(sep, F.element_at(fields, 4))))))
+    path = F.concat(F.lit("/data/inv/pat_"), F.col("user_id").cast("string"),
+                    F.lit("/seizure_list"))
+    return ev.select(path.alias("path"), (e + 1).cast("int").alias("line_no"),
+                     line.alias("line"))
+
+
+# Electrode names used to label stand-in channels (a mix of iEEG, surface and
+# heart channels; FP1 stays iEEG in an inv dataset because names match whole).
+STANDIN_ELECTRODES = ("GA1", "GA2", "ECG", "FP", "FP1", "T", "HR3", "EKG", "EMG", "TLA4",
+                      "PO", "C")

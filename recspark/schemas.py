@@ -43,7 +43,7 @@ PRE_SEIZURE_SECONDS = 3600
 HEADER_INT_KEYS = ("num_samples", "sample_freq", "num_channels", "adm_id",
                    "rec_id", "duration_in_sec")
 HEADER_OPTIONAL_KEYS = ("conversion_factor", "sample_bytes")
-HEADER_TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]"
+HEADER_TS_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
 
 # After this many failed recordings of one patient the next one aborts the load.
 MAX_BAD_RECORDINGS = 6
