@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.functions import electrodes
-from recspark.operators import channels, labels, summary, training
+from recspark.functions.timefmt import add_seconds, epoch_seconds
+from recspark.operators import (channels, labels, qc, quality, store, summary, timeline,
+                                training)
 from recspark.plans import standins as S
 from recspark.sources import annotations, headers, pages
-from recspark.session import apply_query_conf
+from recspark.session import apply_query_conf, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -33,6 +35,13 @@ def query(name: str):
     return wrap
 
 
+def run_sql(spark: SparkSession, text: str, views: dict[str, DataFrame]) -> DataFrame:
+    """Run SQL text over the given frames registered as temp views."""
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return spark.sql(text)
+
+
 def _counts_with_patient(spark, d) -> DataFrame:
     """Chunk counts per (recording, type, state) with the patient attached.
 
@@ -273,3 +282,275 @@ def channel_map(spark, d):
     out = channels.attach_electrodes(ch, _recording_electrodes(spark, d))
     return out.select("recording_id", "channel_idx", "l_partkey", "electrode", "dataset_name",
                       "data_type", "missing_name")
+
+
+# --- vector QC ------------------------------------------------------------------------------
+
+@query("vector_stats")
+def vector_stats(spark, d):
+    """A11 + H7: per-vector length, min, max, mean, population std."""
+    return qc.vector_stats(S.vectors(spark, d)).select(
+        "vec_id", "patient_id", "n_values", "vmin", "vmax", "vmean", "vstd")
+
+
+@query("payload_size_range")
+def payload_size_range(spark, d):
+    """min/max payload bytes per patient."""
+    return qc.payload_size_range(S.sized_vectors(spark, d))
+
+
+@query("vector_size_stats")
+def vector_size_stats(spark, d):
+    """A10: describe() of payload bytes."""
+    return qc.describe_sizes(S.sized_vectors(spark, d))
+
+
+@query("nan_inf")
+def nan_inf(spark, d):
+    """NaN / inf counts per patient."""
+    return qc.nan_inf_counts(S.faulty_vectors(spark, d), by="patient_id")
+
+
+@query("flatlines")
+def flatlines(spark, d):
+    """Flat rows and the spread of row std."""
+    return qc.flatlines(S.faulty_vectors(spark, d, with_nan=False))
+
+
+@query("amplitude_histogram")
+def amplitude_histogram(spark, d):
+    """50-bin histogram of all values."""
+    return qc.amplitude_histogram(S.vectors(spark, d))
+
+
+@query("multichannel")
+def multichannel(spark, d):
+    """Q7: all channels of one (recording, chunk) together, in channel order."""
+    g = qc.same_instant_channels(S.chunk_rows(spark, d), fields=("data",))
+    return g.select(
+        "recording_id", "chunk_idx", F.size("channels").cast("bigint").alias("n_channels"),
+        F.array_join(F.transform("channels", lambda c: c["channel_idx"].cast("string")), ",")
+        .alias("channel_list"),
+        F.round(F.aggregate("channels", F.lit(0.0), lambda a, c: a + c["data"]), 2)
+        .alias("data_sum"))
+
+
+# --- time axis ------------------------------------------------------------------------------
+
+@query("unit_norm")
+def unit_norm(spark, d):
+    """Event values as channels of an hour, scaled to unit L2 norm."""
+    ev = S.table(spark, d, "events").select(
+        "event_id", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("instant"), "value")
+    out = timeline.unit_norm(ev, ["instant"], "value")
+    return out.select("event_id", "instant", F.round("value_norm", 9).alias("value_norm"))
+
+
+@query("decimate_short")
+def decimate_short(spark, d):
+    """H5 (SQL form): per-user value series, taps 1/4 1/2 1/4, keep every 4th."""
+    ev = S.table(spark, d, "events").select("user_id", "ts", "event_id", "value")
+    out = timeline.decimate_series(ev, ["user_id"], ["ts", "event_id"], "value",
+                                   taps=(0.25, 0.5, 0.25), q=4)
+    return out.select("user_id", "j", F.round("y", 9).alias("y"))
+
+
+@query("tumbling_chunks")
+def tumbling_chunks(spark, d):
+    """Each user's event span cut into whole hours, tail dropped."""
+    spans = S.table(spark, d, "events").groupBy("user_id").agg(
+        F.min("ts").alias("start_ts"),
+        (epoch_seconds(F.max("ts")) - epoch_seconds(F.min("ts"))).alias("span_sec"))
+    return timeline.tumbling_chunks(spans, "start_ts", "span_sec", 3600, keys=("user_id",))
+
+
+@query("recording_timeline")
+def recording_timeline(spark, d):
+    """Recordings of a patient end to end: order, elapsed time, gaps."""
+    return timeline.recording_timeline(S.recordings(spark, d))
+
+
+@query("recordings_ordered")
+def recordings_ordered(spark, d):
+    """S8 + L1: recordings of each patient in start order."""
+    r = S.recordings(spark, d).select("patient_id", "recording_id", "start_ts")
+    return timeline.ordered_within(r, ["patient_id"], ["start_ts", "recording_id"])
+
+
+@query("annotations_ordered")
+def annotations_ordered(spark, d):
+    """S7 + L1: annotations of each patient in onset order."""
+    a = S.annotations(spark, d)
+    return timeline.ordered_within(a, ["patient_id"], ["onset", "offset"])
+
+
+@query("first_recordings")
+def first_recordings(spark, d):
+    """P7 + W3: the first two recordings of each patient."""
+    r = S.recordings(spark, d).select("patient_id", "recording_id", "start_ts")
+    return timeline.first_per_group(r, ["patient_id"], ["start_ts", "recording_id"], 2)
+
+
+# --- integrity --------------------------------------------------------------------------------
+
+@query("pk_duplicates")
+def pk_duplicates(spark, d):
+    """Q2: patient ids taken twice once suppliers are loaded as patients."""
+    pats = S.patients(spark, d).select("patient_id").unionByName(
+        S.table(spark, d, "supplier").select(F.col("s_suppkey").alias("patient_id")))
+    return quality.duplicate_keys(pats, "patient_id")
+
+
+@query("fk_orphans")
+def fk_orphans(spark, d):
+    """Q3: recordings whose patient is not registered (registered = balance >= 0)."""
+    registered = S.table(spark, d, "customer").where(F.col("c_acctbal") >= 0)
+    return quality.orphans(S.recordings(spark, d).select("recording_id", "patient_id"),
+                           registered, "patient_id", "c_custkey")
+
+
+@query("domain_rejects")
+def domain_rejects(spark, d):
+    """Q8: chunks typed by line number (0..6) against the 0..3 domain."""
+    raw = S.chunk_rows(spark, d).withColumn(
+        "data_type", (F.col("chunk_idx") - 1).cast("smallint"))
+    _, bad = quality.domain_check(raw)
+    return bad.select("recording_id", "chunk_idx", "channel_idx",
+                      F.array_join("reasons", ";").alias("reasons"))
+
+
+# --- ad-hoc reads -------------------------------------------------------------------------------
+
+SQL_QUERY_TEXT = """
+SELECT o_orderpriority, count(*) AS n_recordings, count(DISTINCT o_custkey) AS n_patients
+FROM orders GROUP BY o_orderpriority"""
+
+
+@query("sql_query")
+def sql_query(spark, d):
+    """SQL text over registered views."""
+    return run_sql(spark, SQL_QUERY_TEXT, {"orders": S.table(spark, d, "orders")})
+
+
+def _top_patient_chunks(spark, d):
+    top = summary.top_patients(_counts_with_patient(spark, d), 1, count_col="n")
+    return S.chunks(spark, d).join(top.select("patient_id"), "patient_id", "left_semi")
+
+
+@query("patient_sample_200")
+def patient_sample_200(spark, d):
+    """L2 + H7: 200 chunks of the largest patient in key order."""
+    rows = _top_patient_chunks(spark, d)
+    return qc.first_rows_matrix(rows, list(TRAINING_KEY), n=200).select(
+        *TRAINING_KEY)
+
+
+@query("chunk_select")
+def chunk_select(spark, d):
+    """P1 + P2 + P5: the largest patient's chunks in states 0 and 2."""
+    rows = training.select_chunks(_top_patient_chunks(spark, d), states=(0, 2))
+    return rows.select(*TRAINING_KEY)
+
+
+@query("chunk_select_all_types")
+def chunk_select_all_types(spark, d):
+    """P2 + P3 + P4: all patients, states 0 and 2, surface channels only."""
+    rows = training.select_chunks(S.chunks(spark, d), states=(0, 2), data_types=(3,))
+    return rows.select(*TRAINING_KEY, "patient_id")
+
+
+@query("training_all")
+def training_all(spark, d):
+    """M3: all patients, states 0/2, type 3, batches of 32."""
+    return training.training_set(_training_chunks(spark, d), states=(0, 2), data_types=(3,),
+                                 batch_size=32, key=TRAINING_KEY, payload=("patient_id",))
+
+
+@query("shuffled_batches")
+def shuffled_batches(spark, d):
+    """M2: the pages of training_batches in a seeded order (content unchanged)."""
+    b = training_batches(spark, d)
+    return training.shuffle_batches(b, seed=7).drop("epoch_rank")
+
+
+def _scale_payload(df):
+    return df.withColumn("data", F.round(F.col("data") / 1000, 6))
+
+
+@query("transform_hook")
+def transform_hook(spark, d):
+    """training_all with a user transform (payload / 1000)."""
+    return training.training_set(_training_chunks(spark, d), states=(0, 2), data_types=(3,),
+                                 batch_size=32, key=TRAINING_KEY, payload=("patient_id",),
+                                 transform=_scale_payload)
+
+
+# --- maintenance --------------------------------------------------------------------------------
+
+@query("remove_patient_chunks")
+def remove_patient_chunks(spark, d):
+    """Chunks left after deleting the patients of dataset 7."""
+    doomed = S.patients(spark, d).where(F.col("dataset_id") == 7)
+    left = store.delete_rows(S.chunks(spark, d), doomed, "patient_id")
+    return left.select("recording_id", "chunk_idx", "channel_idx", "patient_id")
+
+
+@query("cascade_delete")
+def cascade_delete(spark, d):
+    """Delete the datasets of region 1 with their patients, recordings,
+    annotations and chunks; row counts of what remains."""
+    ds = S.table(spark, d, "nation").select(F.col("n_nationkey").alias("dataset_id"),
+                                            F.col("n_name").alias("name"), "n_regionkey")
+    tables = {"datasets": ds, "patients": S.patients(spark, d),
+              "recordings": S.recordings(spark, d), "annotations": S.annotations(spark, d),
+              "chunks": S.chunk_rows(spark, d)}
+    links = [("datasets", "dataset_id", "patients", "dataset_id"),
+             ("patients", "patient_id", "recordings", "patient_id"),
+             ("patients", "patient_id", "annotations", "patient_id"),
+             ("recordings", "recording_id", "chunks", "recording_id")]
+    left = store.cascade_delete(tables, links, "datasets", ds.where("n_regionkey = 1"),
+                                "dataset_id")
+    return summary.table_counts(left)
+
+
+@query("upsert_dataset")
+def upsert_dataset(spark, d):
+    """K1: regions are the datasets; nation and region names are loaded again."""
+    existing = S.table(spark, d, "region").select(F.col("r_regionkey").alias("dataset_id"),
+                                                  F.col("r_name").alias("name"))
+    names = S.table(spark, d, "nation").select(F.col("n_name").alias("name")).unionByName(
+        existing.select("name"))
+    return store.upsert_names(existing, names)
+
+
+@query("upsert_patient")
+def upsert_patient(spark, d):
+    """K2 + Q3: suppliers loaded as patients; new ids with a known dataset only."""
+    incoming = S.table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("patient_id"), F.col("s_nationkey").alias("dataset_id"))
+    incoming = incoming.join(S.datasets(spark, d).select("dataset_id"), "dataset_id",
+                             "left_semi")
+    return store.upsert_by_key(S.patients(spark, d), incoming.select("patient_id", "dataset_id"),
+                               "patient_id")
+
+
+@query("append_annotations")
+def append_annotations(spark, d):
+    """K3 + L5: the annotation list loaded twice plus signup intervals; idempotent."""
+    ann = S.annotations(spark, d)
+    ev = S.table(spark, d, "events").where(F.col("event_type") == "signup")
+    signup = ev.select(F.col("user_id").alias("patient_id"), F.col("ts").alias("onset"),
+                       add_seconds("ts", F.round(F.col("value") * 60, 6)).alias("offset"))
+    return store.append_dedupe(ann, ann.unionByName(signup), ["patient_id", "onset", "offset"])
+
+
+@query("partition_rewrite")
+def partition_rewrite(spark, d):
+    """Chunks written partitioned by dataset/state/type, read back whole."""
+    ch = S.chunks(spark, d).join(S.patients(spark, d), "patient_id", "left")
+    path = scratch_path(spark, "partition-rewrite")
+    store.write_partitioned(ch, path, partition_cols=("dataset_id", "seizure_state", "data_type"),
+                            sort_cols=("recording_id", "chunk_idx", "channel_idx"),
+                            mode="overwrite")
+    back = store.read_store(spark, path, schema=ch.schema)
+    return back.select(*ch.columns)

@@ -229,3 +229,249 @@ j AS (SELECT ch.recording_id, ch.channel_idx, ch.l_partkey,
 SELECT recording_id, channel_idx, l_partkey, electrode, dataset_name,
        {_type_sql('electrode', 'dataset_name')} AS data_type, electrode IS NULL AS missing_name
 FROM j"""
+
+# --- vector QC ----------------------------------------------------------------------------
+
+_DBL = "list_transform(embedding, lambda x: CAST(x AS DOUBLE))"
+
+SQL["vector_stats"] = f"""
+WITH v AS (SELECT vec_id, label AS patient_id, {_DBL} AS d FROM embeddings),
+m AS (SELECT *, list_reduce(d, lambda a, b: a + b) / len(d) AS mean FROM v)
+SELECT vec_id, patient_id, CAST(len(d) AS INTEGER) AS n_values,
+       round(list_min(d), 6) AS vmin, round(list_max(d), 6) AS vmax, round(mean, 6) AS vmean,
+       round(sqrt(list_reduce(list_transform(d, lambda x: (x - mean) * (x - mean)),
+                              lambda a, b: a + b) / len(d)), 6) AS vstd
+FROM m"""
+
+_SIZED = "CAST(4 * (vec_id % 49 + 16) AS BIGINT)"
+
+SQL["payload_size_range"] = f"""
+SELECT label AS patient_id, min({_SIZED}) AS min_bytes, max({_SIZED}) AS max_bytes
+FROM embeddings GROUP BY label"""
+
+SQL["vector_size_stats"] = f"""
+WITH b AS (SELECT CAST({_SIZED} AS DOUBLE) AS b FROM embeddings)
+SELECT count(*) AS count, round(avg(b), 6) AS mean, round(stddev_samp(b), 6) AS std,
+       min(b) AS min, round(quantile_cont(b, 0.25), 6) AS p25,
+       round(quantile_cont(b, 0.5), 6) AS p50, round(quantile_cont(b, 0.75), 6) AS p75,
+       max(b) AS max
+FROM b"""
+
+_FAULTY = """CASE WHEN vec_id % 50 = 7 THEN list_transform(embedding, lambda x: CAST(0.25 AS FLOAT))
+     WHEN vec_id % 61 = 3 THEN list_transform(embedding, lambda x, i:
+          CASE WHEN i = 6 THEN CAST('NaN' AS FLOAT) ELSE x END)
+     WHEN vec_id % 67 = 4 THEN list_transform(embedding, lambda x, i:
+          CASE WHEN i = 10 THEN CAST('inf' AS FLOAT) ELSE x END)
+     ELSE embedding END"""
+
+SQL["nan_inf"] = f"""
+WITH v AS (SELECT label AS patient_id,
+                  list_transform({_FAULTY}, lambda x: CAST(x AS DOUBLE)) AS d FROM embeddings),
+c AS (SELECT patient_id, len(list_filter(d, lambda x: isnan(x))) AS n_nan,
+             len(list_filter(d, lambda x: isinf(x))) AS n_inf FROM v)
+SELECT patient_id, count(*) AS n_rows, CAST(sum(n_nan) AS BIGINT) AS n_nan,
+       CAST(sum(n_inf) AS BIGINT) AS n_inf, count(*) FILTER (WHERE n_nan > 0) AS n_rows_with_nan
+FROM c GROUP BY patient_id"""
+
+SQL["flatlines"] = """
+WITH v AS (SELECT list_transform(CASE WHEN vec_id % 50 = 7
+                    THEN list_transform(embedding, lambda x: CAST(0.25 AS FLOAT))
+                    ELSE embedding END, lambda x: CAST(x AS DOUBLE)) AS d FROM embeddings),
+m AS (SELECT d, list_reduce(d, lambda a, b: a + b) / len(d) AS mean FROM v),
+s AS (SELECT sqrt(list_reduce(list_transform(d, lambda x: (x - mean) * (x - mean)),
+                              lambda a, b: a + b) / len(d)) AS std FROM m)
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE std < 1e-6) AS n_flat,
+       min(round(std, 6)) AS min_std, round(median(round(std, 6)), 6) AS median_std,
+       max(round(std, 6)) AS max_std
+FROM s"""
+
+SQL["amplitude_histogram"] = f"""
+WITH v AS (SELECT unnest({_DBL}) AS x FROM embeddings),
+f AS (SELECT x FROM v WHERE NOT isnan(x) AND NOT isinf(x)),
+s0 AS (SELECT min(x) AS lo, max(x) AS hi FROM f),
+s AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo,
+             CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi FROM s0),
+c AS (SELECT CAST(least(floor((x - lo) / (hi - lo) * 50), 49) AS INTEGER) AS bin,
+             count(*) AS n FROM f, s GROUP BY 1),
+b AS (SELECT CAST(range AS INTEGER) AS bin FROM range(50))
+SELECT b.bin, round(lo + b.bin * (hi - lo) / 50, 6) AS lo,
+       round(lo + (b.bin + 1) * (hi - lo) / 50, 6) AS hi, coalesce(c.n, 0) AS n_values
+FROM b CROSS JOIN s LEFT JOIN c ON b.bin = c.bin"""
+
+SQL["multichannel"] = """
+SELECT l_orderkey AS recording_id, l_linenumber AS chunk_idx, count(*) AS n_channels,
+       string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey, l_extendedprice)
+         AS channel_list,
+       round(sum(l_extendedprice), 2) AS data_sum
+FROM lineitem GROUP BY l_orderkey, l_linenumber"""
+
+# --- time axis --------------------------------------------------------------------------------
+
+SQL["unit_norm"] = """
+SELECT event_id, instant,
+       round(CASE WHEN n = 0 THEN 0.0 ELSE value / n END, 9) AS value_norm
+FROM (SELECT event_id, value, date_trunc('hour', ts) AS instant,
+             sqrt(sum(value * value) OVER (PARTITION BY date_trunc('hour', ts))) AS n
+      FROM events)"""
+
+SQL["decimate_short"] = """
+WITH x AS (SELECT user_id, value,
+                  row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS i
+           FROM events),
+k(off, h) AS (VALUES (-1, 0.25), (0, 0.5), (1, 0.25)),
+c AS (SELECT user_id, (i - off) // 4 AS j, h * value AS v, off = 0 AS centre
+      FROM x, k WHERE i - off >= 0 AND (i - off) % 4 = 0)
+SELECT user_id, CAST(j AS BIGINT) AS j, round(sum(v), 9) AS y
+FROM c GROUP BY user_id, j HAVING bool_or(centre)"""
+
+SQL["tumbling_chunks"] = """
+WITH s AS (SELECT user_id, min(ts) AS start_ts,
+                  CAST(floor(epoch(max(ts))) - floor(epoch(min(ts))) AS BIGINT) AS span
+           FROM events GROUP BY user_id),
+r AS (SELECT user_id, start_ts, unnest(range(0, span // 3600)) AS i FROM s)
+SELECT user_id, CAST(i AS INTEGER) AS chunk_idx,
+       start_ts + to_seconds(i * 3600) AS chunk_start_ts
+FROM r"""
+
+_RECORDINGS = """r AS (SELECT o_orderkey AS recording_id, o_custkey AS patient_id,
+                  o_orderdate AS start_ts, CAST(round(o_totalprice) AS BIGINT) AS duration_in_sec
+           FROM orders)"""
+
+SQL["recording_timeline"] = f"""
+WITH {_RECORDINGS}
+SELECT recording_id, patient_id, start_ts, duration_in_sec,
+       row_number() OVER w - 1 AS seq_no,
+       CAST(coalesce(sum(duration_in_sec) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+                                                 AND 1 PRECEDING), 0) AS BIGINT) AS elapsed_sec,
+       CAST(floor(epoch(start_ts)) - floor(epoch(lag(start_ts) OVER w))
+            - lag(duration_in_sec) OVER w AS BIGINT) AS gap_sec
+FROM r WINDOW w AS (PARTITION BY patient_id ORDER BY start_ts, recording_id)"""
+
+SQL["recordings_ordered"] = """
+SELECT o_custkey AS patient_id, o_orderkey AS recording_id, o_orderdate AS start_ts,
+       row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS seq_no
+FROM orders"""
+
+SQL["annotations_ordered"] = f"""
+WITH {ANNOTATIONS_CTE}
+SELECT patient_id, onset, "offset",
+       row_number() OVER (PARTITION BY patient_id ORDER BY onset, "offset") - 1 AS seq_no
+FROM annotations"""
+
+SQL["first_recordings"] = """
+SELECT * FROM (
+  SELECT o_custkey AS patient_id, o_orderkey AS recording_id, o_orderdate AS start_ts,
+         CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey)
+              AS INTEGER) AS rank
+  FROM orders)
+WHERE rank <= 2"""
+
+# --- integrity -----------------------------------------------------------------------------------
+
+SQL["pk_duplicates"] = """
+SELECT patient_id, count(*) AS n_rows
+FROM (SELECT c_custkey AS patient_id FROM customer
+      UNION ALL SELECT s_suppkey FROM supplier)
+GROUP BY patient_id HAVING count(*) > 1"""
+
+SQL["fk_orphans"] = """
+SELECT o_orderkey AS recording_id, o_custkey AS patient_id FROM orders
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal >= 0)"""
+
+SQL["domain_rejects"] = """
+SELECT l_orderkey AS recording_id, l_linenumber AS chunk_idx, l_partkey AS channel_idx,
+       'bad data_type ' || (l_linenumber - 1) AS reasons
+FROM lineitem WHERE l_linenumber - 1 NOT IN (0, 1, 2, 3)"""
+
+# --- ad-hoc reads --------------------------------------------------------------------------------
+
+SQL["sql_query"] = """
+SELECT o_orderpriority, count(*) AS n_recordings, count(DISTINCT o_custkey) AS n_patients
+FROM orders GROUP BY o_orderpriority"""
+
+_TOP1 = """top AS (SELECT patient_id FROM chunks GROUP BY patient_id
+               ORDER BY count(*) DESC, patient_id LIMIT 1)"""
+
+SQL["patient_sample_200"] = f"""
+WITH {CHUNKS_CTE}, {_TOP1}
+SELECT recording_id, chunk_idx, channel_idx, data, seizure_state, data_type
+FROM chunks WHERE patient_id IN (SELECT patient_id FROM top)
+ORDER BY {TRAINING_ORDER} LIMIT 200"""
+
+SQL["chunk_select"] = f"""
+WITH {CHUNKS_CTE}, {_TOP1}
+SELECT recording_id, chunk_idx, channel_idx, data, seizure_state, data_type
+FROM chunks WHERE patient_id IN (SELECT patient_id FROM top) AND seizure_state IN (0, 2)"""
+
+SQL["chunk_select_all_types"] = f"""
+WITH {CHUNKS_CTE}
+SELECT recording_id, chunk_idx, channel_idx, data, seizure_state, data_type, patient_id
+FROM chunks WHERE seizure_state IN (0, 2) AND data_type IN (3)"""
+
+
+def _batches(batch: int, where: str, data: str = "data") -> str:
+    return f"""
+WITH {CHUNKS_CTE},
+sel AS (SELECT *, row_number() OVER (ORDER BY {TRAINING_ORDER}) - 1 AS pos
+        FROM chunks WHERE {where})
+SELECT CAST(pos // {batch} AS BIGINT) AS batch_id, CAST(pos % {batch} AS INTEGER) AS pos_in_batch,
+       recording_id, chunk_idx, channel_idx, {data} AS data, seizure_state, data_type, patient_id
+FROM sel"""
+
+
+SQL["training_all"] = _batches(32, "seizure_state IN (0, 2) AND data_type IN (3)")
+SQL["shuffled_batches"] = _batches(1000, "seizure_state IN (0, 2)")
+SQL["transform_hook"] = _batches(32, "seizure_state IN (0, 2) AND data_type IN (3)",
+                                 "round(data / 1000, 6)")
+
+# --- maintenance -------------------------------------------------------------------------------
+
+SQL["remove_patient_chunks"] = f"""
+WITH {CHUNKS_CTE}
+SELECT recording_id, chunk_idx, channel_idx, patient_id FROM chunks
+WHERE patient_id NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey = 7)"""
+
+SQL["cascade_delete"] = f"""
+WITH {ANNOTATIONS_CTE},
+dn AS (SELECT n_nationkey FROM nation WHERE n_regionkey = 1),
+dp AS (SELECT c_custkey FROM customer WHERE c_nationkey IN (SELECT n_nationkey FROM dn)),
+dr AS (SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM dp))
+SELECT 'datasets' AS table_name, count(*) AS n_rows FROM nation
+  WHERE n_nationkey NOT IN (SELECT n_nationkey FROM dn)
+UNION ALL SELECT 'patients', count(*) FROM customer
+  WHERE c_custkey NOT IN (SELECT c_custkey FROM dp)
+UNION ALL SELECT 'recordings', count(*) FROM orders
+  WHERE o_orderkey NOT IN (SELECT o_orderkey FROM dr)
+UNION ALL SELECT 'annotations', count(*) FROM annotations
+  WHERE patient_id NOT IN (SELECT c_custkey FROM dp)
+UNION ALL SELECT 'chunks', count(*) FROM lineitem
+  WHERE l_orderkey NOT IN (SELECT o_orderkey FROM dr)"""
+
+SQL["upsert_dataset"] = """
+WITH e AS (SELECT r_regionkey AS dataset_id, r_name AS name FROM region),
+n AS (SELECT DISTINCT n_name AS name FROM nation WHERE n_name NOT IN (SELECT name FROM e))
+SELECT dataset_id, name FROM e
+UNION ALL
+SELECT CAST((SELECT max(dataset_id) FROM e) + row_number() OVER (ORDER BY name) AS INTEGER), name
+FROM n"""
+
+SQL["upsert_patient"] = """
+SELECT c_custkey AS patient_id, c_nationkey AS dataset_id FROM customer
+UNION ALL
+SELECT s_suppkey, s_nationkey FROM supplier
+WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer)
+  AND s_nationkey IN (SELECT n_nationkey FROM nation)"""
+
+SQL["append_annotations"] = f"""
+WITH {ANNOTATIONS_CTE},
+signup AS (SELECT user_id AS patient_id, ts AS onset,
+                  ts + to_microseconds(CAST(round(round(value * 60, 6) * 1000000) AS BIGINT))
+                    AS "offset"
+           FROM events WHERE event_type = 'signup')
+SELECT DISTINCT patient_id, onset, "offset" FROM (
+  SELECT * FROM annotations UNION ALL SELECT * FROM annotations UNION ALL SELECT * FROM signup)"""
+
+SQL["partition_rewrite"] = f"""
+WITH {CHUNKS_CTE}
+SELECT chunks.*, c_nationkey AS dataset_id
+FROM chunks LEFT JOIN customer ON patient_id = c_custkey"""

@@ -190,3 +190,34 @@ def annotation_lines(spark, d) -> DataFrame:
 # heart channels; FP1 stays iEEG in an inv dataset because names match whole).
 STANDIN_ELECTRODES = ("GA1", "GA2", "ECG", "FP", "FP1", "T", "HR3", "EKG", "EMG", "TLA4",
                       "PO", "C")
+
+
+# --- vectors ---------------------------------------------------------------------------------
+#
+# embeddings play the chunk payload; label plays the patient.
+
+def vectors(spark, d) -> DataFrame:
+    return table(spark, d, "embeddings").select(
+        "vec_id", F.col("label").alias("patient_id"), F.col("embedding").alias("data"))
+
+
+def faulty_vectors(spark, d, with_nan: bool = True) -> DataFrame:
+    """vec_id%50=7 constant 0.25; with_nan: vec_id%61=3 a NaN at index 5,
+    vec_id%67=4 +inf at index 9."""
+    v = vectors(spark, d)
+    k = F.col("vec_id")
+    const = F.transform("data", lambda x: F.lit(0.25).cast("float"))
+    data = F.when(k % 50 == 7, const)
+    if with_nan:
+        nan = F.transform("data", lambda x, i: F.when(i == 5, F.lit(float("nan")).cast("float"))
+                          .otherwise(x))
+        inf = F.transform("data", lambda x, i: F.when(i == 9, F.lit(float("inf")).cast("float"))
+                          .otherwise(x))
+        data = data.when(k % 61 == 3, nan).when(k % 67 == 4, inf)
+    return v.withColumn("data", data.otherwise(F.col("data")))
+
+
+def sized_vectors(spark, d) -> DataFrame:
+    """Payloads of varying length: the first 16 + vec_id%49 values."""
+    v = vectors(spark, d)
+    return v.withColumn("data", F.slice("data", 1, (F.col("vec_id") % 49 + 16).cast("int")))
