@@ -554,3 +554,36 @@ def partition_rewrite(spark, d):
                             mode="overwrite")
     back = store.read_store(spark, path, schema=ch.schema)
     return back.select(*ch.columns)
+
+
+# --- raw signals ------------------------------------------------------------------------------
+
+def signal_load(spark, d, block_seconds: int = 60):
+    """Render recordings from events, then run discovery, header parsing and
+    the block job on them; returns ``(published chunks, errors)``.
+
+    The block job's output is staged as a table in the shared checkpoint
+    folder, so the job runs once for both results and a lost executor after
+    it costs nothing.
+    """
+    from recspark.ingest import load_metadata
+    from recspark.operators import signal
+    from recspark.plans.recordings import render_recordings
+    from recspark.sources.discovery import data_file_sizes
+
+    root = render_recordings(spark, d)
+    meta = load_metadata(spark, root)
+    out, plan_errors = signal.signal_chunks(meta["recordings"], data_file_sizes(spark, root),
+                                            S.annotations(spark, d), block_seconds)
+    staging = scratch_path(spark, "signal-staging")
+    out.write.parquet(staging)
+    return signal.publish(spark.read.parquet(staging), plan_errors)
+
+
+@query("signal_chunks")
+def signal_chunks(spark, d):
+    """S1-S3 + S5 + H5 + W4 + W1 + J3 + J6 + Q4: recordings rendered from
+    events, loaded end to end; one row per (chunk, channel), payload summarised."""
+    from recspark.plans.recordings import signal_summary
+    good, _ = signal_load(spark, d)
+    return signal_summary(good)
