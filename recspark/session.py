@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -45,8 +49,8 @@ def apply_query_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster owns this setting; it is only filled in here when unset
-    (local tests), and then the SparkContext is told about it too.
+    The cluster owns this setting; only a local master without it gets a
+    folder of its own, elsewhere a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -54,7 +58,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = "/tmp/recspark-checkpoints"
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = os.path.join(tempfile.gettempdir(), "recspark-checkpoints")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir().rstrip("/")
 
@@ -62,3 +68,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory below the shared checkpoint folder."""
     return f"{checkpoint_dir(spark)}/recspark-{name}-{uuid.uuid4().hex[:12]}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application.
+
+    Python tasks import it by name, wherever the session was started.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for folder, _, names in os.walk(here):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    path = os.path.join(folder, n)
+                    z.write(path, os.path.relpath(path, os.path.dirname(here)))
+    target = os.path.join(tempfile.mkdtemp(prefix="recspark-"), "recspark.zip")
+    with open(target, "wb") as f:
+        f.write(packed.getvalue())
+    sc.addPyFile(target)
+    _SHIPPED.add(sc.applicationId)

@@ -11,10 +11,12 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__)), "too
 
 import __spark_entry__ as E  # noqa: E402
 from oracle_check import digest  # noqa: E402
+from recspark.plans.catalog import REGISTRY  # noqa: E402
+from recspark.plans.oracle import SQL  # noqa: E402
 from recspark.plans.standins import TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = sorted(E.oracle_sql())
+NAMES = sorted(SQL)
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +33,7 @@ NO_SQL = {"signal_chunks"}
 
 
 def test_every_query_has_sql():
-    missing = set(E.queries()) - set(E.oracle_sql())
+    missing = set(REGISTRY) - set(SQL)
     assert missing == NO_SQL, missing
 
 
