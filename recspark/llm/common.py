@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from recspark.session import scratch_path
 
-PIECE = 1 << 21
+PIECE = 1 << 20
+ARROW_BATCH_BYTES = "8m"  # of one batch between the JVM and a Python task
 
 # ASCII white space: the blank and \t \n \v \f \r. Same set as bytes.split().
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
@@ -53,6 +54,12 @@ def stored(spark: SparkSession, df: DataFrame, name: str, path: str | None = Non
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_batches(df: DataFrame, task, schema) -> DataFrame:
+    """``mapInArrow`` with small batches, so that a task's memory stays small."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", ARROW_BATCH_BYTES)
+    return df.mapInArrow(task, schema)
+
+
 def utf8(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string or binary column and its ``len + 1`` offsets; null is empty."""
     if isinstance(arr, pa.ChunkedArray):

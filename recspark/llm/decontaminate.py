@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm.common import (Words, column, gram_hash, narrow, pieces, sliding_min,
+from recspark.llm.common import (Words, column, gram_hash, map_batches, narrow, pieces, sliding_min,
                                  stored, utf8)
 
 WINDOW = 10
@@ -158,7 +158,7 @@ def _scan(spark: SparkSession, rows: DataFrame, block, window: int, gram: int) -
     shared = spark.sparkContext.broadcast(BenchmarkIndex(block, window, gram))
     id_type = rows.schema["id"].dataType.simpleString()
     more = "".join(f", {f.name} {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
-    return rows.mapInArrow(_scanner(shared), f"doc_id {id_type}, n_words bigint, "
+    return map_batches(rows, _scanner(shared), f"doc_id {id_type}, n_words bigint, "
                            f"spans array<struct<start: bigint, end: bigint>>, "
                            f"items array<string>{more}")
 
@@ -220,7 +220,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
                     keep[lo + np.unique(words.doc[hit])] = False
                 yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(clean, docs.schema)
+        docs = map_batches(docs, clean, docs.schema)
         if n < len(blocks) - 1:
             docs = stored(spark, docs, "decontaminated")
     return docs

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm.common import LOWER, column, narrow, pieces, utf8
+from recspark.llm.common import LOWER, column, map_batches, narrow, pieces, utf8
 
 ORDER = 3
 SAMPLE_ROWS = 600
@@ -96,7 +96,7 @@ def count_grams(spark: SparkSession, labelled: DataFrame, sample_rows: int = SAM
     sample = (rows.withColumn("u", unit).where("u < 1")
               .join(F.broadcast(totals) if totals.count() <= 1000 else totals, "lang")
               .where(F.col("u") * F.col("rows") < sample_rows).select("lang", "text"))
-    grams = (sample.mapInArrow(_count_grams(order), "lang string, gram bigint, n bigint")
+    grams = (map_batches(sample, _count_grams(order), "lang string, gram bigint, n bigint")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
              .orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS).collect())
     least = grams[-1].n + 1 if len(grams) == MAX_GRAMS else 0  # whole ranks only
@@ -124,7 +124,7 @@ def compile_model(grams: dict[str, dict[int, int]], order: int = ORDER,
     langs = sorted(grams)
     symbols = sorted({g & 255 for c in grams.values() for g in c})
     a = len(symbols)
-    byte_class = np.full(256, a, np.int64)
+    byte_class = np.full(256, a, np.int32)
     byte_class[symbols] = np.arange(a)
     # contexts by number of followers over all languages; whole ranks, so the set
     # holds the prefixes and suffixes of its members
@@ -198,15 +198,15 @@ def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndar
     first = offsets[:-1] + np.arange(n_docs)
     flat = np.insert(model.byte_class[fold_case(data)], offsets[1:], border)
     lanes = -(-len(flat) // _STEPS)
-    flat = np.concatenate((flat, np.full(lanes * _STEPS - len(flat), border)))
+    flat = np.concatenate((flat, np.full(lanes * _STEPS - len(flat), border, np.int32)))
     grid = np.ascontiguousarray(flat.reshape(lanes, _STEPS).T)
-    state = np.zeros(lanes, np.int64)
+    state = np.zeros(lanes, np.int32)
     for row in grid[_STEPS - model.order:]:  # the bytes before each lane set its first state
         state[1:] = model.step[state[1:] * model.n_classes + row[:-1]]
-    spots = np.empty((_STEPS, lanes), np.int64)
+    spots = np.empty((_STEPS, lanes), np.int32)
     for t in range(_STEPS):
         np.add(state * model.n_classes, grid[t], out=spots[t])
-        state = model.step[spots[t]].astype(np.int64)
+        state = model.step[spots[t]]
     bits = model.bits[spots.T.ravel()[:offsets[-1] + n_docs]]
     return np.add.reduceat(bits, first, axis=0, dtype=np.float64)
 
@@ -258,7 +258,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "d
 
     rows = narrow(docs, id=id_col, text=text_col)
     id_type = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {id_type}, lang_pred string, score double")
+    return map_batches(rows, run, f"doc_id {id_type}, lang_pred string, score double")
 
 
 def keep_identified(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text",
@@ -278,7 +278,7 @@ def keep_identified(spark: SparkSession, docs: DataFrame, model: Model, text_col
                 keep[lo:hi] = [x != UNKNOWN and s >= min_score for x, s in zip(names, score)]
             yield batch.filter(pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)
 
 
 def labelled_rows(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -34,12 +34,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from recspark.llm.common import narrow, pieces, stored, utf8
+from recspark.llm.common import map_batches, narrow, pieces, stored, utf8
 
 CAPACITY = 2048
 END_ID = 0
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-_CACHE_LIMIT = 400_000  # entries per worker; a full cache starts again
+_CACHE_LIMIT = 150_000  # entries per worker; a full cache starts again
 
 # Lower-case words of unaccented or Latin-1 letters, then ASCII signs without the
 # apostrophe: the tokenizer always cuts such a chunk between letters and signs.
@@ -262,7 +262,7 @@ def pack(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     id_type = rows.schema["id"].dataType.simpleString()
     schema = (f"doc_id {id_type}, piece bigint, start bigint, length bigint, ids_crc32 bigint, "
               "task bigint, number bigint" + ", ids binary" * with_ids)
-    found = stored(spark, rows.mapInArrow(_tokenise(vocabulary, capacity, end_id, with_ids),
+    found = stored(spark, map_batches(rows, _tokenise(vocabulary, capacity, end_id, with_ids),
                                           schema), "pieces")
     per_task = found.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(
@@ -276,6 +276,6 @@ def pack(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
                 .withColumn("rank", F.col("base") + F.col("number"))
                 .select("doc_id", "piece", "start", "length", "ids_crc32",
                         *["ids"] * with_ids, "rank"))
-    return numbered.mapInArrow(
+    return map_batches(numbered, 
         _assign(shared), f"doc_id {id_type}, piece bigint, start bigint, length bigint, "
         "ids_crc32 bigint" + ", ids binary" * with_ids + ", sequence_id bigint, offset bigint")

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import decontaminate, exact_dedup, language, packing, simhash
+from recspark.llm import (archives, decontaminate, exact_dedup, language, packing, simhash,
+                           substrings)
 from recspark.session import apply_query_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +54,25 @@ def op2_exact_dedup(spark, d):
                       F.col("digest").alias("text_sha256"))
 
 
+@query("op3_arc_to_warc", r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (SELECT *, min(page_id) OVER (PARTITION BY t) AS first_id FROM p)
+SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(32), lambda i: substr(
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         1 + CAST((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS INTEGER), 5) AS INTEGER)
+                   >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31 AS INTEGER), 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM r""")
+def op3_arc_to_warc(spark, d):
+    """Pages to ARC, ARC to WARC with revisits, read back."""
+    return archives.archive_round_trip(spark, table(spark, d, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op4_language_id")
 def op4_language_id(spark, d):
     """PPM code lengths of every whole text; learned from the rows not held out."""
@@ -69,6 +89,36 @@ def op5_simhash(spark, d):
     return simhash.near_duplicates(spark, table(spark, d, "documents"))
 
 
+@query("op6_suffix_array_dedup", r"""
+WITH b AS (SELECT doc_id, encode(coalesce(text, '')) AS t, hex(encode(coalesce(text, ''))) AS h
+           FROM documents),
+w AS (SELECT doc_id, p, substr(h, CAST(2 * p + 1 AS INTEGER), 100) AS g
+      FROM (SELECT doc_id, h, unnest(range(octet_length(t) - 49)) AS p FROM b
+            WHERE octet_length(t) >= 50)),
+f AS (SELECT g, min(doc_id) AS first_id FROM w GROUP BY g HAVING min(doc_id) < max(doc_id)),
+x AS (SELECT doc_id, p, max(p) OVER (PARTITION BY doc_id ORDER BY p
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS q
+      FROM w JOIN f USING (g) WHERE doc_id > first_id),
+s AS (SELECT doc_id, p, sum(CASE WHEN q IS NULL OR p > q + 50 THEN 1 ELSE 0 END)
+             OVER (PARTITION BY doc_id ORDER BY p) AS run FROM x),
+r AS (SELECT doc_id, run, min(p) AS lo, max(p) + 50 AS hi FROM s GROUP BY doc_id, run),
+k AS (SELECT doc_id, lo, hi, lag(hi, 1, 0) OVER (PARTITION BY doc_id ORDER BY lo) AS before,
+             lead(lo) OVER (PARTITION BY doc_id ORDER BY lo) AS after FROM r),
+j AS (SELECT doc_id, sum(hi - lo) AS n_removed, count(*) AS n_spans,
+             string_agg(substr(h, CAST(2 * before + 1 AS INTEGER),
+                               CAST(2 * (lo - before) AS INTEGER))
+               || CASE WHEN after IS NULL THEN substr(h, CAST(2 * hi + 1 AS INTEGER)) ELSE '' END,
+               '' ORDER BY lo) AS kept
+      FROM k JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT b.doc_id, CAST(octet_length(t) AS BIGINT) AS n_bytes,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM b LEFT JOIN j USING (doc_id)""")
+def op6_suffix_array_dedup(spark, d):
+    """Bytes of repeated 50-byte strings, by suffix arrays over shards."""
+    return substrings.remove_repeats(spark, table(spark, d, "documents"))
+
+
 @query("op8_decontaminate", r"""
 WITH dw AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),

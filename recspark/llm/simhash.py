@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm.common import column, free_name, narrow, pieces, stored, utf8
+from recspark.llm.common import column, free_name, map_batches, narrow, pieces, stored, utf8
 from recspark.llm.components import connected_components
 
 SHINGLE = 3
@@ -200,8 +200,8 @@ def links(classes: DataFrame, radius: int = RADIUS, block: int = BLOCK) -> DataF
              .select("t", "k", F.least("own", "other").alias("i"),
                      F.greatest("own", "other").alias("j"),
                      (F.col("own") > F.col("other")).cast("bigint").alias("side"), "fp"))
-    return (dealt.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
-            .mapInArrow(_links(radius), "u bigint, v bigint"))
+    units = dealt.repartition("t", "k", "i", "j").sortWithinPartitions("t", "k", "i", "j")
+    return map_batches(units, _links(radius), "u bigint, v bigint")
 
 
 def _resolved(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str,
@@ -210,7 +210,7 @@ def _resolved(spark: SparkSession, docs: DataFrame, id_col: str, text_col: str,
     rows = narrow(docs, id=id_col, text=text_col).select(
         "id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
     id_type = rows.schema["id"].dataType.simpleString()
-    prints = stored(spark, rows.mapInArrow(_fingerprints(shingle, SEED),
+    prints = stored(spark, map_batches(rows, _fingerprints(shingle, SEED),
                                            f"id {id_type}, text_key bigint, fp bigint"),
                     "fingerprints")
     classes = stored(spark, prints.select("fp").distinct(), "fingerprint-classes")
