@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import (archives, decontaminate, exact_dedup, language, packing, simhash,
-                           substrings)
+from recspark.llm import (archives, decontaminate, exact_dedup, language, licenses, line_dedup,
+                           packing, simhash, substrings, token_counts)
 from recspark.session import apply_query_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query("op1_license_scan")
+def op1_license_scan(spark, d):
+    """Licence notices in every whole text, with coverage and spans."""
+    return licenses.scan_licenses(spark, table(spark, d, "documents"))
+
+
 @query("op2_exact_dedup", r"""
 WITH n AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t
@@ -119,6 +125,12 @@ def op6_suffix_array_dedup(spark, d):
     return substrings.remove_repeats(spark, table(spark, d, "documents"))
 
 
+@query("op7_line_dedup")
+def op7_line_dedup(spark, d):
+    """Lines of all documents with an earlier line of Jaccard similarity 0.8 or more."""
+    return line_dedup.mark_lines(spark, table(spark, d, "documents"))
+
+
 @query("op8_decontaminate", r"""
 WITH dw AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
@@ -163,6 +175,12 @@ def op8_decontaminate(spark, d):
                       (F.size("spans") > 0).alias("contaminated"))
 
 
+@query("op9_token_counts")
+def op9_token_counts(spark, d):
+    """Unigram token counts and best scores of every whole text."""
+    return token_counts.count_tokens(spark, table(spark, d, "documents"))
+
+
 @query("op10_best_fit_packing")
 def op10_best_fit_packing(spark, d):
     """Token pieces of all documents and their places in sequences of 2048."""
