@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -190,6 +191,10 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(x[:n], x[w - span:w - span + n])
 
 
-def as_signed(x: np.ndarray) -> np.ndarray:
-    """Unsigned 64-bit values in Spark's signed long."""
-    return x.view(np.int64)
+def packed(x: np.ndarray) -> bytes:
+    """An array as a compressed binary value."""
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(x))
+
+
+def unpacked(value: pa.Scalar, kind) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(value.as_buffer()), kind)

@@ -42,8 +42,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm.common import (_powers, map_batches, mix, narrow, pieces, sliding_min, stored,
-                                 utf8)
+from recspark.llm.common import (_powers, map_batches, mix, narrow, packed, pieces, sliding_min,
+                                 stored, unpacked, utf8)
 from recspark.llm.induced import repeated_windows
 
 LENGTH = 50
@@ -139,14 +139,13 @@ def _blobs(rows: Rows, bucket: np.ndarray, settled: bool):
     cols = [pa.array([bucket[a] for a, _ in spans], pa.int64()),
             pa.array([settled] * len(spans), pa.bool_())]
     for k in _COLUMNS:
-        cols.append(pa.array([rows[k][a:b].tobytes() for a, b in spans], pa.binary()))
+        cols.append(pa.array([packed(rows[k][a:b]) for a, b in spans], pa.binary()))
     return pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in _BLOB.split(", ")])
 
 
 def _unpack(batch, r: int) -> Rows:
     at = {name: i for i, name in enumerate(batch.schema.names)}
-    return Rows({k: np.frombuffer(batch.column(at[k])[r].as_buffer(), t)
-                 for k, t in _COLUMNS.items()})
+    return Rows({k: unpacked(batch.column(at[k])[r], t) for k, t in _COLUMNS.items()})
 
 
 def _segment_task(length: int, gram: int, n_buckets: int):
@@ -316,7 +315,7 @@ def _fetch_task(length: int, n_buckets: int):
             raw = b"".join(out[s][2][p:q].tobytes() for s, p, q in
                            zip(source[at].tolist(), start[at].tolist(), ends.tolist()))
             part = rows.take(at)
-            for c, v in zip(cols, [int(bucket[at[0]]), *[part[k].tobytes() for k in _COLUMNS],
+            for c, v in zip(cols, [int(bucket[at[0]]), *[packed(part[k]) for k in _COLUMNS],
                                    packer.compress(raw)]):
                 c.append(v)
         schema = _arrow(_SHARDS)
