@@ -29,7 +29,13 @@ from pyspark.sql import functions as F
 from recspark.llm.common import WHITE_SPACE, column, free_name, narrow, stored
 from recspark.session import scratch_path
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STORE = "spark.sql.streaming.stateStore."
+STATE_STORE = {
+    _STORE + "providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    _STORE + "rocksdb.boundedMemoryUsage": "true",
+    _STORE + "rocksdb.allowFAllocate": "false",  # no reserved space per state partition
+}
 BATCH_BYTES = 8 << 30  # of entries in one micro-batch
 
 
@@ -63,15 +69,13 @@ def run_index(entries: DataFrame, index_path: str, checkpoint: str) -> None:
     is repeated after a failure.
     """
     spark = entries.sparkSession
-    key = "spark.sql.streaming.stateStore.providerClass"
-    bounded = "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage"
-    before = {k: spark.conf.get(k, None) for k in (key, bounded)}
+    before = {k: spark.conf.get(k, None) for k in STATE_STORE}
 
     def publish(changed: DataFrame, epoch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{index_path}/epoch={epoch}")
 
-    spark.conf.set(key, ROCKSDB)
-    spark.conf.set(bounded, "true")
+    for k, v in STATE_STORE.items():
+        spark.conf.set(k, v)
     try:
         query = (fold(entries).writeStream.outputMode("update")
                  .option("checkpointLocation", checkpoint)
