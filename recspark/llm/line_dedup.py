@@ -12,7 +12,7 @@ the input, so a removed line still removes later ones.
    share a word of their prefixes, so each class is dealt out by its prefix
    words only. Pairs that meet are held against the length filter (sizes within
    the threshold), the positional filter (words left after the shared one) and
-   a parity bitmap of the words (a lower bound of the difference). A bucket
+   a 128-bit parity map of the words (a lower bound of the difference). A bucket
    passes on a spanning forest of the pairs that remain, never all of them. A
    word with more than ``BLOCK`` lines is dealt out as pairs of blocks.
 3. Components of those links hold every similar pair. Their members' word sets
@@ -34,7 +34,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm.common import Words, map_batches, mix, narrow, pieces, stored, utf8
+from recspark.llm.common import (Words, map_batches, mix, narrow, packed, pieces, stored, unpacked,
+                                 utf8)
 from recspark.llm.components import connected_components
 from recspark.llm.simhash import _forest
 
@@ -42,7 +43,7 @@ NUM, DEN = 4, 5
 SLOTS = 1 << 20
 CHUNKS = 64
 BLOCK = 200_000      # lines of one prefix word in a task
-MEMBERS = 4096       # classes of one component in a task
+MEMBERS = 16384      # classes of one component in a task
 MARKS = 1 << 24      # slots of the table of classes that have a candidate
 _SPACE = np.ones(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = False
@@ -80,7 +81,7 @@ def _slots(hashes: np.ndarray) -> np.ndarray:
 
 def _table_rows(table: np.ndarray, chunks: int):
     step = len(table) // chunks
-    return [table[i:i + step].tobytes() for i in range(0, len(table), step)]
+    return [packed(table[i:i + step]) for i in range(0, len(table), step)]
 
 
 _LINE = "row bigint, id bigint, line bigint, n bigint, kind bigint, chunk bigint, counts binary"
@@ -118,7 +119,7 @@ def _add_tables(kind, add):
         chunk, total = None, None
         for batch in batches:
             for c, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
-                part = np.frombuffer(raw.as_buffer(), kind)
+                part = unpacked(raw, kind)
                 if c != chunk:
                     if chunk is not None:
                         yield _one(chunk, total)
@@ -200,7 +201,7 @@ def _batch_lines(batch, wanted=None):
             for (lines, chosen, own), keep in zip(parts, _firsts_of_batch(parts))]
 
 
-_POSTINGS = {"word": np.uint64, "kind": np.uint64, "bits": np.uint64, "size": np.int32,
+_POSTINGS = {"word": np.uint32, "kind": np.uint64, "bits": np.uint64, "more": np.uint64, "size": np.int32,
              "place": np.int32, "unit": np.int32}
 _POSTING_ROW = "bucket bigint, " + ", ".join(f"{k} binary" for k in _POSTINGS)
 
@@ -215,7 +216,7 @@ def _packed(bucket: np.ndarray, columns: dict, ddl: str):
     cols = [pa.array([int(bucket[int(a)]) for a, _ in spans], pa.int64())]
     for v in columns.values():
         v = v[order]
-        cols.append(pa.array([v[int(a):int(b)].tobytes() for a, b in spans], pa.binary()))
+        cols.append(pa.array([packed(v[int(a):int(b)]) for a, b in spans], pa.binary()))
     return pa.RecordBatch.from_arrays(cols, names=[f.split()[0] for f in ddl.split(", ")])
 
 
@@ -233,7 +234,10 @@ def _posting_task(shared, n_buckets: int, block: int, num: int, den: int):
                 h, line, place, size, start = _sets(lines, chosen, counts)
                 if not len(h):
                     continue
-                bits = np.bitwise_xor.reduceat(np.uint64(1) << (mix(h) & np.uint64(63)), start)
+                spot = mix(h)  # one of 128 parity bits
+                bit, upper = np.uint64(1) << (spot & np.uint64(63)), (spot & np.uint64(64)) > 0
+                bits = np.bitwise_xor.reduceat(np.where(upper, np.uint64(0), bit), start)
+                more = np.bitwise_xor.reduceat(np.where(upper, bit, np.uint64(0)), start)
                 at = np.flatnonzero(place < prefix_length(size, num, den)[line])
                 line, word = line[at], h[at]
                 kind = lines.kind[chosen][line]
@@ -243,13 +247,18 @@ def _posting_task(shared, n_buckets: int, block: int, num: int, den: int):
                 each = np.repeat(np.arange(len(at)), g)  # one unit, but for words of many lines
                 other = np.arange(len(each)) - np.repeat(np.cumsum(g) - g, g)
                 a, b = np.minimum(own[each], other), np.maximum(own[each], other)
-                out.append((word[each], kind[each], bits[line][each],
+                out.append(((word >> np.uint64(32)).astype(np.uint32)[each], kind[each], bits[line][each],
+                            more[line][each],
                             size[line][each].astype(np.int32),
                             place[at][each].astype(np.int32),
                             (b * (b + 1) // 2 + a).astype(np.int32)))
             if out:
                 cols = dict(zip(_POSTINGS, map(np.concatenate, zip(*out))))
-                spread = mix(cols["word"] + cols["unit"].astype(np.uint64))
+                # postings know their word by 32 bits: words that share them add candidates
+                spread = mix(cols["word"].astype(np.uint64) + (cols["unit"].astype(np.uint64)
+                                                               << np.uint64(32)))
+                order = np.lexsort((cols["kind"], cols["size"], cols["word"]))
+                cols, spread = {k: v[order] for k, v in cols.items()}, spread[order]
                 yield _packed((spread % np.uint64(n_buckets)).astype(np.int64), cols, _POSTING_ROW)
     return run
 
@@ -268,8 +277,7 @@ def _candidate_links(cols: dict, num: int, den: int):
     heads = np.flatnonzero(new)
     end = np.repeat(np.append(heads[1:], len(new)), np.diff(np.append(heads, len(new))))
     kinds, node = np.unique(c["kind"], return_inverse=True)
-    size, place, bits = c["size"].astype(np.int64), c["place"], c["bits"]
-    label = [np.arange(len(kinds))]
+    size, place, bits, more = c["size"].astype(np.int64), c["place"], c["bits"], c["more"]
 
     def pairs():
         at, step = np.arange(len(new)), 1
@@ -278,9 +286,10 @@ def _candidate_links(cols: dict, num: int, den: int):
             at = at[den * size[at] >= num * size[at + step]]  # sizes ascend within a unit
             a, b = at, at + step
             need = -(-num * (size[a] + size[b]) // (num + den))
-            left = 1 + np.minimum(size[a] - place[a], size[b] - place[b]) - 1
-            ok = (left >= need) & (np.bitwise_count(bits[a] ^ bits[b])
-                                   <= size[a] + size[b] - 2 * need)
+            left = np.minimum(size[a] - place[a], size[b] - place[b])
+            differ = (np.bitwise_count(bits[a] ^ bits[b]).astype(np.int64)
+                      + np.bitwise_count(more[a] ^ more[b]))
+            ok = (left >= need) & (differ <= size[a] + size[b] - 2 * need)
             if ok.any():
                 yield node[a[ok]], node[b[ok]]
             step += 1
@@ -292,8 +301,7 @@ def _candidate_links(cols: dict, num: int, den: int):
 def _link_task(num: int, den: int):
     """Arrow task over postings sorted by bucket: candidate links."""
     def finish(held):
-        cols = {k: np.concatenate([np.frombuffer(x[i], t) for x in held])
-                for i, (k, t) in enumerate(_POSTINGS.items())}
+        cols = {k: np.concatenate([x[i] for x in held]) for i, k in enumerate(_POSTINGS)}
         u, v = _candidate_links(cols, num, den)
         yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))],
                                          names=["u", "v"])
@@ -306,7 +314,8 @@ def _link_task(num: int, den: int):
                     yield from finish(held)
                     held = []
                 bucket = b
-                held.append([batch.column(1 + i)[r].as_buffer() for i in range(len(_POSTINGS))])
+                held.append([unpacked(batch.column(1 + i)[r], t)
+                             for i, t in enumerate(_POSTINGS.values())])
         if held:
             yield from finish(held)
     return run
@@ -351,27 +360,34 @@ def first_similar(rows: list[tuple], num: int, den: int) -> list[tuple]:
     rare words first within the group, and a class stops at its first match.
     """
     rows = sorted(rows, key=lambda r: r[0])
-    counts: dict[int, int] = {}
-    for _, _, words in rows:
-        for w in words:
-            counts[w] = counts.get(w, 0) + 1
+    size = np.array([len(r[2]) for r in rows])
+    _, word, count = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True,
+                               return_counts=True)
+    line = np.repeat(np.arange(len(rows)), size)
+    seen_once = count[word] == 1
+    word = word[np.lexsort((word, count[word], line))].astype(np.int32)
+    once = np.bincount(line, weights=seen_once, minlength=len(rows)).astype(int).tolist()
+    stop = np.cumsum(size).tolist()
+    mine = np.zeros(len(count), bool)
     index: dict[int, list[int]] = {}
-    sets: list[frozenset] = []
     out = []
-    for i, (_, kind, words) in enumerate(rows):
-        ordered = sorted(words, key=lambda w: (counts[w], w))
-        mine, n = frozenset(words), len(words)
-        sets.append(mine)
-        prefix = ordered[:n + (-num * n) // den + 1]
+    for i, (_, kind, _) in enumerate(rows):
+        n, b = int(size[i]), stop[i]
+        a = b - n
+        own = word[a:b]
+        mine[own] = True
+        # words of one line only come first and can't be shared
+        prefix = own[once[i]:n + (-num * n) // den + 1].tolist()
         tried, match = set(), None
         for w in prefix:
             for j in index.get(w, ()):
                 if j in tried:
                     continue
                 tried.add(j)
-                m = len(sets[j])
+                m = int(size[j])
                 if den * min(m, n) >= num * max(m, n) and (
-                        len(mine & sets[j]) * (num + den) >= num * (m + n)):
+                        int(np.count_nonzero(mine[word[stop[j] - m:stop[j]]])) * (num + den)
+                        >= num * (m + n)):
                     match = j
                     break
             if match is not None:
@@ -380,6 +396,7 @@ def first_similar(rows: list[tuple], num: int, den: int) -> list[tuple]:
             out.append((kind, rows[match][1]))
         for w in prefix:
             index.setdefault(w, []).append(i)
+        mine[own] = False
     return out
 
 
@@ -400,8 +417,8 @@ def _verify_task(num: int, den: int):
                 if (root[r], a[r]) != unit:
                     yield from finish(held)
                     held, unit = [], (root[r], a[r])
-                words = np.frombuffer(batch.column(5)[r].as_buffer(), np.uint64).tolist()
-                held.append(((ident[r], line[r]), kind[r], words))
+                held.append(((ident[r], line[r]), kind[r],
+                             np.frombuffer(batch.column(5)[r].as_buffer(), np.uint64)))
         yield from finish(held)
     return run
 
@@ -423,13 +440,12 @@ def similar_classes(spark: SparkSession, rows: DataFrame, counts: np.ndarray, nu
     sets = map_batches(rows, _member_task(marked), "kind bigint, id bigint, line bigint, "
                        "words binary")
     # a class comes from several batches: its first line counts, its words are the same
-    first = stored(spark, sets.join(roots.select(F.col("node").alias("kind"), "root"), "kind")
-                   .groupBy("kind").agg(F.min("root").alias("root"),
-                                        F.min(F.struct("id", "line")).alias("first"),
-                                        F.min("words").alias("words")), "line-members")
-    sizes = first.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    g = F.ceil(F.col("n") / members)
-    units = (first.join(sizes, "root").withColumn("g", g)
+    sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    named = stored(spark, roots.join(sizes, "root").select(
+        F.col("node").alias("kind"), "root", F.ceil(F.col("n") / members).alias("g")),
+        "line-members")
+    units = (sets.join(named, "kind").groupBy("kind", "root", "g").agg(
+                 F.min(F.struct("id", "line")).alias("first"), F.min("words").alias("words"))
              .withColumn("own", F.pmod(F.xxhash64("kind"), F.col("g")))
              .withColumn("other", F.explode(F.expr("sequence(0L, g - 1)")))
              .withColumn("hi", F.greatest("own", "other"))

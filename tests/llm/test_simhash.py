@@ -106,9 +106,10 @@ def test_links_on_close_fingerprints(spark, block):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, want.values()))
 
 
-def test_long_chain(spark):
+@pytest.mark.parametrize("finish", [0, components.FINISH])
+def test_long_chain(spark, finish):
     edges = spark.range(400).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
-    roots = components.connected_components(spark, edges).collect()
+    roots = components.connected_components(spark, edges, finish).collect()
     assert len(roots) == 401 and len({r.root for r in roots}) == 1
 
 
