@@ -152,7 +152,7 @@ def training_batches(spark, d):
 @query("patients_with_chunks")
 def patients_with_chunks(spark, d):
     """J4 + A15: patients that have at least one chunk."""
-    return summary.patients_with_chunks(S.patients(spark, d), S.recordings(spark, d))
+    return summary.patients_with_chunks(S.patients(spark, d), S.chunks(spark, d))
 
 
 @query("patients_unreviewed")
@@ -163,7 +163,7 @@ def patients_unreviewed(spark, d):
     """
     reviewed = S.table(spark, d, "supplier").select(
         electrodes.trailing_id("s_name").alias("patient_id"))
-    with_chunks = summary.patients_with_chunks(S.patients(spark, d), S.recordings(spark, d))
+    with_chunks = summary.patients_with_chunks(S.patients(spark, d), S.chunks(spark, d))
     return summary.not_reviewed(with_chunks, reviewed)
 
 

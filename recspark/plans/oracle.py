@@ -113,11 +113,13 @@ FROM sel"""
 
 SQL["patients_with_chunks"] = """
 SELECT c_custkey AS patient_id FROM customer
-WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)"""
+WHERE EXISTS (SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+              WHERE o_custkey = c_custkey)"""
 
 SQL["patients_unreviewed"] = r"""
 SELECT c_custkey AS patient_id FROM customer
-WHERE EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)
+WHERE EXISTS (SELECT 1 FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+              WHERE o_custkey = c_custkey)
   AND NOT EXISTS (SELECT 1 FROM supplier
                   WHERE TRY_CAST(NULLIF(regexp_extract(s_name, '(\d+)$', 1), '') AS BIGINT)
                         = c_custkey)"""

@@ -16,10 +16,8 @@ Rules:
 
 A rejected file becomes one ``rejects`` row listing every reason found.
 
-Plan: lines are exploded from the file row (a codegen'd split) and folded
-back per file with ``max_by(value, line_no)`` per known key. All lines of a
-file come from one input row, so the map-side partial aggregate already
-reduces each file to one row; the shuffle moves one small row per header.
+Plan: the file row holds everything, so its lines are cut, filtered and looked up
+with array functions in place. Nothing is exploded, grouped or shuffled.
 """
 
 from __future__ import annotations
@@ -54,31 +52,40 @@ def _reason(cond: Column, text: str) -> Column:
     return F.when(cond, F.lit(text))
 
 
+def _once(*columns: Column) -> Column:
+    """A struct that is computed once per row: a one-element explode keeps the
+    optimizer from copying the expressions into every place that uses them."""
+    return F.explode(F.array(F.struct(*columns)))
+
+
 def _file_fields(headers: DataFrame, text_col: str, path_col: str) -> DataFrame:
     """One row per file: the last value of every known key, the bad line
     numbers, the other keys and the file's lines."""
-    lines = headers.select(
+    lines = F.coalesce(_lines(F.col(text_col)), F.array().cast("array<string>"))
+    df = headers.select(
         F.col(path_col).alias("_path"),
         F.coalesce(F.length(F.col(text_col)), F.lit(0)).alias("_len"),
-        F.posexplode_outer(_lines(F.col(text_col))).alias("_i", "_raw"))
-    parts = F.split("_raw", "=", -1)
-    ok = F.size(parts) == 2
-    comment = F.col("_raw").startswith("#")
-    lines = lines.select(
-        "_path", "_len", "_raw", (F.col("_i") + 1).cast("int").alias("_n"),
-        F.when(ok & ~comment, parts[0]).alias("_k"),
-        F.when(ok & ~comment, parts[1]).alias("_v"),
-        (F.col("_raw").isNotNull() & ~ok & ~comment).alias("_bad"))
-    known = [F.max_by("_v", F.when(F.col("_k") == k, F.col("_n"))).alias(k) for k in KNOWN_KEYS]
-    other = F.when(F.col("_k").isNotNull() & ~F.col("_k").isin(list(KNOWN_KEYS)),
-                   F.struct("_n", "_k", "_v"))
-    return lines.groupBy("_path").agg(
-        F.max("_len").alias("_len"),
-        *known,
-        F.array_sort(F.collect_list(F.when(F.col("_bad"), F.col("_n")))).alias("_bad_lines"),
-        F.collect_list(other).alias("_other"),
-        F.array_sort(F.collect_list(F.when(F.col("_raw").isNotNull(),
-                                           F.struct("_n", "_raw")))).alias("_text_lines"))
+        _once(lines.alias("_lines")).alias("_x")).select("_path", "_len", "_x._lines")
+    df = df.select("_path", "_len", "_lines", _once(F.filter(
+        F.transform("_lines", lambda x, i: F.struct(
+            (i + 1).alias("_n"), x.alias("_raw"), F.split(x, "=", -1).alias("_p"))),
+        lambda e: ~e["_raw"].startswith("#")).alias("_entries")).alias("_x"))
+    df = df.select("_path", "_len", "_lines", F.col("_x._entries").alias("_entries"), _once(
+        F.filter("_x._entries", lambda e: F.size(e["_p"]) == 2).alias("_pairs")).alias("_y"))
+    df = df.select("_path", "_len", "_lines", "_entries", "_y._pairs")
+
+    def last(key):
+        return F.try_element_at(F.filter("_pairs", lambda e: e["_p"][0] == key),
+                                F.lit(-1))["_p"][1]
+
+    return df.select(
+        "_path", "_len", "_lines", _once(*[last(k).alias(k) for k in KNOWN_KEYS],
+        F.transform(F.filter("_entries", lambda e: F.size(e["_p"]) != 2),
+                    lambda e: e["_n"]).alias("_bad_lines"),
+        F.transform(F.filter("_pairs", lambda e: ~e["_p"][0].isin(list(KNOWN_KEYS))),
+                    lambda e: F.struct(e["_n"].alias("_n"), e["_p"][0].alias("_k"),
+                                       e["_p"][1].alias("_v"))).alias("_other")).alias("_x")
+    ).select("_path", "_len", "_lines", "_x.*")
 
 
 def parse_headers(headers: DataFrame, text_col: str = "text", path_col: str = "path"
@@ -106,7 +113,7 @@ def parse_headers(headers: DataFrame, text_col: str = "text", path_col: str = "p
         "_other", lambda x: (x["_k"] == e["_k"]) & (x["_n"] > e["_n"])))
     extra = F.map_from_entries(F.transform(
         last_other, lambda e: F.struct(e["_k"].alias("k"), e["_v"].alias("v"))))
-    text = F.array_join(F.transform("_text_lines", lambda x: x["_raw"]), "\n")
+    text = F.array_join("_lines", "\n")
 
     path = F.col("_path")
     data_file = data_file_of(path)
