@@ -6,7 +6,11 @@ cut into buckets at approximate quantiles of the leading order column; the
 driver only sees the cut points. Per ``(p, bucket)`` the rows are counted and
 summed (a map-side combined aggregate), those few totals are prefix-summed,
 and the window then runs inside a bucket. The results are exact whatever the
-cut points are: they only decide how the work is split.
+cut points are: they only decide how the work is split. The number of buckets
+follows the rows (``ROWS_PER_BUCKET``), at least one per core.
+
+NULL keys form a group like any other and NULL order values come first, as in
+a plain window.
 
 The order columns must form a total order (no ties) for the output to be
 deterministic.
@@ -21,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "_seg_bucket"
+ROWS_PER_BUCKET = 250_000
 
 
 def _numeric(df: DataFrame, colname: str):
@@ -36,24 +41,34 @@ def _numeric(df: DataFrame, colname: str):
     return c.cast("double")
 
 
-def add_buckets(df: DataFrame, lead: str, n_buckets: int, rel_error: float = 0.01) -> DataFrame:
-    """Add ``_seg_bucket``: the quantile slice of ``lead`` a row falls in."""
+def bucket_count(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Buckets of about ``rows_per_bucket`` rows, at least one per core."""
+    return max(df.sparkSession.sparkContext.defaultParallelism,
+               -(-df.count() // rows_per_bucket))
+
+
+def add_buckets(df: DataFrame, lead: str, n_buckets: int | None = None) -> DataFrame:
+    """Add ``_seg_bucket``: the quantile slice of ``lead`` a row falls in (NULL: -1,
+    before all others)."""
     num = df.withColumn("_seg_lead", _numeric(df, lead))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = num.approxQuantile("_seg_lead", probs, rel_error) if probs else []
-    splits = [float("-inf")] + sorted({c for c in cuts if c is not None}) + [float("inf")]
-    if len(splits) < 3:
-        return num.withColumn(_BUCKET, F.lit(0.0)).drop("_seg_lead")
-    bucketizer = Bucketizer(splits=splits, inputCol="_seg_lead", outputCol=_BUCKET,
-                            handleInvalid="keep")
-    return bucketizer.transform(num).drop("_seg_lead")
+    n = n_buckets or bucket_count(num.select("_seg_lead"))
+    probs = [i / n for i in range(1, n)]
+    cuts = num.approxQuantile("_seg_lead", probs, min(0.01, 0.25 / n)) if probs else []
+    splits = [float("-inf")] + sorted(set(cuts)) + [float("inf")]
+    if len(splits) > 2:
+        num = Bucketizer(splits=splits, inputCol="_seg_lead", outputCol=_BUCKET,
+                         handleInvalid="keep").transform(num)
+    else:
+        num = num.withColumn(_BUCKET, F.lit(0.0))
+    return num.withColumn(_BUCKET, F.when(F.col("_seg_lead").isNull(), F.lit(-1.0))
+                          .otherwise(F.col(_BUCKET))).drop("_seg_lead")
 
 
 def segmented_scan(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
                    position: str | None = "position",
                    sums: dict[str, str] | None = None,
                    lags: dict[str, str] | None = None,
-                   n_buckets: int = 64) -> DataFrame:
+                   n_buckets: int | None = None) -> DataFrame:
     """Add a 0-based ``position`` within ``partition_cols`` in ``order_cols`` order,
     exclusive running sums (``{out: col}``, the sum over earlier rows) and lags
     (``{out: col}``, the value of the previous row, NULL for the first).
@@ -76,15 +91,20 @@ def segmented_scan(df: DataFrame, partition_cols: Sequence[str], order_cols: Seq
     # Prefix over buckets: this window runs over the small totals table.
     wb = Window.partitionBy(*parts).orderBy(_BUCKET)
     before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    same = [f"_seg_key_{i}" for i in range(len(parts))]
     pref = tot.select(
-        *parts, _BUCKET,
+        *[F.col(c).alias(k) for c, k in zip(parts, same)],
+        F.col(_BUCKET).alias("_seg_key_b"),
         F.coalesce(F.sum("_seg_n").over(before), F.lit(0)).alias("_seg_off"),
         *[F.coalesce(F.sum(f"_seg_s_{o}").over(before), F.lit(0)).alias(f"_seg_soff_{o}")
           for o in sums],
         *([F.lag("_seg_last").over(wb).alias("_seg_prev")] if lags else []))
 
     w = Window.partitionBy(*parts, _BUCKET).orderBy(*order)
-    out = b.join(pref, [*parts, _BUCKET], "left")
+    on = F.col(_BUCKET) == F.col("_seg_key_b")
+    for c, k in zip(parts, same):
+        on &= F.col(c).eqNullSafe(F.col(k))
+    out = b.join(pref, on, "left")
     if position:
         out = out.withColumn(position, (F.col("_seg_off") + F.row_number().over(w) - 1)
                              .cast("bigint"))
@@ -96,7 +116,7 @@ def segmented_scan(df: DataFrame, partition_cols: Sequence[str], order_cols: Seq
     for o, c in lags.items():
         out = out.withColumn(o, F.when(first_in_bucket, F.col(f"_seg_prev._lag_{o}"))
                              .otherwise(F.lag(c).over(w)))
-    drop = [_BUCKET, "_seg_off", *[f"_seg_soff_{o}" for o in sums]]
+    drop = [_BUCKET, "_seg_key_b", *same, "_seg_off", *[f"_seg_soff_{o}" for o in sums]]
     if lags:
         drop.append("_seg_prev")
     return out.drop(*drop)

@@ -40,7 +40,7 @@ def training_set(chunks: DataFrame, patient_id=None, states: Sequence[int] | Non
                  key: Sequence[str] = DEFAULT_KEY,
                  payload: Sequence[str] = ("data", "seizure_state", "data_type"),
                  transform: Callable[[DataFrame], DataFrame] | None = None,
-                 n_buckets: int = 64) -> DataFrame:
+                 n_buckets: int | None = None) -> DataFrame:
     """M1 / M3: ``batch_id, pos_in_batch, key..., payload...`` in key order.
 
     ``patient_id=None`` gives the all-patient set (M3). ``transform`` is the
@@ -59,12 +59,17 @@ def training_set(chunks: DataFrame, patient_id=None, states: Sequence[int] | Non
 def shuffle_batches(batches: DataFrame, seed: int = 0) -> DataFrame:
     """M2: permute whole pages; rows of one page stay together and in order.
 
-    ``epoch_rank`` is a seeded hash of the batch id, so every epoch with the
-    same seed sees the same order and a new seed gives a new one.
+    ``epoch_pos`` is the 0-based place of the page in the epoch: the rank of the
+    MD5 of seed and batch id, so an epoch with the same seed sees the same order
+    and a new seed gives a new one. Each page has one row with ``pos_in_batch``
+    0, so the pages are listed by a filter; reading an epoch is a scan in
+    ``epoch_pos, pos_in_batch`` order.
     """
-    return (batches
-            .withColumn("epoch_rank", F.xxhash64(F.lit(seed), F.col("batch_id")))
-            .orderBy("epoch_rank", "batch_id", "pos_in_batch"))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col("batch_id")).cast("binary"))
+    pages = batches.where(F.col("pos_in_batch") == 0).select(
+        "batch_id", F.conv(F.substring(digest, 1, 13), 16, 10).cast("bigint").alias("_hash"))
+    ranked = segmented_scan(pages, (), ("_hash", "batch_id"), position="epoch_pos")
+    return batches.join(ranked.select("batch_id", "epoch_pos"), "batch_id")
 
 
 def batch_count(n_rows: int, batch_size: int) -> int:

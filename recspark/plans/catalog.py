@@ -468,9 +468,8 @@ def training_all(spark, d):
 
 @query("shuffled_batches")
 def shuffled_batches(spark, d):
-    """M2: the pages of training_batches in a seeded order (content unchanged)."""
-    b = training_batches(spark, d)
-    return training.shuffle_batches(b, seed=7).drop("epoch_rank")
+    """M2: the pages of training_batches and their places in a seeded epoch."""
+    return training.shuffle_batches(training_batches(spark, d), seed=7)
 
 
 def _scale_payload(df):

@@ -178,14 +178,24 @@ SELECT '/data/inv/pat_' || user_id || '/seizure_list' AS path,
 FROM events
 WHERE event_id % 10 NOT IN (0, 5) AND (event_id % 13 = 1 OR event_id % 17 = 3)"""
 
-SQL["page_links"] = """
+def _element_text(inner: str) -> str:
+    out = f"regexp_replace({inner}, '<[^>]*>', '', 'g')"
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"),
+                         ("&apos;", "''"), ("&nbsp;", " "), ("&amp;", "&")):
+        out = f"replace({out}, '{entity}', '{char}')"
+    return out
+
+
+SQL["page_links"] = rf"""
 SELECT page_id, CAST(pos AS INTEGER) AS link_pos, anchor FROM (
-  SELECT page_id, unnest(range(0, len(a))) AS pos, unnest(a) AS anchor
-  FROM (SELECT page_id, regexp_extract_all(html, '<a[^>]*>([^<]*)</a>', 1) AS a FROM pages))
+  SELECT page_id, pos, {_element_text("inner_html")} AS anchor FROM (
+    SELECT page_id, unnest(range(0, len(a))) AS pos, unnest(a) AS inner_html
+    FROM (SELECT page_id, regexp_extract_all(html, '(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>', 1) AS a
+          FROM pages)))
 WHERE anchor NOT IN ('The', 'the', 'and', 'of', 'to', 'a', 'in')"""
 
-SQL["page_text"] = """
-SELECT page_id, regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1) AS text FROM pages"""
+_H1 = r"regexp_extract(html, '(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>', 1)"
+SQL["page_text"] = f"SELECT page_id, {_element_text(_H1)} AS text FROM pages"
 
 SQL["resolve_patient_dirs"] = """
 WITH l AS (SELECT 'FR_' || s_suppkey AS listing, s_suppkey AS n FROM supplier),
@@ -422,7 +432,12 @@ FROM sel"""
 
 
 SQL["training_all"] = _batches(32, "seizure_state IN (0, 2) AND data_type IN (3)")
-SQL["shuffled_batches"] = _batches(1000, "seizure_state IN (0, 2)")
+SQL["shuffled_batches"] = f"""
+WITH b AS ({_batches(1000, "seizure_state IN (0, 2)")}),
+e AS (SELECT batch_id, row_number() OVER (
+        ORDER BY CAST('0x' || substr(md5('7:' || batch_id), 1, 13) AS BIGINT), batch_id) - 1
+        AS epoch_pos FROM (SELECT DISTINCT batch_id FROM b))
+SELECT b.*, e.epoch_pos FROM b JOIN e ON b.batch_id = e.batch_id"""
 SQL["transform_hook"] = _batches(32, "seizure_state IN (0, 2) AND data_type IN (3)",
                                  "round(data / 1000, 6)")
 

@@ -9,10 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ANCHOR_PATTERN = r"<a[^>]*>([^<]*)</a>"
+ANCHOR_PATTERN = r"(?is)<a(?:\s[^>]*)?>(.*?)</a\s*>"
+# named entities of plain text (fixed values); the ampersand comes last
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+            ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def element_text(inner: Column) -> Column:
+    """Text of an element's content: inner tags removed, entities decoded."""
+    out = F.regexp_replace(inner, "<[^>]*>", "")
+    for entity, char in ENTITIES:
+        out = F.replace(out, F.lit(entity), F.lit(char))
+    return out
 
 
 def listing_links(pages: DataFrame, must_contain: str | None = "_",
@@ -21,7 +32,8 @@ def listing_links(pages: DataFrame, must_contain: str | None = "_",
     """Anchor texts of each page (``page_id, link_pos, anchor``), kept when they
     contain ``must_contain`` and are not in ``exclude`` (a list of names or a
     one-column frame ``anchor``, applied as an anti-join)."""
-    anchors = F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR_PATTERN), 1)
+    anchors = F.transform(F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR_PATTERN), 1),
+                          element_text)
     out = pages.select(id_col, F.posexplode(anchors).alias("link_pos", "anchor"))
     if must_contain:
         out = out.where(F.col("anchor").contains(must_contain))
@@ -37,8 +49,9 @@ def first_tag_text(pages: DataFrame, tag: str = "pre", html_col: str = "html",
                    id_col: str = "page_id") -> DataFrame:
     """Text of the first ``<tag>`` element of each page ('' when absent).
     With ``tag='pre'`` this is the annotation list of a patient page."""
-    pattern = rf"<{tag}[^>]*>([^<]*)</{tag}>"
-    return pages.select(id_col, F.regexp_extract(F.col(html_col), pattern, 1).alias("text"))
+    pattern = rf"(?is)<{tag}(?:\s[^>]*)?>(.*?)</{tag}\s*>"
+    text = element_text(F.regexp_extract(F.col(html_col), pattern, 1))
+    return pages.select(id_col, text.alias("text"))
 
 
 def resolve_listing_dirs(listings: DataFrame, existing_dirs: DataFrame,
