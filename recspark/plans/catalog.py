@@ -293,16 +293,22 @@ def vector_stats(spark, d):
         "vec_id", "patient_id", "n_values", "vmin", "vmax", "vmean", "vstd")
 
 
+@query("matrix_stats")
+def matrix_stats(spark, d):
+    """The same statistics over all values of all vectors."""
+    return qc.matrix_stats(S.vectors(spark, d))
+
+
 @query("payload_size_range")
 def payload_size_range(spark, d):
     """min/max payload bytes per patient."""
-    return qc.payload_size_range(S.sized_vectors(spark, d))
+    return qc.payload_size_range(S.payloads(spark, d), by="patient")
 
 
 @query("vector_size_stats")
 def vector_size_stats(spark, d):
     """A10: describe() of payload bytes."""
-    return qc.describe_sizes(S.sized_vectors(spark, d))
+    return qc.describe_sizes(S.payloads(spark, d))
 
 
 @query("nan_inf")

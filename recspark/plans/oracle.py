@@ -255,14 +255,19 @@ SELECT vec_id, patient_id, CAST(len(d) AS INTEGER) AS n_values,
                               lambda a, b: a + b) / len(d)), 6) AS vstd
 FROM m"""
 
-_SIZED = "CAST(4 * (vec_id % 49 + 16) AS BIGINT)"
-
-SQL["payload_size_range"] = f"""
-SELECT label AS patient_id, min({_SIZED}) AS min_bytes, max({_SIZED}) AS max_bytes
-FROM embeddings GROUP BY label"""
-
-SQL["vector_size_stats"] = f"""
-WITH b AS (SELECT CAST({_SIZED} AS DOUBLE) AS b FROM embeddings)
+SQL["matrix_stats"] = f"""
+WITH v AS (SELECT unnest({_DBL}) AS x FROM embeddings)
+SELECT (SELECT count(*) FROM embeddings WHERE len(embedding) > 0) AS n_rows,
+       count(*) AS n_values, round(min(x), 6) AS vmin, round(max(x), 6) AS vmax,
+       round(avg(x), 6) AS vmean, round(stddev_pop(x), 6) AS vstd
+FROM v"""
+
+SQL["payload_size_range"] = """
+SELECT source AS patient, min(strlen(text)) AS min_bytes, max(strlen(text)) AS max_bytes
+FROM documents GROUP BY source"""
+
+SQL["vector_size_stats"] = """
+WITH b AS (SELECT CAST(strlen(text) AS DOUBLE) AS b FROM documents)
 SELECT count(*) AS count, round(avg(b), 6) AS mean, round(stddev_samp(b), 6) AS std,
        min(b) AS min, round(quantile_cont(b, 0.25), 6) AS p25,
        round(quantile_cont(b, 0.5), 6) AS p50, round(quantile_cont(b, 0.75), 6) AS p75,

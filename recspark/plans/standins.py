@@ -217,7 +217,7 @@ def faulty_vectors(spark, d, with_nan: bool = True) -> DataFrame:
     return v.withColumn("data", data.otherwise(F.col("data")))
 
 
-def sized_vectors(spark, d) -> DataFrame:
-    """Payloads of varying length: the first 16 + vec_id%49 values."""
-    v = vectors(spark, d)
-    return v.withColumn("data", F.slice("data", 1, (F.col("vec_id") % 49 + 16).cast("int")))
+def payloads(spark, d) -> DataFrame:
+    """Payloads of varying size: whole document texts; source plays the patient."""
+    return table(spark, d, "documents").select(F.col("source").alias("patient"),
+                                               F.col("text").alias("data"))
