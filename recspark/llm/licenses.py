@@ -1,23 +1,25 @@
-"""Licence scan: winnowed fingerprints pick candidates, banded alignment decides.
+"""Licence scan: counts of template words pick regions, exact alignment decides.
 
 Templates are cut into words (as in decontamination: letters, digits and
-non-ASCII characters, A-Z lower-cased). Of every ``WINDOW`` consecutive word
-``GRAM``-grams the one with the smallest hash is kept, in an inverted index of
-hash -> (template, place). The kept grams of a document that meet the index are
-candidates at the diagonal (document place - template place). Neighbouring
-diagonals are one candidate, however many documents or places share the gram.
-
-A candidate is settled by a banded alignment of the whole template with the
-words around it: match +2, mismatch and gap -1, the document's ends free, at
-most ``BAND`` words off the candidate's diagonals. Coverage is the share of
-template words that are matched in the best alignment; candidates of at least
-``MIN_COVERAGE`` are reported with the matched span in words and bytes. Of
-overlapping reports of one template the best one stays.
+non-ASCII characters, A-Z lower-cased) and aligned whole with the text: match +2,
+mismatch and gap -1, the document's ends free. Coverage is the share of template
+words that are matched. For every word of a text the best alignment whose last
+match it is counts (more score, more matches, earlier start). Those of at least
+``MIN_COVERAGE`` are reported best first, as the span from the first to the last
+match in words and bytes, unless they overlap a span reported before. Reported
+spans are masked and the words between them aligned again, until nothing is
+found, so each of several copies of a notice has its own row.
+
+The regions lose nothing. Of ``n`` template words ``need`` must be matched, so of
+any ``n - need + r`` template words at least ``r`` are; and the best alignment
+is shorter than ``SPAN * n`` words, because each extra word costs what a third of
+a match gains. Only where ``r`` places with such words lie that close is the text
+aligned. The words and ``r`` are chosen by their counts in the piece at hand, which
+decides how much is aligned and never what is found.
 
 Templates are fixed texts; more than ``BLOCK_BYTES`` of them are scanned block
 by block. Defined results: null, empty and word-less texts report nothing;
-templates of fewer than ``GRAM`` words are compared at every word; equal
-alignments prefer the earlier span; repeated rows repeat their reports; an
+equal alignments prefer the earlier span; repeated rows repeat their reports; an
 empty table gives an empty result. Other columns are ignored.
 """
 
@@ -27,11 +29,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from recspark.llm.common import Words, gram_hash, map_batches, narrow, pieces, sliding_min, utf8
+from recspark.llm.common import Words, map_batches, narrow, pieces, utf8
 
-GRAM = 3
-WINDOW = 3
-BAND = 8
+SPAN = 4           # an alignment is shorter than SPAN times its template
+TILE = 1 << 16     # words aligned in one step
 MIN_COVERAGE = 0.8
 BLOCK_BYTES = 8 << 20
 
@@ -79,7 +80,8 @@ def align(template: list, words: list, low: int, high: int) -> tuple[int, int, i
     """Best banded alignment of a whole template: (score, matched, start, end).
 
     Template word i may stand at words[i + low .. i + high]; what lies before the
-    start and after the end is free.
+    start and after the end is free. The plain form of one alignment; the scan uses
+    ``last_matches``.
     """
     n, m = len(template), len(words)
     width = high - low + 1
@@ -109,102 +111,166 @@ def align(template: list, words: list, low: int, high: int) -> tuple[int, int, i
     return score, matched, -start, n + low + k
 
 
+def last_matches(template: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(end, score, matched, start) of the best alignment by place of its last match.
+
+    A cell holds score, matches and m - start in one number, the score raised by the
+    words used on both sides: gaps then cost nothing and a running maximum takes them.
+    """
+    n, m = len(template), len(words)
+    low, mid = (m + 1).bit_length(), n.bit_length()
+    small = (3 * n + m + 8).bit_length() + low + mid < 63
+    kind = np.int64 if small else object
+    match, unit = 1 << low, 1 << (low + mid)
+    row = np.arange(m + 1).astype(kind) * unit  # nothing matched
+    best = np.zeros(m, np.int64).astype(kind)
+    at = {int(w): np.flatnonzero(words == w) for w in np.unique(template)}
+    for w in template.tolist():
+        p = at[w]
+        new = row.copy()
+        np.maximum(new[1:], row[:-1] + unit, out=new[1:])  # mismatch
+        if len(p):
+            hit = row[p] + 4 * unit + match
+            hit += np.where(row[p] == p.astype(kind) * unit, m - p, 0)
+            new[p + 1] = np.maximum(new[p + 1], hit)
+            best[p] = np.maximum(best[p], hit)
+        row = np.maximum.accumulate(new)
+    p = np.flatnonzero(best)
+    score = (best[p] // unit).astype(np.int64) - n - p - 1
+    matched = (best[p] // match % (1 << mid)).astype(np.int64)
+    return p + 1, score, matched, m - (best[p] % match).astype(np.int64)
+
+
 class TemplateIndex:
-    """Inverted index of the kept grams of a block of templates."""
+    """Words of a block of templates, and where a piece of texts repeats a template."""
 
-    def __init__(self, templates: dict[str, str], gram: int = GRAM, window: int = WINDOW):
-        self.gram, self.window = gram, window
+    def __init__(self, templates: dict[str, str]):
         self.names = sorted(templates)
-        self.words: list[list[bytes]] = []
-        places: dict[int, list[tuple[int, int]]] = {}
-        self.short: dict[int, dict[int, list[int]]] = {}
-        for t, name in enumerate(self.names):
+        split = []
+        for name in self.names:
             data = np.frombuffer(templates[name].encode(), np.uint8)
             words = Words(data, np.array([0, len(data)]))
-            n = len(words.start)
-            self.words.append([words.text(i, i + 1) for i in range(n)])
-            if 0 < n < gram:
-                value = int(gram_hash(words.hash, n)[0])
-                self.short.setdefault(n, {}).setdefault(value, []).append(t)
-                continue
-            value = gram_hash(words.hash, gram)
-            for p in range(len(value)):
-                # every gram of a template is indexed, so that whatever gram a document
-                # keeps from a shared window is found
-                places.setdefault(int(value[p]), []).append((t, p))
-        self.places = places
-        self.known = np.array(sorted(places), np.uint64)
-
-    def candidates(self, words: Words) -> dict[tuple[int, int], list[int]]:
-        """(document, template) -> diagonals."""
-        out: dict[tuple[int, int], list[int]] = {}
-        value = gram_hash(words.hash, self.gram)
-        if len(value) and len(self.known):
-            kept = value[:0]
-            least = sliding_min(value, self.window)
-            span = self.window if len(least) else len(value)
-            if len(least):
-                keep = np.zeros(len(value), bool)
-                for k in range(span):
-                    keep[k:k + len(least)] |= value[k:k + len(least)] == least
-                edge = np.flatnonzero(np.diff(words.doc)) + 1
-                for k in range(-span - self.gram, span + 1):  # all grams near a border
-                    at = edge + k
-                    keep[at[(at >= 0) & (at < len(keep))]] = True
-                kept = np.flatnonzero(keep)
-            else:
-                kept = np.arange(len(value))
-            spot = np.minimum(np.searchsorted(self.known, value[kept]), len(self.known) - 1)
-            at = kept[self.known[spot] == value[kept]]
-            at = at[words.doc[at] == words.doc[at + self.gram - 1]]
-            for p in at.tolist():
-                d = int(words.doc[p])
-                for t, q in self.places[int(value[p])]:
-                    out.setdefault((d, t), []).append(p - int(words.first[d]) - q)
-        for n, values in self.short.items():
-            value = gram_hash(words.hash, n)
-            known = np.array(sorted(values), np.uint64)
-            at = np.flatnonzero(np.isin(value, known))
-            for p in at[words.doc[at] == words.doc[at + n - 1]].tolist():
-                d = int(words.doc[p])
-                for t in values[int(value[p])]:
-                    out.setdefault((d, t), []).append(p - int(words.first[d]))
+            split.append([(h, words.text(i, i + 1)) for i, h in enumerate(words.hash.tolist())])
+        known = sorted({w for words in split for w in words})
+        code = {w: i for i, w in enumerate(known)}
+        self.hash = np.array([h for h, _ in known], np.uint64)
+        self.text = [np.frombuffer(t, np.uint8) for _, t in known]
+        self.words = [np.array([code[w] for w in words], np.int64) for words in split]
+
+    def codes(self, words: Words) -> np.ndarray:
+        """Number of each word of the piece among the template words, or -1."""
+        out = np.full(len(words.hash), -1, np.int64)
+        if not len(self.hash):
+            return out
+        left = np.searchsorted(self.hash, words.hash, side="left")
+        at = np.flatnonzero(self.hash[np.minimum(left, len(self.hash) - 1)] == words.hash)
+        left = left[at]
+        order = np.argsort(left, kind="stable")
+        edges = np.flatnonzero(np.append(True, np.diff(left[order]) != 0)) if len(at) else []
+        for x, y in zip(edges, [*edges[1:], len(at)]):
+            places, c = at[order[x:y]], int(left[order[x]])
+            while c < len(self.hash) and self.hash[c] == words.hash[places[0]]:
+                want = self.text[c]  # the bytes decide
+                same = places[words.end[places] - words.start[places] == len(want)]
+                spot = words.start[same][:, None] + np.arange(len(want))
+                out[same[(words.data[spot] == want).all(axis=1)]] = c
+                c += 1
         return out
 
-    def reports(self, words: Words, offsets: np.ndarray, band: int, least: float) -> list[tuple]:
+    def regions(self, words: Words, codes: np.ndarray, known: np.ndarray, count: np.ndarray,
+                template: np.ndarray, need: int) -> list[tuple[int, int, int]]:
+        """(first word read, first word, end) of the word ranges that hold every alignment
+        with ``need`` matches. ``known`` are the places of template words."""
+        n = len(template)
+        reach, spare = SPAN * n, n - need
+        order = template[np.lexsort((template, count[template]))]
+        once = np.append(True, order[1:] != order[:-1])
+        hits = np.cumsum(count[order] * once)[spare:]
+        r = int(np.argmin(hits / np.arange(1, need + 1))) + 1
+        chosen = np.zeros(len(count), bool)
+        chosen[order[:spare + r]] = True
+        p = known[chosen[codes[known]]]
+        if len(p) < r:
+            return []
+        a, b = p[:len(p) - r + 1], p[r - 1:]
+        close = (b - a < reach) & (words.doc[a] == words.doc[b])
+        a, b = a[close], b[close]
+        if not len(a):
+            return []
+        doc = words.doc[a]
+        lo = np.maximum(words.first[doc], b - reach + 1)
+        hi = np.minimum(words.first[doc + 1], a + reach)
+        new = np.append(True, (lo[1:] > hi[:-1] + reach) | (doc[1:] != doc[:-1]))
+        head = np.flatnonzero(new)
+        lo, hi, doc = lo[head], hi[np.append(head[1:], len(hi)) - 1], doc[head]
+        inside = np.searchsorted(known, hi) - np.searchsorted(known, lo)
+        keep = inside >= need
+        read = np.maximum(words.first[doc], lo - reach)
+        return list(zip(read[keep].tolist(), lo[keep].tolist(), hi[keep].tolist()))
+
+    def _aligned(self, codes: np.ndarray, template: np.ndarray, need: int,
+                 regions: list[tuple[int, int, int]]):
+        """(-score, start, end, matched, region) of the alignments that end in a region."""
+        reach = SPAN * len(template)
+        tiles = [(max(read, x - reach), x, min(x + TILE, hi), k)
+                 for k, (read, lo, hi) in enumerate(regions) for x in range(lo, hi, TILE)]
+        out, gap = [], np.full(reach, -1, np.int64)  # no alignment spans a gap
+        while tiles:
+            part, size = [], 0
+            while tiles and size < TILE:
+                part.append(tiles.pop())
+                size += part[-1][2] - part[-1][0]
+            spans = [x for read, _, hi, _ in part for x in (codes[read:hi], gap)]
+            first = np.concatenate(([0], np.cumsum([len(x) for x in spans])))[:-1:2]
+            end, score, matched, start = last_matches(template, np.concatenate(spans))
+            ok = np.flatnonzero(matched >= need)
+            which = np.searchsorted(first, start[ok], side="right") - 1
+            for x, t in zip(ok.tolist(), which.tolist()):
+                read, lo, _, k = part[t]
+                s, e = int(start[x] - first[t]) + read, int(end[x] - first[t]) + read
+                if e > lo:
+                    out.append((-int(score[x]), s, e, int(matched[x]), k))
+        return sorted(out)
+
+    def occurrences(self, words: Words, codes: np.ndarray, known: np.ndarray, count: np.ndarray,
+                    template: np.ndarray, need: int) -> list[tuple[int, int, int]]:
+        """(start, end, matched) of every occurrence, in words of the piece."""
+        regions = self.regions(words, codes, known, count, template, need)
+        found, taken = [], np.zeros(len(codes) if regions else 0, bool)
+        while regions:
+            spans: dict[int, list[tuple[int, int]]] = {}
+            for _, s, e, matched, k in self._aligned(codes, template, need, regions):
+                if not taken[s:e].any():
+                    taken[s:e] = True
+                    spans.setdefault(k, []).append((s, e))
+                    found.append((s, e, matched))
+            left = []
+            for k, cut in spans.items():
+                read, lo, hi = regions[k]
+                for s, e in [*sorted(cut), (hi, hi)]:
+                    if s - read >= need and s > lo:
+                        left.append((read, max(read, lo), s))
+                    read = e
+            regions = left
+        return found
+
+    def reports(self, words: Words, offsets: np.ndarray, least: float) -> list[tuple]:
         """(document row, license, coverage, matched, words, span in words, in bytes)."""
         out = []
-        for (d, t), diagonals in sorted(self.candidates(words).items()):
-            template, base = self.words[t], int(words.first[d])
-            total = int(words.first[d + 1]) - base
-            groups: list[list[int]] = []
-            for x in sorted(set(diagonals)):
-                if groups and x - groups[-1][1] <= band:
-                    groups[-1][1] = x
-                else:
-                    groups.append([x, x])
-            found = []
-            for low, high in groups:
-                a = max(0, low - band)
-                b = min(total, high + len(template) + band)
-                text = [words.text(base + i, base + i + 1) for i in range(a, b)]
-                score, matched, s, e = align(template, text, low - band - a, high + band - a)
-                if matched and matched >= least * len(template):
-                    # outer words that don't match are not part of the span
-                    while s < e and text[s] not in template:
-                        s += 1
-                    while e > s and text[e - 1] not in template:
-                        e -= 1
-                    found.append((-score, a + s, a + e, matched))
-            taken: list[tuple[int, int]] = []
-            for _, s, e, matched in sorted(found):
-                if any(s < y and x < e for x, y in taken):
-                    continue
-                taken.append((s, e))
-                at = int(offsets[d])
-                out.append((d, self.names[t], matched / len(template), matched, len(template), s,
-                            e, int(words.start[base + s]) - at, int(words.end[base + e - 1]) - at))
-        return out
+        codes = self.codes(words)
+        known = np.flatnonzero(codes >= 0)
+        count = np.bincount(codes[known], minlength=len(self.hash))
+        for name, template in zip(self.names, self.words):
+            n = len(template)
+            need = next((m for m in range(1, n + 1) if m >= least * n), None)
+            if need is None:
+                continue
+            for s, e, matched in self.occurrences(words, codes, known, count, template, need):
+                d = int(words.doc[s])
+                base, at = int(words.first[d]), int(offsets[d])
+                out.append((d, name, matched / n, matched, n, s - base, e - base,
+                            int(words.start[s]) - at, int(words.end[e - 1]) - at))
+        return sorted(out)
 
 
 def _blocks(templates: dict[str, str], limit: int) -> list[dict[str, str]]:
@@ -220,7 +286,7 @@ def _blocks(templates: dict[str, str], limit: int) -> list[dict[str, str]]:
 
 
 def scan_licenses(spark: SparkSession, docs: DataFrame, templates: dict[str, str] = TEMPLATES,
-                  id_col: str = "doc_id", text_col: str = "text", band: int = BAND,
+                  id_col: str = "doc_id", text_col: str = "text",
                   min_coverage: float = MIN_COVERAGE,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per occurrence: doc_id, license, coverage, matched_words, template_words,
@@ -239,7 +305,7 @@ def scan_licenses(spark: SparkSession, docs: DataFrame, templates: dict[str, str
                 for lo, hi in pieces(offsets):
                     off = offsets[lo:hi + 1] - offsets[lo]
                     words = Words(data[offsets[lo]:offsets[hi]], off)
-                    found = index.reports(words, off, band, min_coverage)
+                    found = index.reports(words, off, min_coverage)
                     cols = list(zip(*found)) or [[]] * 9
                     at = pa.array([lo + d for d in cols[0]], pa.int64())
                     yield pa.RecordBatch.from_arrays(

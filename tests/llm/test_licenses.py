@@ -98,3 +98,88 @@ def test_blocks_short_templates_and_empty(spark):
     assert {(r.doc_id, r.license, r.start_word, r.end_word) for r in got} == {
         (1, "cc0", 1, 2), (1, "two", 5, 7)}
     assert L.scan_licenses(spark, df.limit(0)).count() == 0
+
+
+def best_by_last_match(template, words):
+    """{end: (score, matched, -start)} over all alignments, cell by cell."""
+    none, out = (0, 0, 0), {}
+    row = [none] * (len(words) + 1)
+    for i, t in enumerate(template):
+        new = [(-i - 1, 0, 0)]
+        for j, w in enumerate(words, 1):
+            s, c, b = row[j - 1]
+            cells = [(s - 1, c, b), (row[j][0] - 1, *row[j][1:]), (new[-1][0] - 1, *new[-1][1:]),
+                     (-i - 1, 0, 0)]
+            if t == w:
+                hit = (s + 2, c + 1, b) if c else (2 - i, 1, 1 - j)
+                cells.append(hit)
+                end = (hit[0] - (len(template) - i - 1), *hit[1:])
+                out[j] = max(out.get(j, end), end)
+            # with nothing matched there is no start yet
+            new.append(max(cells, key=lambda x: (x[0], x[1], x[2] if x[1] else -10**9)))
+        row = new
+    return out
+
+
+def brute_force(template, words, least=0.8):
+    """(start, end, matched): best first, masked, the rest aligned again."""
+    out, todo = [], [(0, len(words))]
+    while todo:
+        lo, hi = todo.pop()
+        found = sorted((-s, lo - b, lo + e, c) for e, (s, c, b)
+                       in best_by_last_match(template, words[lo:hi]).items()
+                       if c >= least * len(template))
+        cut = []
+        for _, s, e, c in found:
+            if all(e <= x or s >= y for x, y in cut):
+                cut.append((s, e))
+                out.append((s, e, c))
+        for s, e in [*sorted(cut), (hi, hi)] if cut else []:
+            todo.append((lo, s))
+            lo = e
+    return sorted(out)
+
+
+def repeated_corpus():
+    rng = random.Random(5)
+    vocab = [f"w{i}" for i in range(20)] + ["the", "under", "license", "mit", "version", "2", "0"]
+    names = sorted(L.TEMPLATES)
+    docs = [(1, "\n".join([L.TEMPLATES["MIT-short"]] * 50)),
+            (2, "\n".join([L.TEMPLATES["Apache-2.0-short"], L.TEMPLATES["CC-BY-NC-4.0-short"]] * 4))]
+    for i in range(40):
+        words = [rng.choice(vocab) for _ in range(rng.randrange(0, 30))]
+        notice = L.TEMPLATES[rng.choice(names[:5] if i % 8 else names)]
+        for _ in range(rng.randrange(1, 5)):
+            copy = notice.split()
+            for _ in range(rng.randrange(3)):
+                at = rng.randrange(len(copy))
+                copy[at:at + 1] = rng.choice([[], ["edit"], [copy[at], "added"]])
+            words += copy + [rng.choice(vocab) for _ in range(rng.choice([0, 0, 1, 4, 30]))]
+        docs.append((10 + i, " ".join(words)))
+    return docs
+
+
+def test_each_copy_is_reported(spark):
+    docs = repeated_corpus()
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(2)
+    got = {}
+    for r in L.scan_licenses(spark, df).collect():
+        got.setdefault((r.doc_id, r.license), []).append((r.start_word, r.end_word,
+                                                          r.matched_words))
+    assert len(got[1, "MIT-short"]) == 50
+    assert len(got[2, "CC-BY-NC-4.0-short"]) >= 4
+    for d, t in docs:
+        words = split(t)
+        for name, template in L.TEMPLATES.items():
+            assert sorted(got.get((d, name), [])) == brute_force(split(template), words), (d, name)
+
+
+def test_tiles_and_wide_numbers(monkeypatch):
+    text = " ".join(["a b", L.TEMPLATES["MIT-short"], "x", L.TEMPLATES["CC-BY-4.0-short"]] * 30)
+    data = np.frombuffer(text.encode(), np.uint8)
+    off = np.array([0, len(data)])
+    index = L.TemplateIndex(L.TEMPLATES)
+    whole = index.reports(Words(data, off), off, 0.8)
+    assert len([r for r in whole if r[1] == "MIT-short"]) == 30
+    monkeypatch.setattr(L, "TILE", 7)
+    assert index.reports(Words(data, off), off, 0.8) == whole
