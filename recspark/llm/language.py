@@ -11,12 +11,16 @@ shortest code wins; the score is its share of 2**-length over all languages.
 Statistics are frozen after training, so p depends on the context and the byte
 only. All trees are therefore compiled into one automaton: a state per context,
 a next-state table, and per (state, byte) the exact code length in each
-language. A scan advances thousands of lanes of text together with NumPy.
+language. A scan advances thousands of lanes of text together with NumPy. The
+languages share an automaton up to ``TABLE_CELLS`` code lengths; more of them
+have several, and the same code lengths.
 
-Training uses a hashed sample of about ``SAMPLE_ROWS`` rows per language (the
-documented bound; whole texts), counted on the cluster; grams and contexts are
-kept by count up to ``MAX_GRAMS`` and ``MAX_CONTEXTS``, which bounds what the
-driver reads and broadcasts.
+Training uses the ``SAMPLE_ROWS`` distinct texts of each language with the smallest
+hashes (the documented bound; whole texts, all if there are fewer), each once,
+counted on the cluster. Grams seen once count too. Each language by itself keeps
+its most frequent grams and contexts, up to ``MAX_GRAMS`` and ``MAX_CONTEXTS``, which
+bounds what the driver reads and broadcasts for a language; no language costs
+another one its grams.
 
 Case is folded for A-Z and the Latin-1 letters. Defined results: null texts and
 texts without any letter are ``und`` with score 0; with no labelled row every
@@ -31,16 +35,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from recspark.llm.common import LOWER, column, map_batches, narrow, pieces, utf8
+from recspark.llm.common import LOWER, column, map_batches, narrow, pieces, stored, utf8
 
 ORDER = 3
 SAMPLE_ROWS = 600
 MAX_GRAMS = 600_000
 MAX_CONTEXTS = 20_000
-MIN_COUNT = 2
+TABLE_CELLS = 1 << 25
 MIN_SCORE = 0.5
 UNKNOWN = "und"
 _STEPS = 1024
@@ -87,31 +91,51 @@ def _count_grams(order: int):
     return run
 
 
+def sample_texts(spark: SparkSession, labelled: DataFrame, sample_rows: int) -> DataFrame:
+    """(lang, text): of each language the distinct texts with the smallest hashes."""
+    rows = labelled.where("lang is not null and text is not null").select(
+        "lang", "text", F.xxhash64("text").alias("h"))
+    keys = stored(spark, rows.select("lang", "h").distinct(), "language-keys")
+    # written, so that its size is known and the keys are not shuffled by language
+    totals = stored(spark, keys.groupBy("lang").agg(F.count(F.lit(1)).alias("texts")),
+                    "language-totals")
+    unit = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    # about twice the sample, so that few rows of a language are ranked in one place
+    thin = keys.join(totals, "lang").where(unit * F.col("texts") < 2 * sample_rows)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(unit, "h"))
+    chosen = stored(spark, thin.withColumn("r", rank).where(F.col("r") <= sample_rows)
+                    .select("lang", "h"), "language-sample")
+    return rows.join(chosen, ["lang", "h"]).select("lang", "text").dropDuplicates()
+
+
 def count_grams(spark: SparkSession, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS,
-                order: int = ORDER) -> dict[str, dict[int, int]]:
-    """Gram counts per language from a hashed sample of (lang, text) rows."""
-    rows = labelled.where("lang is not null and text is not null")
-    totals = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("rows"))
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = (rows.withColumn("u", unit).where("u < 1")
-              .join(F.broadcast(totals) if totals.count() <= 1000 else totals, "lang")
-              .where(F.col("u") * F.col("rows") < sample_rows).select("lang", "text"))
-    grams = (map_batches(sample, _count_grams(order), "lang string, gram bigint, n bigint")
-             .groupBy("lang", "gram").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_COUNT)
-             .orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS).collect())
-    least = grams[-1].n + 1 if len(grams) == MAX_GRAMS else 0  # whole ranks only
+                order: int = ORDER, max_grams: int = MAX_GRAMS) -> dict[str, dict[int, int]]:
+    """Gram counts per language from a hashed sample of distinct (lang, text) rows."""
+    sample = sample_texts(spark, labelled, sample_rows)
+    grams = stored(spark, map_batches(sample, _count_grams(order),
+                                      "lang string, gram bigint, n bigint")
+                   .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
+    size = grams.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).where(
+        F.col("size") > max_grams)
     out: dict[str, dict[int, int]] = {}
-    for r in grams:
-        if r.n >= least:
-            out.setdefault(r.lang, {})[r.gram] = r.n
+    for lang in sorted(r.lang for r in size.collect()):  # whole ranks of each large language
+        mine, least, total = grams.where(F.col("lang") == F.lit(lang)), 1, 0
+        for n, count in mine.groupBy("n").count().orderBy(F.desc("n")).collect():
+            total += count
+            if total > max_grams:
+                least = n + 1
+                break
+        grams = grams.where((F.col("lang") != F.lit(lang)) | (F.col("n") >= least))
+    table = grams.toArrow()
+    for lang, gram, n in zip(*(table.column(c).to_pylist() for c in ("lang", "gram", "n"))):
+        out.setdefault(lang, {})[gram] = n
     return out
 
 
 @dataclass
-class Model:
-    """The compiled trees: classes of bytes, next states, code lengths."""
+class Automaton:
+    """Compiled trees: classes of bytes, next states, code lengths."""
 
-    langs: list[str]
     byte_class: np.ndarray   # 256 -> class; the last two classes: unseen byte, text border
     step: np.ndarray         # state * classes + class -> state
     bits: np.ndarray         # state * classes + class -> code length per language
@@ -119,50 +143,80 @@ class Model:
     order: int
 
 
+@dataclass
+class Model:
+    """The languages, by name, and the automata of consecutive groups of them."""
+
+    langs: list[str]
+    parts: list[Automaton]
+
+
+def _shorter(c: np.ndarray, order: int) -> np.ndarray:
+    """Contexts without their first byte, the leading one kept."""
+    low = np.ones(len(c), np.int64)
+    for d in range(1, order + 1):
+        low[c >> (8 * d) > 1] = 1 << (8 * d)
+    return low | (c & (low - 1))
+
+
+def _own_grams(counts: dict[int, int], max_contexts: int):
+    """(grams, counts) in the contexts that a language keeps: root and the most frequent
+    by number of followers; whole ranks, so the set holds the prefixes and suffixes of
+    its members."""
+    gram = np.fromiter(counts.keys(), np.int64, len(counts))
+    n = np.fromiter(counts.values(), np.int64, len(counts))
+    context, which = np.unique(gram >> 8, return_inverse=True)
+    weight = np.bincount(which, weights=n)
+    inner = np.sort(weight[context > 1])[::-1]
+    least = inner[max_contexts] + 1 if len(inner) > max_contexts else 0
+    keep = (context == 1) | (weight >= least)
+    return gram[keep[which]], n[keep[which]]
+
+
 def compile_model(grams: dict[str, dict[int, int]], order: int = ORDER,
-                  max_contexts: int = MAX_CONTEXTS) -> Model:
+                  max_contexts: int = MAX_CONTEXTS, table_cells: int = TABLE_CELLS) -> Model:
     langs = sorted(grams)
-    symbols = sorted({g & 255 for c in grams.values() for g in c})
+    parts, group = [], []
+    contexts, symbols = np.array([1]), np.zeros(0, np.int64)
+    for lang in langs:
+        gram, n = _own_grams(grams[lang], max_contexts)
+        more, also = np.union1d(contexts, gram >> 8), np.union1d(symbols, gram & 255)
+        if group and len(more) * (len(also) + 2) * (len(group) + 1) > table_cells:
+            parts.append(_automaton(group, contexts, symbols, order))
+            group, more, also = [], np.union1d([1], gram >> 8), np.unique(gram & 255)
+        group.append((gram, n))
+        contexts, symbols = more, also
+    if group:
+        parts.append(_automaton(group, contexts, symbols, order))
+    return Model(langs, parts)
+
+
+def _automaton(group: list, contexts: np.ndarray, symbols: np.ndarray, order: int) -> Automaton:
+    """One automaton of the (grams, counts) of some languages."""
     a = len(symbols)
     byte_class = np.full(256, a, np.int32)
     byte_class[symbols] = np.arange(a)
-    # contexts by number of followers over all languages; whole ranks, so the set
-    # holds the prefixes and suffixes of its members
-    weight: dict[int, int] = {}
-    for counts in grams.values():
-        for g, n in counts.items():
-            if g >> 8 > 1:
-                weight[g >> 8] = weight.get(g >> 8, 0) + n
-    ranked = sorted(weight.values(), reverse=True)
-    least = ranked[max_contexts] + 1 if len(ranked) > max_contexts else 0
-    contexts = [1, *sorted(c for c, w in weight.items() if w >= least)]
-    place = {c: i for i, c in enumerate(contexts)}
-
-    def shorter(c: int) -> int:
-        bits = c.bit_length() - 1  # drop the first byte, keep the leading one
-        return (1 << (bits - 8)) | (c & ((1 << (bits - 8)) - 1))
-
-    def state_of(c: int) -> int:
-        if c.bit_length() - 1 > 8 * order:
-            c = shorter(c)
-        while c not in place:
-            c = shorter(c)
-        return place[c]
+
+    def states(c: np.ndarray) -> np.ndarray:
+        """The longest known suffix of each context."""
+        c = np.where(c >> (8 * (order + 1)) > 0, _shorter(c, order + 1), c)
+        out = np.searchsorted(contexts, c)
+        for _ in range(order):
+            lost = contexts[np.minimum(out, len(contexts) - 1)] != c
+            c[lost] = _shorter(c[lost], order)
+            out[lost] = np.searchsorted(contexts, c[lost])
+        return out
 
     n, width = len(contexts), a + 2
     step = np.zeros((n, width), np.int32)
-    for i, c in enumerate(contexts):
-        for k, s in enumerate(symbols):
-            step[i, k] = state_of(c << 8 | s)
-    suffix = np.array([0 if c == 1 else place[shorter(c)] for c in contexts])
-    depth = np.array([(c.bit_length() - 1) // 8 for c in contexts])
-    bits = np.zeros((n, width, len(langs)), np.float32)
-    for which, lang in enumerate(langs):
+    for k, s in enumerate(symbols.tolist()):
+        step[:, k] = states(contexts << 8 | s)
+    suffix = np.where(contexts == 1, 0, np.searchsorted(contexts, _shorter(contexts, order)))
+    depth = sum((contexts >> (8 * d) > 0).astype(int) for d in range(1, order + 1))
+    bits = np.zeros((n, width, len(group)), np.float32)
+    for which, (gram, number) in enumerate(group):
         count = np.zeros((n, a + 1))
-        for g, m in grams[lang].items():
-            i = place.get(g >> 8)
-            if i is not None:
-                count[i, byte_class[g & 255]] = m
+        count[np.searchsorted(contexts, gram >> 8), byte_class[gram & 255]] = number
         p, rest = np.zeros((n, a + 1)), np.zeros((n, a + 1))
         for d in range(order + 1):
             at = np.flatnonzero(depth == d)
@@ -189,11 +243,16 @@ def compile_model(grams: dict[str, dict[int, int]], order: int = ORDER,
                 here = after
             p[at], rest[at] = here, after
         bits[:, :a + 1, which] = -np.log2(np.maximum(p, 1e-30))
-    return Model(langs, byte_class, step.ravel(), bits.reshape(n * width, len(langs)), width, order)
+    return Automaton(byte_class, step.ravel(), bits.reshape(n * width, len(group)), width, order)
 
 
 def code_lengths(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Bits of each text in each language (rows x languages)."""
+    return np.concatenate([_group_lengths(part, data, offsets) for part in model.parts], axis=1)
+
+
+def _group_lengths(model: Automaton, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bits of each text in each language of one automaton."""
     n_docs, border = len(offsets) - 1, model.n_classes - 1
     first = offsets[:-1] + np.arange(n_docs)
     flat = np.insert(model.byte_class[fold_case(data)], offsets[1:], border)
@@ -244,7 +303,7 @@ def train(spark: SparkSession, labelled: DataFrame, text_col: str = "text",
 def predict(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, lang_pred, score."""
-    shared = spark.sparkContext.broadcast(model)  # bounded by MAX_CONTEXTS
+    shared = spark.sparkContext.broadcast(model)  # bounded by MAX_CONTEXTS a language
 
     def run(batches):
         for batch in batches:

@@ -100,3 +100,41 @@ def test_crc_split_matches_zlib(spark):
     import zlib
     rows = spark.range(50).select("id", language.held_out_column(F.col("id")).alias("h")).collect()
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in rows)
+
+
+def test_sample_takes_distinct_texts(spark):
+    rows = [("aa", f"text number {i}") for i in range(30)] + [("bb", "only this one")] * 500
+    rows += [("cc", "rare"), ("dd", "hot text")] + [("dd", f"x{i}") for i in range(3)] * 40
+    df = spark.createDataFrame(rows + [(None, "x"), ("ee", None)], "lang string, text string")
+    got = language.sample_texts(spark, df.repartition(3), 7).collect()
+    assert len(got) == len(set(got))
+    count = {}
+    for r in got:
+        count[r.lang] = count.get(r.lang, 0) + 1
+    assert count == {"aa": 7, "bb": 1, "cc": 1, "dd": 4}
+    grams = language.count_grams(spark, df, 7)
+    assert grams["cc"] == plain_grams(["rare"], 3) and grams["bb"] == plain_grams(
+        ["only this one"], 3)
+    some = language.count_grams(spark, df, 7, max_grams=30)
+    assert some["cc"] == grams["cc"] and 0 < len(some["aa"]) <= 30
+
+
+def test_languages_do_not_cost_each_other_grams():
+    rng = random.Random(4)
+    texts = {"big": ["".join(rng.choice("abcdefgh ") for _ in range(3000)) * 3],
+             "mid": ["the cat sat on the mat and the dog"], "small": ["xyz uvw"]}
+    grams = {k: plain_grams(v, 3) for k, v in texts.items()}
+    data = [t.encode() for t in ["xyz uvw", "the cat", "abc", "", "?xyz the b"]]
+    off, raw = np.cumsum([0, *map(len, data)]), np.frombuffer(b"".join(data), np.uint8)
+    for limit in (60, 20_000):
+        one = language.compile_model(grams, max_contexts=limit)
+        several = language.compile_model(grams, max_contexts=limit, table_cells=1)
+        assert (len(one.parts), len(several.parts)) == (1, 3)
+        got = language.code_lengths(one, raw, off)
+        assert np.allclose(got, language.code_lengths(several, raw, off), rtol=1e-5)
+        for k, lang in enumerate(one.langs):
+            alone = language.compile_model({lang: grams[lang]}, max_contexts=limit)
+            assert np.allclose(got[:, k], language.code_lengths(alone, raw, off)[:, 0], rtol=1e-5)
+        assert one.langs[got[0].argmin()] == "small" and one.langs[got[1].argmin()] == "mid"
+        for i, t in enumerate(data):
+            assert got[i, 2] == pytest.approx(plain_length(grams["small"], t.decode(), 3), rel=1e-4)
