@@ -17,7 +17,8 @@ with a smaller id goes. Strings are judged on the input and never cross texts.
    with a smaller owner are repeated.
 4. Repeated ranges meet their document, where they are merged and cut.
 
-The texts are shuffled once, compressed, and used by steps 3 and 4. The number of
+Documents are dealt by a hash of id and text, so copies of a text spread over all
+buckets and each meets its own ranges only. The texts are shuffled once, compressed, and used by steps 3 and 4. The number of
 buckets follows the bytes of the input. An anchor with more than ``HOT`` classes is
 dealt out window by window instead (by the window's own hash), so no anchor
 gathers in one task, and equal windows of a document bucket are folded before.
@@ -150,7 +151,8 @@ def _unpack(batch, r: int) -> Rows:
 
 def _segment_task(length: int, gram: int, n_buckets: int):
     """Arrow task over (id, key, text): segments by anchor bucket. Those that a smaller
-    id of the same batch repeats are settled already and only travel along."""
+    id of the same batch repeats are settled already and only travel along, by document
+    bucket, so that the copies of a segment don't gather at its anchor."""
     def run(batches):
         for batch in batches:
             owner, key = _owners(batch.column(0)), _owners(batch.column(1))
@@ -164,8 +166,9 @@ def _segment_task(length: int, gram: int, n_buckets: int):
             for part, settled in ((rows.take(first), False), (rows.take(~first), True)):
                 order = np.lexsort((part["lo"], part["key"]))
                 part = part.take(order)
-                yield _blobs(part, (part["anchor"] % np.uint64(n_buckets)).astype(np.int64),
-                             settled)
+                bucket = (part["key"] % n_buckets if settled else
+                          (part["anchor"] % np.uint64(n_buckets)).astype(np.int64))
+                yield _blobs(part, bucket, settled)
     return run
 
 
@@ -254,7 +257,23 @@ def _asked(table: pa.Table, settled: bool) -> Rows:
              for r in range(batch.num_rows)
              if batch.column(1)[r].as_py() == settled]
     rows = _joined(parts)
-    return rows.take(np.lexsort((rows["lo"], rows["key"])))
+    rows = rows.take(np.lexsort((rows["n"], rows["lo"], rows["owner"], rows["key"])))
+    new = np.ones(len(rows), bool)  # rows that repeat an id and a text have the same ranges
+    new[1:] = np.any([rows[k][1:] != rows[k][:-1] for k in ("key", "owner", "lo", "n")], axis=0)
+    return rows.take(new)
+
+
+def _of_documents(rows: Rows, keys: np.ndarray, owner: np.ndarray):
+    """First and last + 1 of the rows of each document, in rows sorted by key and owner."""
+    a = np.searchsorted(rows["key"], keys, side="left")
+    b = np.searchsorted(rows["key"], keys, side="right")
+    some = np.flatnonzero(b > a)
+    mixed = (rows["owner"][a[some]] != owner[some]) | (rows["owner"][b[some] - 1] != owner[some])
+    for d in some[mixed].tolist():  # documents whose key is that of another id, too
+        mine = rows["owner"][a[d]:b[d]]
+        a[d], b[d] = (a[d] + np.searchsorted(mine, owner[d], side="left"),
+                      a[d] + np.searchsorted(mine, owner[d], side="right"))
+    return a, b
 
 
 _SHARDS = "bucket bigint, " + ", ".join(f"{k} binary" for k in _COLUMNS) + ", texts binary"
@@ -269,14 +288,10 @@ def _fetch_task(length: int, n_buckets: int):
         packer = zstandard.ZstdCompressor(level=3)
         out = []
         for owner, keys, offsets, data in _texts(texts):
-            a = np.searchsorted(want["key"], keys, side="left")
-            b = np.searchsorted(want["key"], keys, side="right")
+            a, b = _of_documents(want, keys, owner)
             rows = np.concatenate([np.arange(x, y) for x, y in zip(a, b)]) if len(a) else []
             doc = np.repeat(np.arange(len(keys)), b - a)
-            rows = np.asarray(rows, np.int64)
-            mine = want["owner"][rows] == owner[doc]
-            rows, doc = rows[mine], doc[mine]
-            part = want.take(rows)
+            part = want.take(np.asarray(rows, np.int64))
             start = offsets[doc] + part["lo"]
             hot = part["kind"] > 0
             if hot.any():  # one row per window, dealt out by the window itself
@@ -409,15 +424,13 @@ def _cut_task(length: int, with_text: bool):
         schema = _arrow(ddl)
         cols = [[] for _ in schema]
         for owner, keys, offsets, data in _texts(texts):
-            a = np.searchsorted(rows["key"], keys, side="left").tolist()
-            b = np.searchsorted(rows["key"], keys, side="right").tolist()
-            for d, (x, y) in enumerate(zip(a, b)):
+            a, b = _of_documents(rows, keys, owner)
+            for d, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
                 text = data[offsets[d]:offsets[d + 1]]
                 spans = []
                 if y > x:
-                    mine = rows["owner"][x:y] == owner[d]
-                    lo = rows["lo"][x:y][mine].astype(np.int64)
-                    hi = lo + rows["n"][x:y][mine] + length - 1
+                    lo = rows["lo"][x:y].astype(np.int64)
+                    hi = lo + rows["n"][x:y] + length - 1
                     for s, e in zip(lo.tolist(), hi.tolist()):  # in order of lo
                         if spans and s <= spans[-1][1]:
                             spans[-1][1] = max(spans[-1][1], e)
@@ -438,6 +451,14 @@ def _cut_task(length: int, with_text: bool):
     return run, ddl
 
 
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, text): the key deals out documents, copies of a text by their ids."""
+    rows = narrow(docs, id=id_col, text=text_col)
+    ident = F.col("id").cast("bigint")
+    return rows.select(ident.alias("id"),
+                       F.xxhash64(ident, F.coalesce("text", F.lit(""))).alias("key"), "text")
+
+
 _CUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
@@ -447,9 +468,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                    hot: int = HOT, with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and
     with ``with_text`` the kept bytes."""
-    rows = narrow(docs, id=id_col, text=text_col).select(
-        F.col("id").cast("bigint").alias("id"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), "text")
+    rows = _keyed(docs, id_col, text_col)
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(2, math.ceil(total / bucket_bytes))
     buckets = 4 * parts  # several to a task, which evens the tasks out

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from recspark.llm import substrings
@@ -70,3 +71,23 @@ def test_kept_text_and_empty(spark):
     for r in substrings.remove_repeats(spark, df, with_text=True).collect():
         assert hashlib.sha256(bytes(r.kept)).hexdigest() == r.kept_sha256
     assert substrings.remove_repeats(spark, df.limit(0)).count() == 0
+
+
+def test_copies_are_dealt_out(spark):
+    rng = random.Random(3)
+    text = " ".join(rng.choice(["the", "of", "w1", "w2", "w3", "thing"]) for _ in range(60))
+    docs = [(i, text) for i in range(150)] + [(7, text)] * 3 + [(None, text)] * 3
+    docs += [(1000 + i, f"{i} {text[i:]} {i * 7}") for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    keys = [r.key for r in substrings._keyed(df, "doc_id", "text").collect()]
+    buckets = [k % 8 for k in keys]
+    assert max(buckets.count(b) for b in range(8)) < len(docs) / 3
+    got = substrings.remove_repeats(spark, df, bucket_bytes=10_000).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(docs, 50)
+
+
+def test_rows_of_documents_with_one_key():
+    rows = substrings.Rows.of(anchor=[0] * 5, kind=[0] * 5, owner=[1, 1, 2, 9, 4],
+                              key=[5, 5, 5, 5, 8], lo=[0, 9, 0, 1, 3], n=[1] * 5)
+    a, b = substrings._of_documents(rows, np.array([8, 5, 5, 5, 6]), np.array([4, 2, 1, 3, 4]))
+    assert [list(range(x, y)) for x, y in zip(a, b)] == [[4], [2], [0, 1], [], []]
