@@ -16,9 +16,10 @@ the input, so a removed line still removes later ones.
    passes on a spanning forest of the pairs that remain, never all of them. A
    word with more than ``BLOCK`` lines is dealt out as pairs of blocks.
 3. Components of those links hold every similar pair. Their members' word sets
-   meet in shards by component (a large one as pairs of blocks), where
-   each class is verified against earlier ones, exactly, until one is similar.
-4. Decisions return to the lines by class.
+   meet in shards by component (a large one as pairs of blocks), where each
+   class is verified, exactly, against all earlier ones. Every similar pair is
+   counted once, at its later class: in the one shard of its two blocks.
+4. Decisions, class ids and numbers of links return to the lines by class.
 
 Words are told apart by 64-bit hashes. Defined results: null texts have no
 lines; lines without words are always kept; lines of rows that repeat an id are
@@ -48,6 +49,7 @@ MARKS = 1 << 24      # slots of the table of classes that have a candidate
 _SPACE = np.ones(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = False
 _LAST = np.iinfo(np.int64).max
+_READ = 1 << 22      # words compared in one step
 
 
 class Lines:
@@ -353,79 +355,92 @@ def _member_task(shared):
     return run
 
 
-def first_similar(rows: list[tuple], num: int, den: int) -> list[tuple]:
-    """(kind, kind of an earlier similar class) from (order, kind, words) rows.
+def similar_counts(rows: list[tuple], num: int, den: int) -> list[tuple]:
+    """(kind, similar earlier classes, whether one is earlier by order) from (order, kind,
+    words, side) rows; classes without a similar one are left out.
 
-    A set-similarity join in memory: earlier sets are indexed by their prefix words,
-    rare words first within the group, and a class stops at its first match.
+    A set-similarity join in memory: sets are indexed by their prefix words, rare
+    words first within the group. Classes of the same side, if it is not -1, meet elsewhere.
     """
-    rows = sorted(rows, key=lambda r: r[0])
+    rows = sorted(rows, key=lambda r: r[:2])
     size = np.array([len(r[2]) for r in rows])
+    side = np.array([r[3] for r in rows])
+    rank = np.cumsum([0] + [x[0] != y[0] for x, y in zip(rows, rows[1:])])  # equal orders tie
     _, word, count = np.unique(np.concatenate([r[2] for r in rows]), return_inverse=True,
                                return_counts=True)
     line = np.repeat(np.arange(len(rows)), size)
-    seen_once = count[word] == 1
     word = word[np.lexsort((word, count[word], line))].astype(np.int32)
-    once = np.bincount(line, weights=seen_once, minlength=len(rows)).astype(int).tolist()
-    stop = np.cumsum(size).tolist()
+    stop = np.cumsum(size)
+    # words of one line only come first and can't be shared
+    at = np.arange(len(word)) - np.repeat(stop - size, size)
+    prefix = (count[word] > 1) & (at < np.repeat(size + (-num * size) // den + 1, size))
+    lines, words = line[prefix], word[prefix]
+    order = np.lexsort((lines, words))
+    posting = lines[order]
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    head = np.searchsorted(words[order], words)
+    bound = np.searchsorted(lines, np.arange(len(rows) + 1)).tolist()
     mine = np.zeros(len(count), bool)
-    index: dict[int, list[int]] = {}
     out = []
-    for i, (_, kind, _) in enumerate(rows):
-        n, b = int(size[i]), stop[i]
-        a = b - n
-        own = word[a:b]
+    for i in np.unique(lines[place > head]).tolist():
+        slices = [posting[x:y] for x, y in zip(head[bound[i]:bound[i + 1]].tolist(),
+                                               place[bound[i]:bound[i + 1]].tolist()) if y > x]
+        found = slices[0] if len(slices) == 1 else np.unique(np.concatenate(slices))
+        n, m = int(size[i]), size[found]
+        ok = den * np.minimum(m, n) >= num * np.maximum(m, n)
+        if side[i] >= 0:
+            ok &= side[found] != side[i]
+        found, m = found[ok], m[ok]
+        if not len(found):
+            continue
+        own = word[stop[i] - n:stop[i]]
         mine[own] = True
-        # words of one line only come first and can't be shared
-        prefix = own[once[i]:n + (-num * n) // den + 1].tolist()
-        tried, match = set(), None
-        for w in prefix:
-            for j in index.get(w, ()):
-                if j in tried:
-                    continue
-                tried.add(j)
-                m = int(size[j])
-                if den * min(m, n) >= num * max(m, n) and (
-                        int(np.count_nonzero(mine[word[stop[j] - m:stop[j]]])) * (num + den)
-                        >= num * (m + n)):
-                    match = j
-                    break
-            if match is not None:
-                break
-        if match is not None:
-            out.append((kind, rows[match][1]))
-        for w in prefix:
-            index.setdefault(w, []).append(i)
+        links, earlier = 0, False
+        step = max(1, _READ // (2 * n))  # the sets are at most 1.25 times as large at 4/5
+        for x in range(0, len(found), step):
+            f, k = found[x:x + step], m[x:x + step]
+            first = np.cumsum(k) - k
+            spot = np.repeat(stop[f] - k - first, k) + np.arange(int(k.sum()))
+            shared = np.add.reduceat(mine[word[spot]], first, dtype=np.int64)
+            f = f[shared * (num + den) >= num * (k + n)]
+            links += len(f)
+            earlier = earlier or bool((rank[f] < rank[i]).any())
         mine[own] = False
+        if links:
+            out.append((rows[i][1], links, earlier))
     return out
 
 
 def _verify_task(num: int, den: int):
     """Arrow task over members sorted by (root, unit): classes with an earlier similar one."""
     def finish(rows):
-        found = first_similar(rows, num, den) if len(rows) > 1 else []
+        found = similar_counts(rows, num, den) if len(rows) > 1 else []
         if found:
             cols = list(zip(*found))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                             names=["kind", "like"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                 pa.array(cols[2], pa.bool_())], names=["kind", "links", "earlier"])
 
     def run(batches):
         held, unit = [], None
         for batch in batches:
-            root, a, kind, ident, line = (batch.column(i).to_pylist() for i in range(5))
+            root, a, kind, ident, line, side = (batch.column(i).to_pylist()
+                                                for i in (0, 1, 2, 3, 4, 6))
             for r in range(batch.num_rows):
                 if (root[r], a[r]) != unit:
                     yield from finish(held)
                     held, unit = [], (root[r], a[r])
                 held.append(((ident[r], line[r]), kind[r],
-                             np.frombuffer(batch.column(5)[r].as_buffer(), np.uint64)))
+                             np.frombuffer(batch.column(5)[r].as_buffer(), np.uint64), side[r]))
         yield from finish(held)
     return run
 
 
 def similar_classes(spark: SparkSession, rows: DataFrame, counts: np.ndarray, num: int, den: int,
                     block: int, members: int) -> DataFrame:
-    """(kind, like): classes with an earlier similar class."""
+    """(kind, links, earlier): classes with similar ones before them, how many, and
+    whether one is earlier by (id, line number)."""
     shared = spark.sparkContext.broadcast(counts)
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
     buckets = 4 * parts
@@ -450,17 +465,21 @@ def similar_classes(spark: SparkSession, rows: DataFrame, counts: np.ndarray, nu
              .withColumn("other", F.explode(F.expr("sequence(0L, g - 1)")))
              .withColumn("hi", F.greatest("own", "other"))
              .withColumn("unit", F.expr("hi * (hi + 1) div 2") + F.least("own", "other"))
-             .select("root", "unit", "kind", "first.id", "first.line", "words"))
+             .withColumn("side", F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")))
+             .select("root", "unit", "kind", "first.id", "first.line", "words", "side"))
     dealt = units.repartition(parts, "root", "unit").sortWithinPartitions("root", "unit")
-    found = map_batches(dealt, _verify_task(num, den), "kind bigint, like bigint")
-    return stored(spark, found.groupBy("kind").agg(F.min("like").alias("like")), "line-matches")
+    found = map_batches(dealt, _verify_task(num, den), "kind bigint, links bigint, earlier boolean")
+    return stored(spark, found.groupBy("kind").agg(
+        F.sum("links").alias("links"), F.max("earlier").alias("earlier")), "line-matches")
 
 
 def mark_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                text_col: str = "text", num: int = NUM, den: int = DEN, block: int = BLOCK,
                members: int = MEMBERS) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, n_similar (removed although no
-    earlier line has the same words), removed (numbers of the removed lines from 0)."""
+    earlier line has the same words), removed (numbers of the removed lines from 0),
+    n_links (similar pairs of classes, counted where the later class begins) and lines:
+    number, class id and links (similar classes before it) of each line with words."""
     rows = narrow(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("bigint"))
     lines = stored(spark, map_batches(rows, _line_task, _LINE), "lines")
     counts = _collected(lines.where("chunk is not null").select("chunk", "counts"),
@@ -471,18 +490,26 @@ def mark_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     full = plain.where("n > 0").select("row", "id", "line", "kind", order.alias("place"))
     classes = (full.groupBy("kind").agg(F.min("place").alias("first"))
                .join(found, "kind", "left"))
-    classes = stored(spark, classes.select("kind", "first", F.col("like").isNotNull()
-                                           .alias("similar")), "line-classes")
+    classes = stored(spark, classes.select(
+        "kind", "first", F.coalesce("earlier", F.lit(False)).alias("similar"),
+        F.coalesce("links", F.lit(0)).alias("links")), "line-classes")
     decided = (full.join(classes, "kind")
                .withColumn("copy", F.col("place") != F.col("first"))
                .select("row", "id", "line", (F.col("copy") | F.col("similar")).alias("gone"),
-                       (F.col("similar") & ~F.col("copy")).alias("near")))
+                       (F.col("similar") & ~F.col("copy")).alias("near"), "kind", "links",
+                       F.when(~F.col("copy"), F.col("links")).otherwise(0).alias("begun")))
     blank = plain.where("n = 0").select("row", "id", "line", F.lit(False).alias("gone"),
-                                        F.lit(False).alias("near"))
+                                        F.lit(False).alias("near"),
+                                        F.lit(None).cast("bigint").alias("kind"),
+                                        F.lit(0).cast("bigint").alias("links"),
+                                        F.lit(0).cast("bigint").alias("begun"))
     return (decided.unionByName(blank).groupBy("row").agg(
         F.min("id").alias("doc_id"), F.count_if(F.col("line") >= 0).alias("n_lines"),
         F.count_if("gone").alias("n_removed"), F.count_if("near").alias("n_similar"),
-        F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("line")))).alias("removed"))
+        F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("line")))).alias("removed"),
+        F.sum("begun").alias("n_links"),
+        F.array_sort(F.collect_list(F.when(F.col("kind").isNotNull(), F.struct(
+            "line", F.col("kind").alias("class"), "links")))).alias("lines"))
         .drop("row"))
 
 

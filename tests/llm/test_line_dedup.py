@@ -67,3 +67,33 @@ def test_text_and_empty(spark):
     got = {r.doc_id: r.text for r in line_dedup.remove_lines(spark, df).collect()}
     assert got[1] == "a b c\nd e\n\nf" and got[2] == "new\nd e f g\n"
     assert line_dedup.mark_lines(spark, df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("options", [{}, {"members": 2}, {"block": 3, "members": 5}])
+def test_every_link_is_counted(spark, options):
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(20)]
+    docs = [(i, " ".join(base[:18] + [f"x{i}"])) for i in range(40)]  # all pairs are similar
+    docs += [(100 + i, t) for i, (_, t) in enumerate(corpus(6)) if t and len(t) < 10_000]
+    docs += [(500, docs[0][1] + "\n\n" + " ".join(rng.sample(base, 19)))]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in line_dedup.mark_lines(spark, df, **options).collect()}
+    first, bag = {}, {}
+    for d, t in docs:
+        for k, x in enumerate(t.split("\n")):
+            key = tuple(sorted("".join(c.lower() if "A" <= c <= "Z" else c for c in x)
+                               .encode().split()))
+            if key:
+                first.setdefault(key, (d, k))
+                bag[d, k] = key
+    links = {a: sum(5 * len(set(a) & set(b)) >= 4 * len(set(a) | set(b))
+                    for b in first if first[b] < first[a]) for a in first}
+    assert links[bag[39, 0]] == 39
+    for d, t in docs:
+        mine = [k for k in range(len(t.split("\n"))) if (d, k) in bag]
+        assert [(x.line, x.links) for x in got[d].lines] == [(k, links[bag[d, k]]) for k in mine]
+        assert got[d].n_links == sum(links[bag[d, k]] for k in mine if first[bag[d, k]] == (d, k))
+    ids = {}
+    for (d, k), key in bag.items():
+        ids.setdefault(key, set()).add(next(x["class"] for x in got[d].lines if x.line == k))
+    assert all(len(v) == 1 for v in ids.values()) and len(set.union(*ids.values())) == len(ids)
