@@ -45,7 +45,6 @@ SAMPLE_ROWS = 600
 MAX_GRAMS = 600_000
 MAX_CONTEXTS = 20_000
 TABLE_CELLS = 1 << 25
-MIN_SCORE = 0.5
 UNKNOWN = "und"
 _STEPS = 1024
 
@@ -320,10 +319,9 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "d
     return map_batches(rows, run, f"doc_id {id_type}, lang_pred string, score double")
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text",
-                    min_score: float = MIN_SCORE) -> DataFrame:
-    """The documents with a language, all columns unchanged. Rejected are ``und`` and
-    texts whose best language has a score below ``min_score``."""
+def keep_identified(spark: SparkSession, docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The documents with a language, all columns unchanged. Only ``und`` is rejected: a
+    short text of words that several languages share has a low score and a language."""
     shared = spark.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 
@@ -333,8 +331,8 @@ def keep_identified(spark: SparkSession, docs: DataFrame, model: Model, text_col
             keep = np.zeros(len(offsets) - 1, bool)
             for lo, hi in pieces(offsets):
                 off = offsets[lo:hi + 1]
-                names, score = _decide(shared.value, data[off[0]:off[-1]], off - off[0])
-                keep[lo:hi] = [x != UNKNOWN and s >= min_score for x, s in zip(names, score)]
+                names, _ = _decide(shared.value, data[off[0]:off[-1]], off - off[0])
+                keep[lo:hi] = [x != UNKNOWN for x in names]
             yield batch.filter(pa.array(keep))
 
     return map_batches(docs, run, docs.schema)

@@ -138,3 +138,14 @@ def test_languages_do_not_cost_each_other_grams():
         assert one.langs[got[0].argmin()] == "small" and one.langs[got[1].argmin()] == "mid"
         for i, t in enumerate(data):
             assert got[i, 2] == pytest.approx(plain_length(grams["small"], t.decode(), 3), rel=1e-4)
+
+
+def test_short_texts_with_a_language_stay(spark):
+    rows = [(i, t, lang) for i, lang in enumerate(["aa", "bb", "cc"])
+            for t in ["la casa no " * 5 + lang]] + [(9, "la", None), (10, "12", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(spark, df)
+    score = {r.doc_id: r.score for r in language.predict(spark, df, model).collect()}
+    assert 0 < score[9] < 0.5
+    kept = {r.doc_id for r in language.keep_identified(spark, df, model).collect()}
+    assert kept == {0, 1, 2, 9}
