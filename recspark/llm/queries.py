@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.llm import (archives, decontaminate, exact_dedup, language, licenses, line_dedup,
-                           packing, simhash, substrings, token_counts)
+                          merkle, packing, simhash, substrings, token_counts)
 from recspark.session import apply_query_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,3 +185,87 @@ def op9_token_counts(spark, d):
 def op10_best_fit_packing(spark, d):
     """Token pieces of all documents and their places in sequences of 2048."""
     return packing.pack(spark, table(spark, d, "documents"))
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned crc32 of a text's UTF-8, bit by bit: DuckDB has no function for it."""
+    byte = f"('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS INTEGER), 2))::UBIGINT"
+    return f"""xor(list_reduce(
+      list_transform(range(octet_length(encode({text}))), lambda i: {byte}),
+      lambda crc, b: list_reduce(range(8)::UBIGINT[],
+        lambda c, i: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END),
+        xor(crc, b)), 4294967295::UBIGINT), 4294967295::UBIGINT)"""
+
+
+def _merkle_sql(height: int = 5, above: int = 3) -> str:
+    """Trees of up to 16 ** height leaves a source, and 16 ** above sources."""
+    def leaf(text):
+        return "sha256(" + " || ".join(
+            f"CASE WHEN {c} IS NULL THEN '-' ELSE octet_length(encode(CAST({c} AS VARCHAR))) "
+            f"|| ':' || CAST({c} AS VARCHAR) END"
+            for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    run = "PARTITION BY {g}p // 16 ORDER BY p ROWS BETWEEN"
+    parts = [f"""d AS (
+  SELECT doc_id, source, {leaf("text")} AS node,
+         CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 5 = 0
+              THEN {leaf(lower)} ELSE {leaf("text")} END AS alt FROM documents),
+a0 AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, node) - 1 AS p,
+              count(*) OVER (PARTITION BY source) AS n FROM d)"""]
+
+    def level(name, k, group, columns):
+        g, same = f"{group}, " if group else "", f"GROUP BY {group + ', ' if group else ''}p // 16, n"
+        window = run.format(g=g)
+        out = [f"""{name}{k}s AS (
+  SELECT {columns}, p, n, node,
+         coalesce(string_agg(node, '') OVER ({window} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(node, '') OVER ({window} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k})"""]
+        out.append(f"""{name}{k + 1} AS (
+  SELECT {g}p // 16 AS p, CASE WHEN n = 1 THEN min(node)
+         ELSE sha256(string_agg(node, '' ORDER BY p)) END AS node, (n + 15) // 16 AS n
+  FROM {name}{k} {same})""")
+        return out
+
+    for k in range(height):
+        parts += level("a", k, "source", "source, doc_id, alt" if k == 0 else "source")
+    parts.append(f"""b0 AS (SELECT source, node, count(*) OVER () AS n,
+       row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS p FROM a{height})""")
+    for k in range(above):
+        parts += level("b", k, "", "source" if k == 0 else "1 AS one")
+    steps = [("a0s", "")] + [
+        (f"a{k}s", f"a{k}s.source IS NOT DISTINCT FROM a0s.source AND a{k}s.p = a0s.p // {16 ** k}")
+        for k in range(1, height)]
+    steps.append(("b0s", "b0s.source IS NOT DISTINCT FROM a0s.source"))
+    steps += [(f"b{k}s", f"b{k}s.p = b0s.p // {16 ** k}") for k in range(1, above)]
+    proof = [f"CASE WHEN {n}.n = 1 THEN '' ELSE {n}.l || {n}.r END" for n, _ in steps]
+    parts.append("w AS (SELECT a0s.doc_id, a0s.node AS leaf, a0s.alt AS alt, b0s.node AS subroot, "
+                 + "sha256(" + " || ".join(proof) + ") AS proof_sha256, "
+                 + ", ".join(f"{n}.n AS n{i}, {n}.l AS l{i}, {n}.r AS r{i}"
+                             for i, (n, _) in enumerate(steps))
+                 + " FROM a0s " + " ".join(f"JOIN {n} ON {on}" for n, on in steps[1:]) + ")")
+    last = "w"
+    for i in range(len(steps)):
+        parts.append(f"f{i} AS (SELECT * REPLACE (CASE WHEN n{i} = 1 THEN alt "
+                     f"ELSE sha256(l{i} || alt || r{i}) END AS alt) FROM {last})")
+        last = f"f{i}"
+    return ("WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, b{above}.node AS root, proof_sha256, alt AS folded_root,
+       alt = b{above}.node AS verified FROM {last}, b{above}""")
+
+
+@query("op13_merkle_manifest", _merkle_sql())
+def op13_merkle_manifest(spark, d):
+    """Digest tree of all documents, and each one's proof checked after tampering."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    values = [F.col(c) for c in merkle.LEAF_COLUMNS]
+    lowered = [*values[:-1], F.translate("text", upper, upper.lower())]
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    tampered = F.when(chosen, merkle.leaf_digest(lowered))
+    made = merkle.build(spark, table(spark, d, "documents"), carry={"tampered": tampered})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("path"))
+    return merkle.proofs(made).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root",
+        F.sha2(merkle.path_text(F.col("path")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
