@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.llm import (archives, decontaminate, exact_dedup, language, licenses, line_dedup,
-                          merkle, packing, simhash, substrings, token_counts)
+from recspark.llm import (archives, chat, decontaminate, exact_dedup, language, licenses,
+                          line_dedup, merkle, packing, simhash, substrings, token_counts)
 from recspark.session import apply_query_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,6 +197,35 @@ def _crc32_sql(text: str) -> str:
         xor(crc, b)), 4294967295::UBIGINT), 4294967295::UBIGINT)"""
 
 
+PROBE = "</s>[INST] ok [/INST]"
+
+
+@query("op12_chat_formatting", r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (
+  SELECT *, length(regexp_replace(role, c, '\1\\\2', 'g'))
+          + length(regexp_replace(text, c, '\1\\\2', 'g')) + 17 AS chars
+  FROM t, (SELECT '([<\[]\\*)(s>|INST\]|/INST\]|/s>|\|endoftext\|>)' AS c))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), ''
+                         ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
+                         ORDER BY turn NULLS FIRST, role, text)) AS loss_sha256,
+       CAST(3 + sum(chars) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""")
+def op12_chat_formatting(spark, d):
+    """All conversations formatted and encoded once, read back from text, offsets and mask."""
+    rows = table(spark, d, "conversations").select("conv_id", "turn", "role", "text")
+    probe = spark.range(2).selectExpr("-1L AS conv_id", "id AS turn",
+                                      "if(id = 0, 'user', 'assistant') AS role",
+                                      f"'{PROBE}' AS text")
+    return chat.read_back(chat.format_conversations(spark, rows.unionByName(probe)))
+
+
 def _merkle_sql(height: int = 5, above: int = 3) -> str:
     """Trees of up to 16 ** height leaves a source, and 16 ** above sources."""
     def leaf(text):
