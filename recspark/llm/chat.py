@@ -35,8 +35,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from tokenizers import AddedToken, Tokenizer
+from pyspark.sql.pandas.types import to_arrow_type
+from tokenizers import AddedToken, Tokenizer, pre_tokenizers
 
 from recspark.llm.common import map_batches, narrow
 
@@ -64,7 +64,6 @@ def unescape(text: str) -> str:
 @functools.lru_cache(maxsize=4)
 def tokenizer(vocabulary: str) -> Tokenizer:
     """The public vocabulary with the markers as special ids behind its own."""
-    from tokenizers import pre_tokenizers
     out = Tokenizer.from_file(vocabulary)
     # offsets keep the blank that a token begins with
     out.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False)
@@ -112,7 +111,6 @@ def _conversations(batches, block_chars: int) -> Iterator[tuple]:
         yield key, block, turns
 
 
-_TOKEN_TYPE = "array<int>"
 _OUT = ("block int, n_turns int, formatted string, input_ids array<int>, starts array<int>, "
         "ends array<int>, loss array<boolean>")
 
@@ -160,7 +158,6 @@ def format_conversations(spark: SparkSession, rows: DataFrame, conv_col: str = "
     kind = turns.schema["conv"].dataType
     ordered = (turns.repartition("conv")
                .sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text"))
-    from pyspark.sql.pandas.types import to_arrow_type
     return map_batches(ordered, _formatter(vocabulary, tuple(loss_roles), block_chars,
                                            to_arrow_type(kind)),
                        f"conv_id {kind.simpleString()}, {_OUT}")
@@ -191,7 +188,6 @@ def read_back(formatted: DataFrame) -> DataFrame:
     ``format_conversations`` leaves them; digests are carried from block to block.
     """
     kind = formatted.schema["conv_id"].dataType
-    from pyspark.sql.pandas.types import to_arrow_type
     id_type = to_arrow_type(kind)
 
     def run(batches):

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recspark.llm import (archives, chat, decontaminate, exact_dedup, language, licenses,
-                          line_dedup, merkle, packing, simhash, substrings, token_counts)
+                          line_dedup, merkle, packing, simhash, spelling, substrings,
+                          token_counts)
 from recspark.session import apply_query_conf
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -197,6 +198,38 @@ def _crc32_sql(text: str) -> str:
         xor(crc, b)), 4294967295::UBIGINT), 4294967295::UBIGINT)"""
 
 
+@query("op11_spelling_variants", rf"""
+WITH RECURSIVE o AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS d, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[a-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents),
+h AS (SELECT r, count(*) AS n, {_crc32_sql("d || ':' || r")} AS h FROM o GROUP BY d, r),
+w AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, CAST(h % length(r) AS INTEGER))
+              || substr(r, CAST(h % length(r) AS INTEGER) + 2) ELSE r END AS word,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM h GROUP BY 1 HAVING length(word) >= 5 AND sum(n) >= 3),
+x AS (SELECT DISTINCT word, i, substr(word, 1, CAST(i AS INTEGER) - 1)
+             || substr(word, CAST(i AS INTEGER) + 1) AS t
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM w)),
+p AS (SELECT a.word AS a, b.word AS b FROM x a JOIN x b ON a.t = b.t AND a.i = b.i
+      WHERE a.word <> b.word
+      UNION SELECT x.word, w.word FROM x JOIN w ON x.t = w.word
+      UNION SELECT w.word, x.word FROM x JOIN w ON x.t = w.word),
+q AS (SELECT a, count(*) AS n_near, first(b ORDER BY n DESC, b) AS best, max(n) AS m
+      FROM p JOIN w ON w.word = p.b GROUP BY a),
+f AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 2 * n THEN best END AS form,
+             CASE WHEN m >= 2 * n THEN m END AS form_n
+      FROM w LEFT JOIN q ON q.a = w.word),
+s AS (SELECT word, coalesce(form, word) AS root, form IS NULL AS done FROM f
+      UNION ALL SELECT s.word, coalesce(f.form, s.root), f.form IS NULL
+      FROM s JOIN f ON f.word = s.root WHERE NOT s.done)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN s ON s.word = f.word AND s.done""")
+def op11_spelling_variants(spark, d):
+    """Words of all whole texts, their near words and forms, by a variable-length gram index."""
+    return spelling.variants(spark, spelling.vocabulary(spark, table(spark, d, "documents")))
+
+
 PROBE = "</s>[INST] ok [/INST]"
 
 
