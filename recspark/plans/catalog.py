@@ -224,11 +224,12 @@ def page_text(spark, d):
 def resolve_patient_dirs(spark, d):
     """Listing FR_<supplier> -> first existing of pat_<n>02, pat_<n>03.
 
-    Existing directories are pat_<customer> for customers with a non-negative balance.
+    Existing directories are pat_<customer> of all customers; suppliers beyond a hundredth
+    of the largest customer have none.
     """
     listings = S.table(spark, d, "supplier").select(
         F.concat(F.lit("FR_"), F.col("s_suppkey").cast("string")).alias("listing"))
-    existing = (S.table(spark, d, "customer").where(F.col("c_acctbal") >= 0)
+    existing = (S.table(spark, d, "customer")
                 .select(F.concat(F.lit("pat_"), F.col("c_custkey").cast("string"))
                         .alias("dir_name")))
     return pages.resolve_listing_dirs(listings, existing)
@@ -409,10 +410,13 @@ def pk_duplicates(spark, d):
 
 @query("fk_orphans")
 def fk_orphans(spark, d):
-    """Q3: recordings whose patient is not registered (registered = balance >= 0)."""
-    registered = S.table(spark, d, "customer").where(F.col("c_acctbal") >= 0)
-    return quality.orphans(S.recordings(spark, d).select("recording_id", "patient_id"),
-                           registered, "patient_id", "c_custkey")
+    """Q3: recordings whose patient is not registered: every 97th order is moved to a patient
+    id that no customer has (the negative of its own)."""
+    recordings = S.recordings(spark, d).select("recording_id", "patient_id")
+    moved = F.when(F.col("recording_id") % 97 == 0, -F.col("patient_id"))
+    return quality.orphans(
+        recordings.withColumn("patient_id", F.coalesce(moved, "patient_id")),
+        S.table(spark, d, "customer"), "patient_id", "c_custkey")
 
 
 @query("domain_rejects")
@@ -563,26 +567,35 @@ def partition_rewrite(spark, d):
 
 # --- raw signals ------------------------------------------------------------------------------
 
-def signal_load(spark, d, block_seconds: int = 60):
-    """Render recordings from events, then run discovery, header parsing and
-    the block job on them; returns ``(published chunks, errors)``.
+def rendered(spark, d) -> tuple[dict[str, DataFrame], DataFrame]:
+    """Metadata and file lengths of the recordings rendered from events."""
+    from recspark.ingest import load_metadata
+    from recspark.plans.recordings import render_recordings
+    from recspark.sources.discovery import data_file_sizes
+
+    root = render_recordings(spark, d)
+    return load_metadata(spark, root), data_file_sizes(spark, root)
+
+
+def run_load(spark, recordings, sizes, annotations, block_seconds: int = 60):
+    """The block job on recordings; returns ``(published chunks, errors)``.
 
     The block job's output is staged as a table in the shared checkpoint
     folder, so the job runs once for both results and a lost executor after
     it costs nothing.
     """
-    from recspark.ingest import load_metadata
     from recspark.operators import signal
-    from recspark.plans.recordings import render_recordings
-    from recspark.sources.discovery import data_file_sizes
 
-    root = render_recordings(spark, d)
-    meta = load_metadata(spark, root)
-    out, plan_errors = signal.signal_chunks(meta["recordings"], data_file_sizes(spark, root),
-                                            S.annotations(spark, d), block_seconds)
+    out, plan_errors = signal.signal_chunks(recordings, sizes, annotations, block_seconds)
     staging = scratch_path(spark, "signal-staging")
     out.write.parquet(staging)
-    return signal.publish(spark.read.parquet(staging), plan_errors)
+    return signal.publish(spark.read.schema(out.schema).parquet(staging), plan_errors)
+
+
+def signal_load(spark, d, block_seconds: int = 60):
+    """Render recordings from events, then run discovery, header parsing and the block job."""
+    meta, sizes = rendered(spark, d)
+    return run_load(spark, meta["recordings"], sizes, S.annotations(spark, d), block_seconds)
 
 
 @query("signal_chunks")
@@ -592,3 +605,99 @@ def signal_chunks(spark, d):
     from recspark.plans.recordings import signal_summary
     good, _ = signal_load(spark, d)
     return signal_summary(good)
+
+
+@query("signal_index")
+def signal_index(spark, d):
+    """S2 + S5 + W1 + J3 + J6: what the load stores next to the payload, for every chunk
+    and channel, in the tree's own record ids."""
+    meta, sizes = rendered(spark, d)
+    good, _ = run_load(spark, meta["recordings"], sizes, S.annotations(spark, d))
+    return good.join(meta["recordings"].select("recording_id", "rec_id"), "recording_id").select(
+        "patient_id", "rec_id", "chunk_idx", "channel_idx", "electrode", "chunk_start_ts",
+        "seizure_state", "data_type", F.size("data").alias("n_values"))
+
+
+@query("signal_norm")
+def signal_norm(spark, d):
+    """W4 on the load's output: squares of a chunk over all channels and its 256 instants."""
+    meta, sizes = rendered(spark, d)
+    good, _ = run_load(spark, meta["recordings"], sizes, S.annotations(spark, d))
+    square = F.aggregate("data", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
+    return (good.join(meta["recordings"].select("recording_id", "rec_id"), "recording_id")
+            .groupBy("rec_id", "chunk_idx")
+            .agg(F.count(F.lit(1)).alias("n_channels"), F.sum(F.size("data")).alias("n_values"),
+                 F.round(F.sum(square), 2).alias("total_square")))
+
+
+@query("bad_recordings")
+def bad_recordings(spark, d):
+    """Q4: what the load says of recordings with faults; of each, no chunk is published.
+
+    By patient id modulo 5 the recording has too low a rate (1), no file (2), too few names (3),
+    or a listed length behind the file's end, which only the block job can notice (4).
+    """
+    meta, sizes = rendered(spark, d)
+    fault = F.col("patient_id") % 5
+    recs = (meta["recordings"]
+            .withColumn("sample_freq", F.when(fault == 1, 200).otherwise(F.col("sample_freq")))
+            .withColumn("electrodes", F.when(fault == 3, F.slice("electrodes", 1, 2))
+                        .otherwise(F.col("electrodes"))))
+    patients = meta["recordings"].select("data_file", fault.alias("fault"))
+    sizes = sizes.join(patients, "data_file").where("fault <> 2").select(
+        "data_file", F.when(F.col("fault") == 4, F.col("length") + 60 * 1024 * 6)
+        .otherwise(F.col("length")).alias("length"))
+    good, errors = run_load(spark, recs, sizes, S.annotations(spark, d))
+    chunks = good.groupBy("recording_id").agg(F.count(F.lit(1)).alias("n_chunks"))
+    # a message of the block job names the error's class first
+    error = F.when(F.col("error").contains(":"), F.lit("unreadable block")).otherwise(F.col("error"))
+    return (recs.join(errors.select("recording_id", error.alias("error")), "recording_id", "left")
+            .join(chunks, "recording_id", "left")
+            .select("patient_id", "rec_id", "error",
+                    F.coalesce("n_chunks", F.lit(0)).cast("bigint").alias("n_chunks")))
+
+
+def _record_id(file: str):
+    return F.regexp_extract(file, r"/(\d+)_\d+\.data$", 1).cast("bigint")
+
+
+@query("binary_roundtrip")
+def binary_roundtrip(spark, d):
+    """Every sample of every recording through the raw source, per second and channel,
+    with a sum that depends on the order of the samples."""
+    from recspark.sources.raw_signal import read_raw
+    meta, sizes = rendered(spark, d)
+    raw = read_raw(spark, meta["recordings"], sizes)
+    zero = F.lit(0).cast("bigint")
+    placed = F.transform("samples", lambda v, i: v.cast("bigint") * (i + 1))
+    return raw.select(
+        _record_id("data_file").alias("rec_id"), "second", "channel_idx",
+        F.size("samples").alias("n_samples"),
+        F.aggregate("samples", zero, lambda acc, v: acc + v).alias("total"),
+        F.aggregate(placed, zero, lambda acc, v: acc + v).alias("placed_total"),
+        F.array_min("samples").alias("lowest"), F.array_max("samples").alias("highest"))
+
+
+@query("raw_seconds_cap")
+def raw_seconds_cap(spark, d):
+    """At most 20 seconds of each recording, of those the ones from the fifth on, and two
+    channels of three; cap, range and channels are applied by the source."""
+    from recspark.sources.raw_signal import read_raw
+    meta, sizes = rendered(spark, d)
+    raw = read_raw(spark, meta["recordings"], sizes, max_seconds=20)
+    zero = F.lit(0).cast("bigint")
+    return raw.where("second >= 5 AND channel_idx IN (0, 2)").select(
+        _record_id("data_file").alias("rec_id"), "second", "channel_idx",
+        F.aggregate("samples", zero, lambda acc, v: acc + v).alias("total"))
+
+
+@query("load_seconds_cap")
+def load_seconds_cap(spark, d):
+    """P7 in the load: chunks per recording and channel when it stops after 20 seconds."""
+    from recspark.operators import signal
+    meta, sizes = rendered(spark, d)
+    out, _ = signal.signal_chunks(meta["recordings"], sizes, S.annotations(spark, d),
+                                  max_seconds=20)
+    return (out.join(meta["recordings"].select("recording_id", "rec_id"), "recording_id")
+            .groupBy("rec_id", "channel_idx")
+            .agg(F.count(F.lit(1)).alias("n_chunks"), F.max("chunk_idx").alias("last_chunk")))

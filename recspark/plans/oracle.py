@@ -201,7 +201,7 @@ SQL["resolve_patient_dirs"] = """
 WITH l AS (SELECT 'FR_' || s_suppkey AS listing, s_suppkey AS n FROM supplier),
 c AS (SELECT listing, p AS priority, 'pat_' || n || sfx AS dir_name
       FROM l, (VALUES (1, '02'), (2, '03')) v(p, sfx)),
-e AS (SELECT DISTINCT 'pat_' || c_custkey AS dir_name FROM customer WHERE c_acctbal >= 0),
+e AS (SELECT DISTINCT 'pat_' || c_custkey AS dir_name FROM customer),
 best AS (SELECT listing, arg_min(c.dir_name, priority) AS dir_name,
                 min(priority) AS priority
          FROM c JOIN e ON c.dir_name = e.dir_name GROUP BY listing)
@@ -392,8 +392,11 @@ FROM (SELECT c_custkey AS patient_id FROM customer
 GROUP BY patient_id HAVING count(*) > 1"""
 
 SQL["fk_orphans"] = """
-SELECT o_orderkey AS recording_id, o_custkey AS patient_id FROM orders
-WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_acctbal >= 0)"""
+WITH r AS (SELECT o_orderkey AS recording_id,
+                  CASE WHEN o_orderkey % 97 = 0 THEN -o_custkey ELSE o_custkey END AS patient_id
+           FROM orders)
+SELECT recording_id, patient_id FROM r
+WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = patient_id)"""
 
 SQL["domain_rejects"] = """
 SELECT l_orderkey AS recording_id, l_linenumber AS chunk_idx, l_partkey AS channel_idx,
@@ -497,3 +500,72 @@ SQL["partition_rewrite"] = f"""
 WITH {CHUNKS_CTE}
 SELECT chunks.*, c_nationkey AS dataset_id
 FROM chunks LEFT JOIN customer ON patient_id = c_custkey"""
+
+# --- raw signals: recordings as plans/recordings.py renders them from events ---------------------
+
+RECORDINGS_CTE = """ev AS (
+  SELECT user_id, ts, event_id, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1 AS k FROM events),
+seconds AS (
+  SELECT user_id AS patient_id, user_id * 100000 + k // 600 AS rec_id, k % 600 AS second, ts,
+         [256, 512, 1024][CAST(1 + (user_id + k // 600) % 3 AS INTEGER)] AS fs,
+         (CAST(floor(least(greatest(value, 0), 100)) AS BIGINT) + 1) * 200 AS amp
+  FROM ev)"""
+
+SAMPLES_CTE = f"""{RECORDINGS_CTE},
+samples AS (
+  SELECT rec_id, second, c, i, 30000 - amp
+         + (amp * (abs((i * 3 * (c + 1) * (4096 // fs) + c * 512) % 4096 - 2048) - 1024)
+            + amp * 1024) // 1024 AS v
+  FROM (SELECT rec_id, second, fs, amp, c, unnest(range(fs)) AS i
+        FROM seconds, (SELECT unnest(range(3)) AS c)))"""
+
+SQL["binary_roundtrip"] = f"""
+WITH {SAMPLES_CTE}
+SELECT rec_id, CAST(second AS INTEGER) AS second, CAST(c AS INTEGER) AS channel_idx,
+       CAST(count(*) AS INTEGER) AS n_samples, CAST(sum(v) AS BIGINT) AS total,
+       CAST(sum(v * (i + 1)) AS BIGINT) AS placed_total, CAST(min(v) AS INTEGER) AS lowest,
+       CAST(max(v) AS INTEGER) AS highest
+FROM samples GROUP BY rec_id, second, c"""
+
+SQL["raw_seconds_cap"] = f"""
+WITH {SAMPLES_CTE}
+SELECT rec_id, CAST(second AS INTEGER) AS second, CAST(c AS INTEGER) AS channel_idx,
+       CAST(sum(v) AS BIGINT) AS total
+FROM samples WHERE second BETWEEN 5 AND 19 AND c <> 1 GROUP BY rec_id, second, c"""
+
+SQL["load_seconds_cap"] = f"""
+WITH {RECORDINGS_CTE}
+SELECT rec_id, CAST(c AS INTEGER) AS channel_idx, least(count(*), 20) AS n_chunks,
+       CAST(least(max(second), 19) AS INTEGER) AS last_chunk
+FROM seconds, (SELECT unnest(range(3)) AS c) GROUP BY rec_id, c"""
+
+SQL["signal_index"] = f"""
+WITH {ANNOTATIONS_CTE}, {RECORDINGS_CTE},
+ch AS (SELECT patient_id, rec_id, second, date_trunc('second', min(ts) OVER (PARTITION BY rec_id))
+              + to_seconds(second) AS s FROM seconds),
+st AS (SELECT *, CASE
+    WHEN EXISTS (SELECT 1 FROM annotations a WHERE a.patient_id = ch.patient_id
+                 AND a.onset <= ch.s + INTERVAL 1 SECOND AND a."offset" >= ch.s) THEN 1
+    WHEN EXISTS (SELECT 1 FROM annotations a WHERE a.patient_id = ch.patient_id
+                 AND a.onset - INTERVAL 3600 SECOND <= ch.s + INTERVAL 1 SECOND
+                 AND a.onset >= ch.s + INTERVAL 1 SECOND) THEN 2 ELSE 0 END AS state FROM ch)
+SELECT CAST(patient_id AS INTEGER) AS patient_id, rec_id, CAST(second AS INTEGER) AS chunk_idx,
+       CAST(c AS INTEGER) AS channel_idx, ['GA1', 'T', 'ECG'][c + 1] AS electrode,
+       s AS chunk_start_ts, state AS seizure_state,
+       CAST([0, 3, 1][c + 1] AS SMALLINT) AS data_type, 256 AS n_values
+FROM st, (SELECT CAST(unnest(range(3)) AS INTEGER) AS c)"""
+
+SQL["signal_norm"] = f"""
+WITH {RECORDINGS_CTE}
+SELECT rec_id, CAST(second AS INTEGER) AS chunk_idx, CAST(3 AS BIGINT) AS n_channels,
+       CAST(768 AS BIGINT) AS n_values, CAST(256 AS DOUBLE) AS total_square FROM seconds"""
+
+SQL["bad_recordings"] = f"""
+WITH {RECORDINGS_CTE}
+SELECT CAST(patient_id AS INTEGER) AS patient_id, rec_id,
+       CASE patient_id % 5 WHEN 1 THEN 'sample_freq below 256' WHEN 2 THEN 'missing data file'
+            WHEN 3 THEN 'fewer electrode names than channels' WHEN 4 THEN 'unreadable block' END
+         AS error,
+       CASE WHEN patient_id % 5 = 0 THEN count(*) * 3 ELSE 0 END AS n_chunks
+FROM seconds GROUP BY patient_id, rec_id"""
