@@ -1,4 +1,4 @@
-"""Licence scan: counts of template words pick regions, exact alignment decides.
+"""Licence scan: winnowed template fingerprints pick candidates, banded alignment decides.
 
 Templates are cut into words (as in decontamination: letters, digits and
 non-ASCII characters, A-Z lower-cased) and aligned whole with the text: match +2,
@@ -10,12 +10,20 @@ match in words and bytes, unless they overlap a span reported before. Reported
 spans are masked and the words between them aligned again, until nothing is
 found, so each of several copies of a notice has its own row.
 
-The regions lose nothing. Of ``n`` template words ``need`` must be matched, so of
-any ``n - need + r`` template words at least ``r`` are; and the best alignment
-is shorter than ``SPAN * n`` words, because each extra word costs what a third of
-a match gains. Only where ``r`` places with such words lie that close is the text
-aligned. The words and ``r`` are chosen by their counts in the piece at hand, which
-decides how much is aligned and never what is found.
+*Fingerprints.* Of each window of ``w`` words of a template the one of least order is kept
+(rare among the templates first, then by hash). A gram is one word: an accepted alignment
+may hold other words between any two matched ones, so longer grams would lose it. ``w``
+follows from the template: of its ``n`` words ``need`` must be matched and ``spare = n -
+need`` may not, so with ``k`` kept places ``r = k - spare`` of them at least are hit. ``w``
+is the largest window with ``k >= 2 spare + 1`` (or all words).
+
+*Candidates.* An inverted index from kept words to templates gives the hits of a text by
+template. The best alignment is shorter than ``SPAN * n`` words, because each extra word
+costs what a third of a match gains. So only where ``r`` hits lie that close can a template
+be, and the hits' surroundings of that size hold every alignment.
+
+*Band.* Each candidate is aligned on the diagonals that this bound leaves open around its
+hits, as one array of diagonals that moves with the template, many candidates at a time.
 
 Templates are fixed texts; more than ``BLOCK_BYTES`` of them are scanned block
 by block. Defined results: null, empty and word-less texts report nothing;
@@ -29,7 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from recspark.llm.common import Words, map_batches, narrow, pieces, utf8
+from recspark.llm.common import Words, map_batches, mix, narrow, pieces, utf8
 
 SPAN = 4           # an alignment is shorter than SPAN times its template
 TILE = 1 << 16     # words aligned in one step
@@ -80,8 +88,8 @@ def align(template: list, words: list, low: int, high: int) -> tuple[int, int, i
     """Best banded alignment of a whole template: (score, matched, start, end).
 
     Template word i may stand at words[i + low .. i + high]; what lies before the
-    start and after the end is free. The plain form of one alignment; the scan uses
-    ``last_matches``.
+    start and after the end is free. The plain form of one alignment; ``last_matches`` has many
+    at once and keeps the best of every end.
     """
     n, m = len(template), len(words)
     width = high - low + 1
@@ -111,34 +119,55 @@ def align(template: list, words: list, low: int, high: int) -> tuple[int, int, i
     return score, matched, -start, n + low + k
 
 
-def last_matches(template: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, ...]:
-    """(end, score, matched, start) of the best alignment by place of its last match.
+def last_matches(template: np.ndarray, bands: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, end, score, matched, start) of the best alignment by place of its last match.
+
+    ``bands`` has a text per row, whose word ``i + k`` is on diagonal ``k`` at template word ``i``;
+    rows are as wide as the diagonals and the template together. Paths stay on
+    the diagonals. Place ``end`` is behind the last match.
 
-    A cell holds score, matches and m - start in one number, the score raised by the
-    words used on both sides: gaps then cost nothing and a running maximum takes them.
+    A cell holds score, matches and the place of the start (earlier is more) in one number, the
+    score raised by the words used on both sides: gaps then cost nothing, a template word
+    left out moves a cell one diagonal down and a running maximum takes extra words.
     """
-    n, m = len(template), len(words)
+    n, m = len(template), bands.shape[1]
+    width = m - n
     low, mid = (m + 1).bit_length(), n.bit_length()
     small = (3 * n + m + 8).bit_length() + low + mid < 63
     kind = np.int64 if small else object
     match, unit = 1 << low, 1 << (low + mid)
-    row = np.arange(m + 1).astype(kind) * unit  # nothing matched
-    best = np.zeros(m, np.int64).astype(kind)
-    at = {int(w): np.flatnonzero(words == w) for w in np.unique(template)}
-    for w in template.tolist():
-        p = at[w]
-        new = row.copy()
-        np.maximum(new[1:], row[:-1] + unit, out=new[1:])  # mismatch
-        if len(p):
-            hit = row[p] + 4 * unit + match
-            hit += np.where(row[p] == p.astype(kind) * unit, m - p, 0)
-            new[p + 1] = np.maximum(new[p + 1], hit)
-            best[p] = np.maximum(best[p], hit)
-        row = np.maximum.accumulate(new)
-    p = np.flatnonzero(best)
-    score = (best[p] // unit).astype(np.int64) - n - p - 1
-    matched = (best[p] // match % (1 << mid)).astype(np.int64)
-    return p + 1, score, matched, m - (best[p] % match).astype(np.int64)
+    place = np.arange(m + 1).astype(kind)
+    row = np.repeat(place[None, :width] * unit, len(bands), axis=0)  # nothing matched
+    best = np.zeros(bands.shape, np.int64).astype(kind)
+    for i, w in enumerate(template.tolist()):
+        new = row + unit  # mismatch
+        r, k = np.nonzero(bands[:, i:i + width] == w)
+        if len(r):
+            was = row[r, k]
+            hit = was + (4 * unit + match)
+            hit += np.where(was == place[i + k] * unit, m - place[i + k], 0)
+            new[r, k] = np.maximum(new[r, k], hit)
+            best[r, i + k] = np.maximum(best[r, i + k], hit)
+        np.maximum(new[:, :-1], row[:, 1:], out=new[:, :-1])  # template word left out
+        row = np.maximum.accumulate(new, axis=1)
+    r, p = np.nonzero(best)
+    found = best[r, p]
+    score = (found // unit).astype(np.int64) - n - p - 1
+    matched = (found // match % (1 << mid)).astype(np.int64)
+    return r, p + 1, score, matched, m - (found % match).astype(np.int64)
+
+
+def winnowed(words: np.ndarray, order: np.ndarray, spare: int) -> np.ndarray:
+    """Places of a template that its windows keep; ``order`` ranks all words. The window is
+    the largest that keeps enough places to spare."""
+    n, rank, want = len(words), order[words], min(len(words), 2 * spare + 1)
+    # windows of w places keep about 2 n / (w + 1)
+    for w in range(min(n, 4 * n // max(1, want) + 1), 0, -1):
+        windows = np.lib.stride_tricks.sliding_window_view(rank, w)
+        kept = np.unique(np.arange(n - w + 1) + windows.argmin(axis=1))
+        if len(kept) >= want:
+            return kept
+    return np.arange(n)
 
 
 class TemplateIndex:
@@ -156,6 +185,43 @@ class TemplateIndex:
         self.hash = np.array([h for h, _ in known], np.uint64)
         self.text = [np.frombuffer(t, np.uint8) for _, t in known]
         self.words = [np.array([code[w] for w in words], np.int64) for words in split]
+        every = np.bincount(np.concatenate([*self.words, np.zeros(0, np.int64)]).astype(np.int64),
+                            minlength=len(known))
+        self.order = np.empty(len(known), np.int64)
+        self.order[np.lexsort((mix(self.hash), every))] = np.arange(len(known))
+        self.indexes: dict[float, tuple] = {}
+
+    def index(self, least: float) -> tuple[list[int], list[int], np.ndarray, np.ndarray]:
+        """For a coverage: matches needed and kept words hit by each template, and the inverted
+        index from kept words to templates (runs of one array, and where they begin)."""
+        if least not in self.indexes:
+            needs, hits, pairs = [], [], []
+            for t, words in enumerate(self.words):
+                n = len(words)
+                need = next((m for m in range(1, n + 1) if m >= least * n), 0)
+                kept = winnowed(words, self.order, n - need) if need else words[:0]
+                needs.append(need)
+                hits.append(len(kept) - (n - need))
+                pairs += [(int(c), t) for c in np.unique(words[kept])]
+            pairs.sort()
+            first = np.searchsorted([c for c, _ in pairs], np.arange(len(self.hash) + 1))
+            self.indexes[least] = (needs, hits, np.array([t for _, t in pairs], np.int64), first)
+        return self.indexes[least]
+
+    def candidates(self, codes: np.ndarray, known: np.ndarray, least: float):
+        """(template, matches needed, hits needed, places of its kept words in the piece) for
+        the templates that have enough of them."""
+        needs, hits, posted, first = self.index(least)
+        c = codes[known]
+        size = first[c + 1] - first[c]
+        at = np.repeat(first[c], size) + np.arange(size.sum()) - np.repeat(
+            np.cumsum(size) - size, size)
+        templates, places = posted[at], np.repeat(known, size)
+        order = np.argsort(templates, kind="stable")
+        edges = np.searchsorted(templates[order], np.arange(len(self.words) + 1))
+        for t, (lo, hi) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            if needs[t] and hi - lo >= hits[t]:
+                yield t, needs[t], hits[t], places[order[lo:hi]]
 
     def codes(self, words: Words) -> np.ndarray:
         """Number of each word of the piece among the template words, or -1."""
@@ -177,21 +243,12 @@ class TemplateIndex:
                 c += 1
         return out
 
-    def regions(self, words: Words, codes: np.ndarray, known: np.ndarray, count: np.ndarray,
-                template: np.ndarray, need: int) -> list[tuple[int, int, int]]:
+    def regions(self, words: Words, known: np.ndarray, places: np.ndarray, n: int, r: int,
+                need: int) -> list[tuple[int, int, int]]:
         """(first word read, first word, end) of the word ranges that hold every alignment
-        with ``need`` matches. ``known`` are the places of template words."""
-        n = len(template)
-        reach, spare = SPAN * n, n - need
-        order = template[np.lexsort((template, count[template]))]
-        once = np.append(True, order[1:] != order[:-1])
-        hits = np.cumsum(count[order] * once)[spare:]
-        r = int(np.argmin(hits / np.arange(1, need + 1))) + 1
-        chosen = np.zeros(len(count), bool)
-        chosen[order[:spare + r]] = True
-        p = known[chosen[codes[known]]]
-        if len(p) < r:
-            return []
+        of a template of ``n`` words: ``r`` hits are close. ``known`` are the places of
+        template words."""
+        reach, p = SPAN * n, places
         a, b = p[:len(p) - r + 1], p[r - 1:]
         close = (b - a < reach) & (words.doc[a] == words.doc[b])
         a, b = a[close], b[close]
@@ -211,31 +268,36 @@ class TemplateIndex:
     def _aligned(self, codes: np.ndarray, template: np.ndarray, need: int,
                  regions: list[tuple[int, int, int]]):
         """(-score, start, end, matched, region) of the alignments that end in a region."""
-        reach = SPAN * len(template)
-        tiles = [(max(read, x - reach), x, min(x + TILE, hi), k)
-                 for k, (read, lo, hi) in enumerate(regions) for x in range(lo, hi, TILE)]
-        out, gap = [], np.full(reach, -1, np.int64)  # no alignment spans a gap
+        n = len(template)
+        reach = SPAN * n
+        tiles = sorted(((max(read, x - reach), x, min(x + TILE, hi), k)
+                        for k, (read, lo, hi) in enumerate(regions) for x in range(lo, hi, TILE)),
+                       key=lambda t: t[2] - t[0])
+        out = []
         while tiles:
-            part, size = [], 0
-            while tiles and size < TILE:
+            # candidates of like size, each on the diagonals from its first word at the
+            # template's last to its last word at the template's first
+            part, width = [], 0
+            while tiles and (not part or (width * (len(part) + 1) < TILE
+                                          and 2 * (tiles[-1][2] - tiles[-1][0]) > width - 2 * n)):
                 part.append(tiles.pop())
-                size += part[-1][2] - part[-1][0]
-            spans = [x for read, _, hi, _ in part for x in (codes[read:hi], gap)]
-            first = np.concatenate(([0], np.cumsum([len(x) for x in spans])))[:-1:2]
-            end, score, matched, start = last_matches(template, np.concatenate(spans))
-            ok = np.flatnonzero(matched >= need)
-            which = np.searchsorted(first, start[ok], side="right") - 1
-            for x, t in zip(ok.tolist(), which.tolist()):
-                read, lo, _, k = part[t]
-                s, e = int(start[x] - first[t]) + read, int(end[x] - first[t]) + read
+                width = max(width, part[-1][2] - part[-1][0] + 2 * n)
+            bands = np.full((len(part), width), -1, np.int64)
+            for r, (read, _, hi, _) in enumerate(part):
+                bands[r, n:n + hi - read] = codes[read:hi]
+            rows, end, score, matched, start = last_matches(template, bands)
+            for x in np.flatnonzero(matched >= need).tolist():
+                read, lo, _, k = part[rows[x]]
+                s, e = int(start[x]) - n + read, int(end[x]) - n + read
                 if e > lo:
                     out.append((-int(score[x]), s, e, int(matched[x]), k))
         return sorted(out)
 
-    def occurrences(self, words: Words, codes: np.ndarray, known: np.ndarray, count: np.ndarray,
-                    template: np.ndarray, need: int) -> list[tuple[int, int, int]]:
-        """(start, end, matched) of every occurrence, in words of the piece."""
-        regions = self.regions(words, codes, known, count, template, need)
+    def occurrences(self, words: Words, codes: np.ndarray, known: np.ndarray,
+                    template: np.ndarray, need: int, hits: int, places: np.ndarray
+                    ) -> list[tuple[int, int, int]]:
+        """(start, end, matched) of every occurrence of a template, in words of the piece."""
+        regions = self.regions(words, known, places, len(template), hits, need)
         found, taken = [], np.zeros(len(codes) if regions else 0, bool)
         while regions:
             spans: dict[int, list[tuple[int, int]]] = {}
@@ -259,16 +321,13 @@ class TemplateIndex:
         out = []
         codes = self.codes(words)
         known = np.flatnonzero(codes >= 0)
-        count = np.bincount(codes[known], minlength=len(self.hash))
-        for name, template in zip(self.names, self.words):
-            n = len(template)
-            need = next((m for m in range(1, n + 1) if m >= least * n), None)
-            if need is None:
-                continue
-            for s, e, matched in self.occurrences(words, codes, known, count, template, need):
+        for t, need, hits, places in self.candidates(codes, known, least):
+            n = len(self.words[t])
+            for s, e, matched in self.occurrences(words, codes, known, self.words[t], need, hits,
+                                                  places):
                 d = int(words.doc[s])
                 base, at = int(words.first[d]), int(offsets[d])
-                out.append((d, name, matched / n, matched, n, s - base, e - base,
+                out.append((d, self.names[t], matched / n, matched, n, s - base, e - base,
                             int(words.start[s]) - at, int(words.end[e - 1]) - at))
         return sorted(out)
 

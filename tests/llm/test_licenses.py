@@ -199,3 +199,22 @@ def test_short_edited_notices(spark):
             docs.append((len(docs), " ".join(pad[:6] + [text] + pad[6:])))
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert want <= {(r.doc_id, r.license) for r in L.scan_licenses(spark, df).collect()}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_winnowed_words_of_every_accepted_choice(seed):
+    """Whatever words an alignment leaves out, the stated number of kept ones is matched."""
+    rng = random.Random(seed)
+    for n in (1, 2, 5, 13, 60, 400):
+        words = np.array([rng.randrange(max(2, n // 2)) for _ in range(n)])
+        order = np.array(rng.sample(range(n + 1), n + 1))
+        need = next(m for m in range(1, n + 1) if m >= 0.8 * n)
+        kept = L.winnowed(words, order, n - need)
+        assert len(kept) >= min(n, 2 * (n - need) + 1)
+        for _ in range(50):
+            out = set(rng.sample(range(n), n - need))
+            assert len(set(kept.tolist()) - out) >= len(kept) - (n - need) >= 1
+    index = L.TemplateIndex(L.TEMPLATES)
+    needs, hits, posted, first = index.index(0.8)
+    assert all(h >= 1 for h in hits) and len(first) == len(index.hash) + 1
+    assert len(posted) < sum(len(np.unique(w)) for w in index.words)  # fewer than all words
