@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 
@@ -53,6 +54,7 @@ ARC_FIELDS = {
 }
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 PAGE_HEADER = "X-Page-Id"
+_INTEGER = re.compile(rb"[+-]?[0-9]+")
 
 
 def sha1_base32(data) -> str:
@@ -159,10 +161,12 @@ def http_payload(block: bytes) -> tuple[bytes, bytes]:
 
 
 def page_of(head: bytes) -> int | None:
+    """The page id in a block's head: a signed 64-bit integer; anything else is none."""
     for line in head.split(b"\r\n"):
         name, _, value = line.partition(b":")
-        if name.strip().lower() == PAGE_HEADER.lower().encode() and value.strip().isdigit():
-            return int(value)
+        if name.strip().lower() == PAGE_HEADER.lower().encode() and _INTEGER.fullmatch(value.strip()):
+            page = int(value)
+            return page if -(1 << 63) <= page < 1 << 63 else None
     return None
 
 
@@ -373,7 +377,8 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> Dat
 
 
 def resolve_revisits(spark: SparkSession, records: DataFrame) -> DataFrame:
-    """Responses and revisits, a revisit with the payload size and page it refers to."""
+    """Responses and revisits, a revisit with the payload size and page it refers to; both are
+    null where the response is missing or damaged."""
     known = stored(spark, records.where("record_type in ('response', 'revisit')"), "warc-records")
     responses = known.where("record_type = 'response'")
     targets = responses.select(F.col("record_id").alias("refers_to_id"),
@@ -381,7 +386,7 @@ def resolve_revisits(spark: SparkSession, records: DataFrame) -> DataFrame:
     cols = ["page_id", "url", "date", "record_id", "payload_bytes", "payload_digest",
             "record_type", "refers_to", "digests_agree"]
     again = (known.where("record_type = 'revisit'").drop("payload_bytes")
-             .join(targets, "refers_to_id").select(*cols))
+             .join(targets, "refers_to_id", "left").select(*cols))
     return responses.withColumn("refers_to", F.lit(None).cast("bigint")).select(*cols).unionByName(
         again)
 

@@ -51,6 +51,27 @@ def test_payloads_survive(spark, tmp_path):
     assert sum(r.record_type == "warcinfo" for r in rows) >= 1
 
 
+def test_negative_ids(spark):
+    rows = [(-5, "u", "same page"), (4, "v", "same page"), (-7, "w", "same page"), (0, "x", "z"),
+            (-(1 << 63), "y", "least"), ((1 << 63) - 1, "y", "least")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert run(spark, df) == brute(rows)
+    assert archives.page_of(b"x-page-id: -12\r\n") == -12
+    for odd in (b"1.5", b"--1", b"9" * 30, b""):
+        assert archives.page_of(b"X-Page-Id: " + odd + b"\r\n") is None
+
+
+def test_a_revisit_outlives_its_response(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "same"), (2, "v", "same")],
+                               "page_id long, url string, html string")
+    archives.write_arc(spark, df, f"{tmp_path}/arc")
+    archives.arc_to_warc(spark, f"{tmp_path}/arc", f"{tmp_path}/warc", 0)
+    records = archives.read_warc(spark, f"{tmp_path}/warc")
+    left = archives.resolve_revisits(spark, records.where("record_type <> 'response'")).collect()
+    assert [(r.page_id, r.record_type, r.refers_to, r.payload_bytes) for r in left] == [
+        (2, "revisit", None, None)]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert run(spark, df) == []
