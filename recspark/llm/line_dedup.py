@@ -90,7 +90,8 @@ _LINE = "row bigint, id bigint, line bigint, n bigint, kind bigint, chunk bigint
 
 
 def _line_task(batches):
-    """Arrow task: a narrow entry of every line, and the task's word counts by slot."""
+    """Arrow task: a narrow entry of every line, and the task's word counts by slot. Rows
+    are numbered here unless a third column does."""
     counts, base, seen = np.zeros(SLOTS, np.uint32), TaskContext.get().partitionId() << 40, 0
     names = [f.split()[0] for f in _LINE.split(", ")]
     for batch in batches:
@@ -103,8 +104,9 @@ def _line_task(batches):
             counts += np.bincount(_slots(lines.words.hash), minlength=SLOTS).astype(np.uint32)
             row = lines.row + lo
             number = np.where(null[row], -1, lines.number)
+            known = batch.column(2).to_numpy()[row] if batch.num_columns > 2 else base + seen + row
             yield pa.RecordBatch.from_arrays(
-                [pa.array(base + seen + row), ids.take(pa.array(row)), pa.array(number),
+                [pa.array(known), ids.take(pa.array(row)), pa.array(number),
                  pa.array(lines.hi - lines.lo), pa.array(lines.kind.view(np.int64)),
                  pa.nulls(len(row), pa.int64()), pa.nulls(len(row), pa.binary())], names=names)
         seen += batch.num_rows
@@ -473,18 +475,13 @@ def similar_classes(spark: SparkSession, rows: DataFrame, counts: np.ndarray, nu
         F.sum("links").alias("links"), F.max("earlier").alias("earlier")), "line-matches")
 
 
-def mark_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
-               text_col: str = "text", num: int = NUM, den: int = DEN, block: int = BLOCK,
-               members: int = MEMBERS) -> DataFrame:
-    """One row per document: doc_id, n_lines, n_removed, n_similar (removed although no
-    earlier line has the same words), removed (numbers of the removed lines from 0),
-    n_links (similar pairs of classes, counted where the later class begins) and lines:
-    number, class id and links (similar classes before it) of each line with words."""
-    rows = narrow(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("bigint"))
+def _marks(spark: SparkSession, rows: DataFrame, num: int, den: int, block: int,
+           members: int) -> DataFrame:
+    """The rows of ``mark_lines`` with their number; ``rows``: id, text and perhaps a number."""
     lines = stored(spark, map_batches(rows, _line_task, _LINE), "lines")
     counts = _collected(lines.where("chunk is not null").select("chunk", "counts"),
                         np.uint32, SLOTS, True)
-    found = similar_classes(spark, rows, counts, num, den, block, members)
+    found = similar_classes(spark, rows.select("id", "text"), counts, num, den, block, members)
     order = F.struct(F.coalesce("id", F.lit(_LAST)).alias("id"), "line")
     plain = lines.where("chunk is null")
     full = plain.where("n > 0").select("row", "id", "line", "kind", order.alias("place"))
@@ -509,18 +506,31 @@ def mark_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("line")))).alias("removed"),
         F.sum("begun").alias("n_links"),
         F.array_sort(F.collect_list(F.when(F.col("kind").isNotNull(), F.struct(
-            "line", F.col("kind").alias("class"), "links")))).alias("lines"))
-        .drop("row"))
+            "line", F.col("kind").alias("class"), "links")))).alias("lines")))
+
+
+def mark_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
+               text_col: str = "text", num: int = NUM, den: int = DEN, block: int = BLOCK,
+               members: int = MEMBERS) -> DataFrame:
+    """One row per document: doc_id, n_lines, n_removed, n_similar (removed although no
+    earlier line has the same words), removed (numbers of the removed lines from 0),
+    n_links (similar pairs of classes, counted where the later class begins) and lines:
+    number, class id and links (similar classes before it) of each line with words."""
+    rows = narrow(docs, id=id_col, text=text_col).withColumn("id", F.col("id").cast("bigint"))
+    return _marks(spark, rows, num, den, block, members).drop("row")
 
 
 def remove_lines(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
-                 text_col: str = "text", **options) -> DataFrame:
-    """(doc_id, text) without the removed lines. A row per row of ``docs``; rows that
-    repeat an id should be told apart before."""
-    marks = mark_lines(spark, docs, id_col, text_col, **options)
-    rows = narrow(docs, doc_id=id_col, text=text_col)
+                 text_col: str = "text", num: int = NUM, den: int = DEN, block: int = BLOCK,
+                 members: int = MEMBERS) -> DataFrame:
+    """(doc_id, text) without the removed lines: a row per row of ``docs``, whatever its id;
+    a null text stays null."""
+    rows = stored(spark, narrow(docs, doc_id=id_col, text=text_col).withColumn(
+        "row", F.monotonically_increasing_id()), "numbered")
+    marks = _marks(spark, rows.select(F.col("doc_id").cast("bigint").alias("id"), "text", "row"),
+                   num, den, block, members)
     numbered = F.expr("filter(transform(split(text, '\\n', -1), (x, i) -> "
                       "if(array_contains(removed, cast(i as bigint)), null, x)), "
                       "x -> x is not null)")
-    return (rows.join(marks.select("doc_id", "removed"), "doc_id")
+    return (rows.join(marks.select("row", "removed"), "row")
             .select("doc_id", F.array_join(numbered, "\n").alias("text")))

@@ -69,6 +69,17 @@ def test_text_and_empty(spark):
     assert line_dedup.mark_lines(spark, df.limit(0)).count() == 0
 
 
+def test_texts_of_null_and_repeated_ids(spark):
+    docs = [(1, "a b c\nfirst"), (1, "other text\nown line"), (1, "a b c\nfirst"), (None, "x y z\nlast"),
+            (None, "c b a\nalone here"), (None, None), (-4, "z y x")]
+    df = spark.createDataFrame([(d, t, 5) for d, t in docs], "doc_id long, text string, row int")
+    got = sorted(((r.doc_id, r.text) for r in line_dedup.remove_lines(
+        spark, df.repartition(3)).collect()), key=str)
+    # rows of one id do not remove each other's lines at the same number
+    assert got == sorted([(1, "a b c\nfirst"), (1, "other text\nown line"), (1, "a b c\nfirst"),
+                          (None, "last"), (None, "alone here"), (None, None), (-4, "z y x")], key=str)
+
+
 @pytest.mark.parametrize("options", [{}, {"members": 2}, {"block": 3, "members": 5}])
 def test_every_link_is_counted(spark, options):
     rng = random.Random(11)
