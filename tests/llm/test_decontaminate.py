@@ -46,15 +46,17 @@ DOCS = [
 SCHEMA = "doc_id long, text string, items string, n_words int"
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_BYTES, 60])
-def test_against_brute_force(spark, block):
+@pytest.mark.parametrize("bits", [decontaminate.FILTER_BITS, 64])
+def test_against_brute_force(spark, bits, monkeypatch):
+    """With a filter that is nearly empty, and with one that lets most windows through."""
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
     docs = spark.createDataFrame(DOCS, SCHEMA).repartition(3)
     bench = spark.createDataFrame(ITEMS, "item_id long, text string")
-    got = decontaminate.find_contamination(spark, docs, bench, block_bytes=block)
+    got = decontaminate.find_contamination(spark, docs, bench)
     got = [(r.doc_id, r.n_words, sum(s.end - s.start for s in r.spans), r.items)
            for r in got.collect()]
     assert sorted(got, key=str) == brute(DOCS, ITEMS)
-    kept = decontaminate.drop_contaminated(spark, docs, bench, block_bytes=block)
+    kept = decontaminate.drop_contaminated(spark, docs, bench)
     assert kept.columns == docs.columns
     clean = sorted(str(r[0]) for r in brute(DOCS, ITEMS) if not r[2])
     assert sorted(str(r.doc_id) for r in kept.collect()) == clean
@@ -68,3 +70,36 @@ def test_empty(spark):
     got = decontaminate.find_contamination(spark, docs.limit(0),
                                            spark.createDataFrame(ITEMS, "item_id long, text string"))
     assert got.count() == 0
+
+
+def test_many_copies_and_windows_shared_by_items(spark):
+    """A third of the items are copies of one, all items begin alike, a text is in every third
+    document; a null id is not the empty one."""
+    start = "answer the following question with one word and nothing else at all "
+    items = [(f"i{i}", start + f"question {i} about thing {i * 7}") for i in range(300)]
+    items += [("copy", ITEM)] * 150 + [(None, ITEM), ("", ITEM)]
+    docs = [(i, ITEM if i % 3 == 0 else f"text {i} " + (start if i % 3 == 1 else "clean"))
+            for i in range(90)]
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    b = spark.createDataFrame(items, "item_id string, text string").repartition(4)
+    got = {r.doc_id: r for r in decontaminate.find_contamination(spark, d, b).collect()}
+    assert len(got) == 90
+    for i, _ in docs:
+        want = (["", "", "copy"], sorted(f"i{k}" for k in range(300)), [])[i % 3]
+        assert got[i].items == want
+    kept = decontaminate.drop_contaminated(spark, d, b)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(2, 90, 3))
+
+
+def test_filter_is_bounded_and_loses_nothing(spark, monkeypatch):
+    import numpy as np
+    windows = spark.range(5000).selectExpr("10 AS size", "xxhash64(id) AS gram")
+    table, sizes = decontaminate.gram_filter(windows)
+    grams = np.array([r.gram for r in windows.collect()]).view(np.uint64)
+    assert sizes == [10] and len(decontaminate._in_filter(grams, table)) == 5000
+    others = np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64)
+    assert len(decontaminate._in_filter(others, table)) < 100
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 1 << 14)
+    small, _ = decontaminate.gram_filter(windows)
+    assert len(small) * 64 == 1 << 14
+    assert len(decontaminate._in_filter(grams, small)) == 5000
