@@ -16,11 +16,11 @@ languages share an automaton up to ``TABLE_CELLS`` code lengths; more of them
 have several, and the same code lengths.
 
 Training uses the ``SAMPLE_ROWS`` distinct texts of each language with the smallest
-hashes (the documented bound; whole texts, all if there are fewer), each once,
-counted on the cluster. Grams seen once count too. Each language by itself keeps
-its most frequent grams and contexts, up to ``MAX_GRAMS`` and ``MAX_CONTEXTS``, which
-bounds what the driver reads and broadcasts for a language; no language costs
-another one its grams.
+hashes (the documented and only bound; whole texts, all if there are fewer), each once,
+counted on the cluster. Every gram of the sample counts, those seen once too. The
+driver reads one language's grams at a time, as arrays. ``max_grams`` and ``max_contexts``
+may prune each language by itself for less memory; by default nothing is pruned.
+Scans cut long texts into tiles of ``TILE`` bytes, which carry the state over.
 
 Case is folded for A-Z and the Latin-1 letters. Defined results: null texts and
 texts without any letter are ``und`` with score 0; with no labelled row every
@@ -42,10 +42,9 @@ from recspark.llm.common import LOWER, column, map_batches, narrow, pieces, stor
 
 ORDER = 3
 SAMPLE_ROWS = 600
-MAX_GRAMS = 600_000
-MAX_CONTEXTS = 20_000
 TABLE_CELLS = 1 << 25
 UNKNOWN = "und"
+TILE = 1 << 22   # bytes scanned in one step
 _STEPS = 1024
 
 
@@ -107,27 +106,24 @@ def sample_texts(spark: SparkSession, labelled: DataFrame, sample_rows: int) ->
     return rows.join(chosen, ["lang", "h"]).select("lang", "text").dropDuplicates()
 
 
+Grams = tuple[np.ndarray, np.ndarray]  # numbers of the grams, and how often each occurs
+
+
 def count_grams(spark: SparkSession, labelled: DataFrame, sample_rows: int = SAMPLE_ROWS,
-                order: int = ORDER, max_grams: int = MAX_GRAMS) -> dict[str, dict[int, int]]:
-    """Gram counts per language from a hashed sample of distinct (lang, text) rows."""
+                order: int = ORDER, max_grams: int | None = None) -> dict[str, Grams]:
+    """Grams and counts per language from a hashed sample of distinct (lang, text) rows."""
     sample = sample_texts(spark, labelled, sample_rows)
     grams = stored(spark, map_batches(sample, _count_grams(order),
                                       "lang string, gram bigint, n bigint")
                    .groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language-grams")
-    size = grams.groupBy("lang").agg(F.count(F.lit(1)).alias("size")).where(
-        F.col("size") > max_grams)
-    out: dict[str, dict[int, int]] = {}
-    for lang in sorted(r.lang for r in size.collect()):  # whole ranks of each large language
-        mine, least, total = grams.where(F.col("lang") == F.lit(lang)), 1, 0
-        for n, count in mine.groupBy("n").count().orderBy(F.desc("n")).collect():
-            total += count
-            if total > max_grams:
-                least = n + 1
-                break
-        grams = grams.where((F.col("lang") != F.lit(lang)) | (F.col("n") >= least))
-    table = grams.toArrow()
-    for lang, gram, n in zip(*(table.column(c).to_pylist() for c in ("lang", "gram", "n"))):
-        out.setdefault(lang, {})[gram] = n
+    out: dict[str, Grams] = {}
+    for lang in sorted(r.lang for r in grams.select("lang").distinct().collect()):
+        table = grams.where(F.col("lang") == F.lit(lang)).select("gram", "n").toArrow()
+        gram, n = (table.column(c).to_numpy() for c in ("gram", "n"))
+        if max_grams is not None and len(gram) > max_grams:  # whole ranks
+            keep = n > np.sort(n)[::-1][max_grams]
+            gram, n = gram[keep], n[keep]
+        out[lang] = gram, n
     return out
 
 
@@ -158,12 +154,13 @@ def _shorter(c: np.ndarray, order: int) -> np.ndarray:
     return low | (c & (low - 1))
 
 
-def _own_grams(counts: dict[int, int], max_contexts: int):
-    """(grams, counts) in the contexts that a language keeps: root and the most frequent
-    by number of followers; whole ranks, so the set holds the prefixes and suffixes of
-    its members."""
-    gram = np.fromiter(counts.keys(), np.int64, len(counts))
-    n = np.fromiter(counts.values(), np.int64, len(counts))
+def _own_grams(grams: Grams, max_contexts: int | None) -> Grams:
+    """(grams, counts) in the contexts that a language keeps: all, or root and the most
+    frequent by number of followers; whole ranks, so the set holds the prefixes and suffixes
+    of its members."""
+    gram, n = grams
+    if max_contexts is None:
+        return gram, n
     context, which = np.unique(gram >> 8, return_inverse=True)
     weight = np.bincount(which, weights=n)
     inner = np.sort(weight[context > 1])[::-1]
@@ -172,8 +169,8 @@ def _own_grams(counts: dict[int, int], max_contexts: int):
     return gram[keep[which]], n[keep[which]]
 
 
-def compile_model(grams: dict[str, dict[int, int]], order: int = ORDER,
-                  max_contexts: int = MAX_CONTEXTS, table_cells: int = TABLE_CELLS) -> Model:
+def compile_model(grams: dict[str, Grams], order: int = ORDER,
+                  max_contexts: int | None = None, table_cells: int = TABLE_CELLS) -> Model:
     langs = sorted(grams)
     parts, group = [], []
     contexts, symbols = np.array([1]), np.zeros(0, np.int64)
@@ -254,19 +251,30 @@ def _group_lengths(model: Automaton, data: np.ndarray, offsets: np.ndarray) -> n
     """Bits of each text in each language of one automaton."""
     n_docs, border = len(offsets) - 1, model.n_classes - 1
     first = offsets[:-1] + np.arange(n_docs)
-    flat = np.insert(model.byte_class[fold_case(data)], offsets[1:], border)
+    flat = np.insert(model.byte_class[fold_case(data)].astype(np.int16), offsets[1:], border)
     lanes = -(-len(flat) // _STEPS)
-    flat = np.concatenate((flat, np.full(lanes * _STEPS - len(flat), border, np.int32)))
-    grid = np.ascontiguousarray(flat.reshape(lanes, _STEPS).T)
+    flat = np.concatenate((flat, np.full(lanes * _STEPS - len(flat), border, np.int16)))
+    grid = flat.reshape(lanes, _STEPS)
     state = np.zeros(lanes, np.int32)
-    for row in grid[_STEPS - model.order:]:  # the bytes before each lane set its first state
+    for row in grid[:, _STEPS - model.order:].T:  # the bytes before each lane set its first state
         state[1:] = model.step[state[1:] * model.n_classes + row[:-1]]
-    spots = np.empty((_STEPS, lanes), np.int32)
-    for t in range(_STEPS):
-        np.add(state * model.n_classes, grid[t], out=spots[t])
-        state = model.step[spots[t]]
-    bits = model.bits[spots.T.ravel()[:offsets[-1] + n_docs]]
-    return np.add.reduceat(bits, first, axis=0, dtype=np.float64)
+    out, ends = np.zeros((n_docs, model.bits.shape[1])), offsets[-1] + n_docs
+    tile = max(1, TILE // _STEPS)
+    for lo in range(0, lanes, tile):
+        part = np.ascontiguousarray(grid[lo:lo + tile].T)
+        at, spots = state[lo:lo + tile], np.empty(part.shape, np.int32)
+        for t in range(_STEPS):
+            np.add(at * model.n_classes, part[t], out=spots[t])
+            at = model.step[spots[t]]
+        begin, end = lo * _STEPS, min((lo + tile) * _STEPS, ends)
+        if end <= begin:
+            break
+        bits = model.bits[spots.T.ravel()[:end - begin]]
+        # the texts of this tile; the first may have begun before it
+        d = int(np.searchsorted(first, begin, side="right")) - 1
+        starts = np.maximum(first[d:np.searchsorted(first, end)] - begin, 0)
+        out[d:d + len(starts)] += np.add.reduceat(bits, starts, axis=0, dtype=np.float64)
+    return out
 
 
 _HAS_ASCII_LETTER = np.zeros(256, bool)
@@ -302,7 +310,7 @@ def train(spark: SparkSession, labelled: DataFrame, text_col: str = "text",
 def predict(spark: SparkSession, docs: DataFrame, model: Model, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, lang_pred, score."""
-    shared = spark.sparkContext.broadcast(model)  # bounded by MAX_CONTEXTS a language
+    shared = spark.sparkContext.broadcast(model)  # bounded by the sample of each language
 
     def run(batches):
         for batch in batches:

@@ -21,6 +21,10 @@ def plain_grams(texts, order):
     return out
 
 
+def arrays(grams):
+    return np.array(list(grams), np.int64), np.array(list(grams.values()), np.int64)
+
+
 def plain_length(grams, text, order):
     """Textbook PPM, method C with exclusion, one byte at a time."""
     table = {}
@@ -55,7 +59,7 @@ def test_code_lengths_are_exact():
     train = {"aa": ["the cat sat on the mat. " * 3, "other things"],
              "bb": ["där är öl, och ÅÄÖ " * 4, "the"]}
     grams = {k: plain_grams(v, 3) for k, v in train.items()}
-    model = language.compile_model(grams)
+    model = language.compile_model({k: arrays(g) for k, g in grams.items()})
     texts = ["the mat är", "", "zzz\x01", "ÅÄÖ och the cat",
              "".join(rng.choice("the catärö ,") for _ in range(5000))]
     data = [t.encode() for t in texts]
@@ -112,10 +116,14 @@ def test_sample_takes_distinct_texts(spark):
     for r in got:
         count[r.lang] = count.get(r.lang, 0) + 1
     assert count == {"aa": 7, "bb": 1, "cc": 1, "dd": 4}
-    grams = language.count_grams(spark, df, 7)
+    def counted(**options):
+        found = language.count_grams(spark, df, 7, **options)
+        return {lang: dict(zip(*(x.tolist() for x in g))) for lang, g in found.items()}
+
+    grams = counted()
     assert grams["cc"] == plain_grams(["rare"], 3) and grams["bb"] == plain_grams(
         ["only this one"], 3)
-    some = language.count_grams(spark, df, 7, max_grams=30)
+    some = counted(max_grams=30)
     assert some["cc"] == grams["cc"] and 0 < len(some["aa"]) <= 30
 
 
@@ -127,13 +135,14 @@ def test_languages_do_not_cost_each_other_grams():
     data = [t.encode() for t in ["xyz uvw", "the cat", "abc", "", "?xyz the b"]]
     off, raw = np.cumsum([0, *map(len, data)]), np.frombuffer(b"".join(data), np.uint8)
     for limit in (60, 20_000):
-        one = language.compile_model(grams, max_contexts=limit)
-        several = language.compile_model(grams, max_contexts=limit, table_cells=1)
+        own = {k: arrays(g) for k, g in grams.items()}
+        one = language.compile_model(own, max_contexts=limit)
+        several = language.compile_model(own, max_contexts=limit, table_cells=1)
         assert (len(one.parts), len(several.parts)) == (1, 3)
         got = language.code_lengths(one, raw, off)
         assert np.allclose(got, language.code_lengths(several, raw, off), rtol=1e-5)
         for k, lang in enumerate(one.langs):
-            alone = language.compile_model({lang: grams[lang]}, max_contexts=limit)
+            alone = language.compile_model({lang: own[lang]}, max_contexts=limit)
             assert np.allclose(got[:, k], language.code_lengths(alone, raw, off)[:, 0], rtol=1e-5)
         assert one.langs[got[0].argmin()] == "small" and one.langs[got[1].argmin()] == "mid"
         for i, t in enumerate(data):
@@ -149,3 +158,26 @@ def test_short_texts_with_a_language_stay(spark):
     assert 0 < score[9] < 0.5
     kept = {r.doc_id for r in language.keep_identified(spark, df, model).collect()}
     assert kept == {0, 1, 2, 9}
+
+
+def test_forty_languages_and_a_long_text(spark, monkeypatch):
+    """Nothing is pruned, whatever the number of languages; tiles carry the state over."""
+    rng = random.Random(7)
+    words = {f"l{i:02}": ["".join(rng.choice("abcdefghijklmnoprstuvyzéü") for _ in range(5))
+                          for _ in range(30)] for i in range(40)}
+    rows = [(i * 10 + k, " ".join(rng.choice(w) for _ in range(40)), lang)
+            for i, (lang, w) in enumerate(words.items()) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    grams = language.count_grams(spark, df)
+    assert {k: dict(zip(*(x.tolist() for x in g))) for k, g in grams.items()} == {
+        lang: plain_grams([t for _, t, x in rows if x == lang], 3) for lang in words}
+    model = language.compile_model(grams, table_cells=1 << 19)
+    assert len(model.langs) == 40 and len(model.parts) > 1
+    long = " ".join(rng.choice(words["l07"]) for _ in range(300_000))
+    texts = [long, "", " ".join(words["l23"]), long[:5000]]
+    off = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    whole = language.code_lengths(model, data, off)
+    assert [model.langs[k] for k in whole.argmin(axis=1)[[0, 2, 3]]] == ["l07", "l23", "l07"]
+    monkeypatch.setattr(language, "TILE", 3000)
+    assert np.allclose(language.code_lengths(model, data, off), whole, rtol=1e-12)

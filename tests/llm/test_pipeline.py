@@ -19,9 +19,8 @@ def test_stages_against_plain_python(spark, sf_dir):
         assert all(before[k] == after[k] for k in after)
         texts = [(k, r.text) for k, r in before.items()]
         if name == "language_id":
-            gone = [before[k].text or "" for k in set(before) - set(after)]
-            assert all(len(t.split()) < 8 or not re.search(r"[^\W\d_]", t) for t in gone)
-            want = set(after)
+            # a language is found wherever there is a letter
+            want = {k for k, t in texts if re.search(r"[^\W\d_]", t or "")}
         elif name == "exact_dedup":
             first = {}
             for k, t in sorted(texts):
