@@ -565,6 +565,87 @@ def partition_rewrite(spark, d):
     return back.select(*ch.columns)
 
 
+@query("layout_rewrite")
+def layout_rewrite(spark, d):
+    """K9 + K10 + K11: chunks stored by dataset, then rewritten by state and type; both versions
+    stay readable."""
+    ch = S.chunks(spark, d).join(S.patients(spark, d), "patient_id", "left")
+    path = scratch_path(spark, "layouts")
+    first = store.commit_version(spark, ch, path, ["dataset_id"])
+    second = store.rewrite_layout(spark, path, ["seizure_state", "data_type"])
+    out = None
+    for version in (first, second):
+        rows = store.read_version(spark, path, version).groupBy("seizure_state", "data_type").agg(
+            F.count(F.lit(1)).alias("n_chunks"), F.sum("recording_id").alias("id_sum"))
+        rows = rows.select(F.lit(version).cast("bigint").alias("version"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query("dense_ids")
+def dense_ids(spark, d):
+    """Ids 1..n without gaps over two appends (every third recording, then the others)."""
+    rows = S.chunk_rows(spark, d).select("recording_id", "chunk_idx", "channel_idx")
+    third = F.col("recording_id") % 3 == 0
+    key = ["recording_id", "chunk_idx", "channel_idx"]
+    none = rows.limit(0).withColumn("id", F.lit(0).cast("bigint"))
+    first = store.append_with_ids(spark, none, rows.where(third), key,
+                                  scratch_path(spark, "ids"))
+    return store.append_with_ids(spark, first, rows.where(~third), key,
+                                 scratch_path(spark, "ids"))
+
+
+@query("add_annotations")
+def add_annotations(spark, d):
+    """K6: the annotations of the patient with most of them, written as a list and loaded
+    twice for that patient."""
+    from recspark.ingest import add_annotations as add
+    ann = S.annotations(spark, d).select(F.col("patient_id").cast("int"), "onset", "offset")
+    top = (ann.groupBy("patient_id").count().orderBy(F.desc("count"), "patient_id").first())
+    mine = ann.where(F.col("patient_id") == top.patient_id)
+    stamp = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+    path = scratch_path(spark, "annotation-list")
+    (mine.select(F.concat_ws("\t", F.date_format("onset", stamp), F.date_format("offset", stamp),
+                             F.lit("0"), F.lit("0")).alias("value"))
+     .write.option("compression", "none").text(path))
+    none = spark.createDataFrame([], "patient_id int, onset timestamp_ntz, offset timestamp_ntz, "
+                                     "onset_sample bigint, offset_sample bigint")
+    once, _ = add(spark, none, f"{path}/*.txt", top.patient_id)
+    twice, _ = add(spark, once, f"{path}/*.txt", top.patient_id)
+    return twice.select("patient_id", "onset", "offset")
+
+
+@query("payload_roundtrip")
+def payload_roundtrip(spark, d):
+    """H6: every vector as little-endian bytes and back, NaN and infinite values included."""
+    from recspark.operators import signal
+    v = S.faulty_vectors(spark, d).select("vec_id", signal.payload_bytes(F.col("data")).alias("b"))
+    return v.select("vec_id", F.octet_length("b").alias("n_bytes"),
+                    signal.payload_vector(F.col("b")).alias("back"))
+
+
+@query("std_quartiles")
+def std_quartiles(spark, d):
+    """Exact quartiles of unrounded row stds (with ties) per group, selected by counts."""
+    from recspark.session import stored
+    rows = stored(spark, S.faulty_vectors(spark, d, with_nan=False).select(
+        (F.col("vec_id") % 7).alias("grp"), qc.vector_std_pop("data").alias("std")), "stds")
+    return qc.exact_quantiles(rows, "std", [0.25, 0.5, 0.75], ["grp"]).select(
+        "grp", "prob", F.round("value", 9).alias("value"))
+
+
+@query("schema_report")
+def schema_report(spark, d):
+    """Q5: columns of documents with their types, defaults and NULLs."""
+    return qc.schema_report(S.table(spark, d, "documents"))
+
+
+@query("time_columns")
+def time_columns(spark, d):
+    """Q6: the columns of events whose names speak of time, with their NULLs."""
+    return qc.time_columns(S.table(spark, d, "events"))
+
+
 # --- raw signals ------------------------------------------------------------------------------
 
 def rendered(spark, d) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -701,3 +782,24 @@ def load_seconds_cap(spark, d):
     return (out.join(meta["recordings"].select("recording_id", "rec_id"), "recording_id")
             .groupBy("rec_id", "channel_idx")
             .agg(F.count(F.lit(1)).alias("n_chunks"), F.max("chunk_idx").alias("last_chunk")))
+
+
+@query("load_append")
+def load_append(spark, d):
+    """K1 + K4 + S1: a tree loaded in two batches (patients with an even id, then all), read
+    back with the load that brought each recording, its patient and its dataset."""
+    from recspark.operators import metadata
+    from recspark.plans.recordings import render_recordings
+    tree = metadata.list_tree(spark, render_recordings(spark, d))
+    path = scratch_path(spark, "metadata")
+    even = F.regexp_extract("path", r"/pat_(\d+)/", 1).cast("int") % 2 == 0
+    metadata.load_tree(spark, tree.where(even), path)
+    second = metadata.load_tree(spark, tree, path)
+    if metadata.load_tree(spark, tree, path) is not None:
+        raise AssertionError("a tree without changes was loaded again")
+    recs = metadata.read_table(spark, path, "recordings")
+    return (recs.join(metadata.patients(spark, path), "patient_id")
+            .join(metadata.datasets(spark, path), "dataset_id")
+            .select("patient_id", "rec_id",
+                    F.when(F.col("load") == second, 2).otherwise(1).alias("load_no"),
+                    "dataset_id", F.col("name").alias("dataset_name")))

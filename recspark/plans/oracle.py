@@ -298,8 +298,8 @@ m AS (SELECT d, list_reduce(d, lambda a, b: a + b) / len(d) AS mean FROM v),
 s AS (SELECT sqrt(list_reduce(list_transform(d, lambda x: (x - mean) * (x - mean)),
                               lambda a, b: a + b) / len(d)) AS std FROM m)
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE std < 1e-6) AS n_flat,
-       min(round(std, 6)) AS min_std, round(median(round(std, 6)), 6) AS median_std,
-       max(round(std, 6)) AS max_std
+       round(min(std), 6) AS min_std, round(median(std), 6) AS median_std,
+       round(max(std), 6) AS max_std
 FROM s"""
 
 SQL["amplitude_histogram"] = f"""
@@ -569,3 +569,67 @@ SELECT CAST(patient_id AS INTEGER) AS patient_id, rec_id,
          AS error,
        CASE WHEN patient_id % 5 = 0 THEN count(*) * 3 ELSE 0 END AS n_chunks
 FROM seconds GROUP BY patient_id, rec_id"""
+
+# --- stored metadata, versions, ids, codec, schema ----------------------------------------------
+
+SQL["load_append"] = f"""
+WITH {RECORDINGS_CTE},
+r AS (SELECT DISTINCT CAST(patient_id AS INTEGER) AS patient_id, rec_id FROM seconds)
+SELECT patient_id, rec_id, CASE WHEN patient_id % 2 = 0 THEN 1 ELSE 2 END AS load_no,
+       CAST(0 AS INTEGER) AS dataset_id, 'inv' AS dataset_name FROM r"""
+
+SQL["layout_rewrite"] = f"""
+WITH {CHUNKS_CTE}
+SELECT v AS version, seizure_state, data_type, count(*) AS n_chunks, sum(recording_id) AS id_sum
+FROM chunks, (VALUES (CAST(1 AS BIGINT)), (2)) t(v) GROUP BY ALL"""
+
+SQL["dense_ids"] = """
+WITH o AS (SELECT l_orderkey, l_linenumber, l_partkey, l_orderkey % 3 = 0 AS first_load FROM lineitem)
+SELECT l_orderkey AS recording_id, l_linenumber AS chunk_idx, l_partkey AS channel_idx,
+       row_number() OVER (ORDER BY NOT first_load, l_orderkey, l_linenumber, l_partkey) AS id
+FROM o"""
+
+SQL["payload_roundtrip"] = """
+WITH v AS (SELECT vec_id, CASE
+    WHEN vec_id % 50 = 7 THEN list_transform(embedding, lambda x: CAST(0.25 AS FLOAT))
+    WHEN vec_id % 61 = 3 THEN list_transform(embedding, lambda x, i:
+         CASE WHEN i = 6 THEN CAST('nan' AS FLOAT) ELSE x END)
+    WHEN vec_id % 67 = 4 THEN list_transform(embedding, lambda x, i:
+         CASE WHEN i = 10 THEN CAST('inf' AS FLOAT) ELSE x END)
+    ELSE embedding END AS d FROM embeddings)
+SELECT vec_id, CAST(4 * len(d) AS INTEGER) AS n_bytes, d AS back FROM v"""
+
+SQL["std_quartiles"] = """
+WITH v AS (SELECT vec_id % 7 AS grp, list_transform(CASE WHEN vec_id % 50 = 7
+                    THEN list_transform(embedding, lambda x: CAST(0.25 AS FLOAT))
+                    ELSE embedding END, lambda x: CAST(x AS DOUBLE)) AS d FROM embeddings),
+m AS (SELECT grp, d, list_reduce(d, lambda a, b: a + b) / len(d) AS mean FROM v),
+s AS (SELECT grp, sqrt(list_reduce(list_transform(d, lambda x: (x - mean) * (x - mean)),
+                                   lambda a, b: a + b) / len(d)) AS std FROM m)
+SELECT grp, p AS prob, round(CASE p WHEN 0.25 THEN quantile_cont(std, 0.25)
+       WHEN 0.5 THEN median(std) ELSE quantile_cont(std, 0.75) END, 9) AS value
+FROM s, (VALUES (CAST(0.25 AS DOUBLE)), (0.5), (0.75)) t(p) GROUP BY grp, p"""
+
+
+def _schema_sql(table: str, types: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {i} AS position, '{name}' AS name, '{kind}' AS type, true AS nullable, "
+        f"CAST(NULL AS VARCHAR) AS \"default\", count(*) AS n_rows, "
+        f"count(*) - count({name}) AS n_nulls FROM {table}"
+        for i, (name, kind) in enumerate(types.items()))
+
+
+SQL["schema_report"] = _schema_sql("documents", {
+    "doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"})
+
+SQL["time_columns"] = f"""
+SELECT * FROM ({_schema_sql("events", {
+    "event_id": "bigint", "ts": "timestamp_ntz", "user_id": "bigint", "event_type": "string",
+    "value": "double", "props": "string"})}) WHERE name IN ('ts')"""
+
+SQL["add_annotations"] = f"""
+WITH {ANNOTATIONS_CTE},
+top AS (SELECT user_id FROM events WHERE event_type = 'error' GROUP BY user_id
+        ORDER BY count(*) DESC, user_id LIMIT 1)
+SELECT DISTINCT CAST(patient_id AS INTEGER) AS patient_id, onset, "offset"
+FROM annotations WHERE patient_id IN (SELECT user_id FROM top)"""

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every query in this package assumes. Timestamps are zone-less
 # (TIMESTAMP_NTZ); UTC keeps any LTZ conversion a no-op.
@@ -70,6 +70,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/recspark-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it back: the work before it is done
+    once, and what follows survives the loss of executors."""
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 
