@@ -202,8 +202,10 @@ def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFram
                  F.col("item").isNull().alias("no_id"))).alias("items"))
              .select("digest", F.array_sort(F.transform("items", lambda x: x["item"]))
                      .alias("items")))
-    return (scanned.select("doc_id", "digest", "n_words")
-            .join(spans.join(items, "digest"), "digest", "left")
+    # written, so that its size is known: Spark broadcasts it while it is small, and else
+    # splits the texts that many documents share
+    found = stored(spark, spans.join(items, "digest"), "contaminated-texts")
+    return (scanned.select("doc_id", "digest", "n_words").join(found, "digest", "left")
             .select("doc_id", "n_words",
                     F.coalesce("spans", F.array().cast(f"array<{span}>")).alias("spans"),
                     F.coalesce("items", F.array().cast("array<string>")).alias("items")))
