@@ -68,15 +68,19 @@ def segmented_scan(df: DataFrame, partition_cols: Sequence[str], order_cols: Seq
                    position: str | None = "position",
                    sums: dict[str, str] | None = None,
                    lags: dict[str, str] | None = None,
+                   maxes: dict[str, str] | None = None,
                    n_buckets: int | None = None) -> DataFrame:
     """Add a 0-based ``position`` within ``partition_cols`` in ``order_cols`` order,
     exclusive running sums (``{out: col}``, the sum over earlier rows) and lags
-    (``{out: col}``, the value of the previous row, NULL for the first).
+    (``{out: col}``, the value of the previous row, NULL for the first) and exclusive
+    running maxima (``{out: col}``, over earlier rows, NULLs left out; structs compare
+    field by field).
     """
     parts = list(partition_cols)
     order = list(order_cols)
     sums = dict(sums or {})
     lags = dict(lags or {})
+    maxes = dict(maxes or {})
     b = add_buckets(df, order[0], n_buckets)
 
     # Totals per (partition, bucket): count, sums, and the last row's lag values.
@@ -84,6 +88,7 @@ def segmented_scan(df: DataFrame, partition_cols: Sequence[str], order_cols: Seq
                                                   for o, c in lags.items()])
     aggs = [F.count(F.lit(1)).alias("_seg_n")]
     aggs += [F.sum(c).alias(f"_seg_s_{o}") for o, c in sums.items()]
+    aggs += [F.max(c).alias(f"_seg_m_{o}") for o, c in maxes.items()]
     if lags:
         aggs.append(F.max(last).alias("_seg_last"))
     tot = b.groupBy(*parts, _BUCKET).agg(*aggs)
@@ -98,6 +103,7 @@ def segmented_scan(df: DataFrame, partition_cols: Sequence[str], order_cols: Seq
         F.coalesce(F.sum("_seg_n").over(before), F.lit(0)).alias("_seg_off"),
         *[F.coalesce(F.sum(f"_seg_s_{o}").over(before), F.lit(0)).alias(f"_seg_soff_{o}")
           for o in sums],
+        *[F.max(f"_seg_m_{o}").over(before).alias(f"_seg_moff_{o}") for o in maxes],
         *([F.lag("_seg_last").over(wb).alias("_seg_prev")] if lags else []))
 
     w = Window.partitionBy(*parts, _BUCKET).orderBy(*order)
@@ -112,11 +118,14 @@ def segmented_scan(df: DataFrame, partition_cols: Sequence[str], order_cols: Seq
     for o, c in sums.items():
         out = out.withColumn(o, F.col(f"_seg_soff_{o}")
                              + F.coalesce(F.sum(c).over(run), F.lit(0)))
+    for o, c in maxes.items():
+        out = out.withColumn(o, F.greatest(F.col(f"_seg_moff_{o}"), F.max(c).over(run)))
     first_in_bucket = F.row_number().over(w) == 1
     for o, c in lags.items():
         out = out.withColumn(o, F.when(first_in_bucket, F.col(f"_seg_prev._lag_{o}"))
                              .otherwise(F.lag(c).over(w)))
-    drop = [_BUCKET, "_seg_key_b", *same, "_seg_off", *[f"_seg_soff_{o}" for o in sums]]
+    drop = [_BUCKET, "_seg_key_b", *same, "_seg_off", *[f"_seg_soff_{o}" for o in sums],
+            *[f"_seg_moff_{o}" for o in maxes]]
     if lags:
         drop.append("_seg_prev")
     return out.drop(*drop)

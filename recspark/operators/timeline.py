@@ -86,6 +86,80 @@ def recording_timeline(recordings: DataFrame, keys: Sequence[str] = ("patient_id
             .drop("_prev_start", "_prev_dur"))
 
 
+def recording_sessions(recordings: DataFrame, keys: Sequence[str] = ("patient_id", "rec_id"),
+                       start: str = "start_ts", duration: str = "duration_in_sec",
+                       rid: str = "recording_id") -> DataFrame:
+    """A row per long recording (the recordings that share ``keys``): its first start
+    and last end, the recordings in it, and whole seconds recorded, without any recording
+    (``gap_sec``) and recorded more than once (``overlap_sec``: what each recording
+    repeats of the time its predecessors reach to). A recording without start or
+    duration is counted and has no extent; NULL keys form a group like any other.
+    """
+    spans = (recordings.select(*keys, rid, start, duration)
+             .withColumn("_end", add_seconds(start, F.col(duration))))
+    seen = segmented_scan(spans, keys, (start, rid), position=None, maxes={"_reach": "_end"})
+    begin, end, reach = (epoch_seconds(c) for c in (start, "_end", "_reach"))
+    zero = F.lit(0).cast("bigint")
+    return seen.groupBy(*keys).agg(
+        F.min(start).alias("session_start"), F.max("_end").alias("session_end"),
+        F.count(F.lit(1)).alias("n_recordings"),
+        F.coalesce(F.sum(F.when(F.col("_end").isNotNull(), F.col(duration))), zero)
+        .cast("bigint").alias("recorded_sec"),
+        F.coalesce(F.sum(F.when(begin > reach, begin - reach)), zero).alias("gap_sec"),
+        F.coalesce(F.sum(F.when(reach > begin, F.least(end, reach) - begin)), zero)
+        .alias("overlap_sec"))
+
+
+def place_annotations(annotations: DataFrame, recordings: DataFrame, patient: str = "patient_id",
+                      group: str = "rec_id", onset: str = "onset", start: str = "start_ts",
+                      duration: str = "duration_in_sec", rid: str = "recording_id") -> DataFrame:
+    """Every annotation with the recording its onset lies in, and its place there.
+
+    Recordings cover ``[start, start + duration)``. Of those that hold the onset the
+    one that started last counts if it is the last that started at all, else the one
+    that reaches farthest (ties: larger id), so an onset that any recording holds is
+    always placed. ``recording_offset_sec`` and ``session_offset_sec`` are whole seconds
+    since that recording's and its long recording's first start; a recording without
+    ``group`` is a long recording of its own. Outside every recording these are NULL and
+    ``since_end_sec`` tells the time since the latest end (NULL before the first). NULL
+    patients, onsets, starts and durations match nothing; every annotation stays.
+
+    An as-of join as one ordered scan: recordings and annotations of a patient are
+    merged in time order and the last and the farthest recording are running maxima,
+    carried across the buckets of the scan, so a hot patient is spread over tasks.
+    """
+    spans = recordings.select(F.col(patient).alias("_p"), F.col(group).alias("_g"),
+                              F.col(rid).alias("_r"), F.col(start).alias("_s"),
+                              add_seconds(start, F.col(duration)).alias("_e")).where(
+        F.col("_p").isNotNull() & F.col("_s").isNotNull() & F.col("_e").isNotNull())
+    first = spans.groupBy("_p", "_g").agg(F.min("_s").alias("_f"))
+    spans = spans.join(first, ["_p", "_g"], "left").withColumn(
+        "_f", F.coalesce("_f", "_s"))
+    marks = spans.select("_p", F.col("_s").alias("_at"), F.lit(0).alias("_kind"),
+                         F.struct("_s", "_r", "_e", "_g", "_f").alias("_started"),
+                         F.struct("_e", "_r", "_s", "_g", "_f").alias("_reaching"))
+    rows = annotations.select(F.col(patient).alias("_p"), F.col(onset).alias("_at"),
+                              F.lit(1).alias("_kind"), F.struct("*").alias("_row"))
+    merged = rows.unionByName(marks, allowMissingColumns=True)
+    seen = segmented_scan(merged, ["_p"], ["_at", "_kind"], position=None,
+                          maxes={"_last": "_started", "_far": "_reaching"}).where("_kind = 1")
+    fields = ("_r", "_g", "_s", "_f")
+
+    def holding(side: str):
+        return F.when(F.col(f"{side}._e") > F.col("_at"),
+                      F.struct(*[F.col(f"{side}.{c}") for c in fields]))
+
+    at = epoch_seconds("_at")
+    placed = seen.select("_row.*", "_at", F.col("_far._e").alias("_end"),
+                         F.coalesce(holding("_last"), holding("_far")).alias("_on"))
+    return placed.select(
+        *[F.col(c) for c in annotations.columns], F.col("_on._r").alias(rid),
+        F.col("_on._g").alias(group),
+        (at - epoch_seconds("_on._s")).alias("recording_offset_sec"),
+        (at - epoch_seconds("_on._f")).alias("session_offset_sec"),
+        F.when(F.col("_on").isNull(), at - epoch_seconds("_end")).alias("since_end_sec"))
+
+
 def ordered_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    out: str = "seq_no") -> DataFrame:
     """Position of each row within its group in time order."""

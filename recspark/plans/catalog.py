@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recspark.functions import electrodes
+from recspark.functions import electrodes, paths
 from recspark.functions.timefmt import add_seconds, epoch_seconds
 from recspark.operators import (channels, labels, qc, quality, store, summary, timeline,
                                 training)
@@ -220,6 +220,46 @@ def page_text(spark, d):
     return pages.first_tag_text(S.table(spark, d, "pages"), tag="h1")
 
 
+PACKAGES = ("inv_30", "surf_30")
+
+
+@query("listing_links")
+def listing_links(spark, d):
+    """S10 + S12: listing names on fetched pages: anchors with ``_`` that are no packages."""
+    packages = spark.createDataFrame([(p,) for p in PACKAGES], "anchor string")
+    return pages.listing_links(S.listing_pages(spark, d), exclude=packages)
+
+
+@query("listing_annotations")
+def listing_annotations(spark, d):
+    """S10 + S4: the ``<pre>`` of each patient page, parsed as an annotation list."""
+    fetched = S.listing_pages(spark, d)
+    text = pages.first_tag_text(fetched).where(F.col("text") != "").join(
+        fetched.select("page_id", "patient_id"), "page_id")
+    lines = annotations.text_lines(text.withColumn("path", F.col("page_id").cast("string")),
+                                   "text")
+    good, _ = annotations.parse_annotation_lines(lines, patient_col="patient_id")
+    return good
+
+
+@query("package_datasets")
+def package_datasets(spark, d):
+    """S12 + H10: datasets of packages and of directories, from suppliers named in turn
+    ``inv_<n>``, ``surf_<n>``, ``other`` and kept below ``n_inv``, ``n_surf30``, ``n_raw``."""
+    k = F.col("s_suppkey")
+    s = S.table(spark, d, "supplier").select(
+        k.alias("s_suppkey"),
+        F.when(k % 3 == 0, F.concat(F.lit("inv_"), k)).when(k % 3 == 1, F.concat(
+            F.lit("surf_"), k)).otherwise(F.lit("other")).alias("package"),
+        F.concat(F.lit("/data/"), k, F.lit("_"),
+                 F.when(k % 4 == 0, F.lit("inv")).when(k % 4 == 1, F.lit("surf30"))
+                 .otherwise(F.lit("raw")),
+                 F.lit("/pat_"), k, F.lit("/seizure_list")).alias("path"))
+    return s.select("s_suppkey", pages.dataset_of_package("package").alias("package_dataset"),
+                    paths.dataset_of_dir(paths.dataset_dir("path")).alias("dir_dataset"),
+                    paths.patient_of_path("path").alias("patient_id"))
+
+
 @query("resolve_patient_dirs")
 def resolve_patient_dirs(spark, d):
     """Listing FR_<supplier> -> first existing of pat_<n>02, pat_<n>03.
@@ -377,6 +417,25 @@ def recording_timeline(spark, d):
     return timeline.recording_timeline(S.recordings(spark, d))
 
 
+@query("session_timeline")
+def session_timeline(spark, d):
+    """The recordings of each long recording (patient, rec_id) end to end."""
+    return timeline.recording_timeline(S.grouped_recordings(spark, d),
+                                       keys=("patient_id", "rec_id"))
+
+
+@query("recording_sessions")
+def recording_sessions(spark, d):
+    """Extent, recorded, missing and repeated seconds of each long recording."""
+    return timeline.recording_sessions(S.grouped_recordings(spark, d))
+
+
+@query("placed_annotations")
+def placed_annotations(spark, d):
+    """Every annotation on its recording, or the time since the last one ended."""
+    return timeline.place_annotations(S.annotations(spark, d), S.grouped_recordings(spark, d))
+
+
 @query("recordings_ordered")
 def recordings_ordered(spark, d):
     """S8 + L1: recordings of each patient in start order."""
@@ -429,6 +488,17 @@ def domain_rejects(spark, d):
                       F.array_join("reasons", ";").alias("reasons"))
 
 
+@query("state_rejects")
+def state_rejects(spark, d):
+    """Q8: chunks whose state is the line number (1..7, NULL for 7) against the domain 0..2."""
+    line = F.col("chunk_idx")
+    raw = S.chunk_rows(spark, d).withColumn(
+        "seizure_state", F.when(line < 7, line).cast("int"))
+    _, bad = quality.domain_check(raw)
+    return bad.select("recording_id", "chunk_idx", "channel_idx",
+                      F.array_join("reasons", ";").alias("reasons"))
+
+
 # --- ad-hoc reads -------------------------------------------------------------------------------
 
 SQL_QUERY_TEXT = """
@@ -455,6 +525,30 @@ def patient_sample_200(spark, d):
         *TRAINING_KEY)
 
 
+@query("state_sample_200")
+def state_sample_200(spark, d):
+    """L2 + H7: the first 200 chunks in key order of the largest state (a limit that acts)."""
+    state = (summary.chunk_counts(S.chunk_rows(spark, d), by=("seizure_state",), out="n")
+             .orderBy(F.desc("n"), "seizure_state").first().seizure_state)
+    rows = S.chunks(spark, d).where(F.col("seizure_state") == state)
+    return qc.first_rows_matrix(rows, list(TRAINING_KEY), n=200).select(*TRAINING_KEY)
+
+
+@query("patient_select")
+def patient_select(spark, d):
+    """P1 + P2 + P3: one patient by equality (the largest), states 0 and 2, surface type,
+    from a store partitioned by state and type whose files are sorted by patient: other
+    partitions aren't opened, and row groups of other patients are skipped by their statistics."""
+    top = summary.top_patients(_counts_with_patient(spark, d), 1, count_col="n").first()
+    path = scratch_path(spark, "patient-store")
+    store.write_partitioned(S.chunks(spark, d), path,
+                            partition_cols=("seizure_state", "data_type"),
+                            sort_cols=("patient_id", *TRAINING_KEY[:3]))
+    rows = store.read_store(spark, path)
+    return training.select_chunks(rows, patient_id=top.patient_id, states=(0, 2),
+                                  data_types=(3,)).select(*TRAINING_KEY, "patient_id")
+
+
 @query("chunk_select")
 def chunk_select(spark, d):
     """P1 + P2 + P5: the largest patient's chunks in states 0 and 2."""

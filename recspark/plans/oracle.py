@@ -633,3 +633,89 @@ top AS (SELECT user_id FROM events WHERE event_type = 'error' GROUP BY user_id
         ORDER BY count(*) DESC, user_id LIMIT 1)
 SELECT DISTINCT CAST(patient_id AS INTEGER) AS patient_id, onset, "offset"
 FROM annotations WHERE patient_id IN (SELECT user_id FROM top)"""
+
+# --- long recordings, listings, domains ---------------------------------------------------------
+
+_GROUPED = """r AS (SELECT o_orderkey AS recording_id, o_custkey AS patient_id,
+      CASE WHEN o_orderkey % 29 <> 0 THEN o_custkey * 10 + o_orderkey % 3 END AS rec_id,
+      TIMESTAMP '2024-01-01 00:00:00' + to_seconds(o_orderkey * 7919 % 2592000) AS start_ts,
+      CAST(round(o_totalprice) AS BIGINT) AS duration_in_sec
+    FROM orders)"""
+
+SQL["session_timeline"] = f"""
+WITH {_GROUPED}
+SELECT recording_id, patient_id, rec_id, start_ts, duration_in_sec,
+       row_number() OVER w - 1 AS seq_no,
+       CAST(coalesce(sum(duration_in_sec) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING
+                                                 AND 1 PRECEDING), 0) AS BIGINT) AS elapsed_sec,
+       CAST(epoch(start_ts) - epoch(lag(start_ts) OVER w)
+            - lag(duration_in_sec) OVER w AS BIGINT) AS gap_sec
+FROM r WINDOW w AS (PARTITION BY patient_id, rec_id ORDER BY start_ts, recording_id)"""
+
+SQL["recording_sessions"] = f"""
+WITH {_GROUPED},
+e AS (SELECT *, CAST(epoch(start_ts) AS BIGINT) AS b,
+             CAST(epoch(start_ts) AS BIGINT) + duration_in_sec AS f FROM r),
+m AS (SELECT *, max(f) OVER (PARTITION BY patient_id, rec_id ORDER BY start_ts, recording_id
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM e)
+SELECT patient_id, rec_id, min(start_ts) AS session_start,
+       max(start_ts + to_seconds(duration_in_sec)) AS session_end, count(*) AS n_recordings,
+       CAST(sum(duration_in_sec) AS BIGINT) AS recorded_sec,
+       CAST(coalesce(sum(b - reach) FILTER (WHERE b > reach), 0) AS BIGINT) AS gap_sec,
+       CAST(coalesce(sum(least(f, reach) - b) FILTER (WHERE reach > b), 0) AS BIGINT)
+         AS overlap_sec
+FROM m GROUP BY patient_id, rec_id"""
+
+SQL["placed_annotations"] = f"""
+WITH {_GROUPED}, {ANNOTATIONS_CTE},
+e AS (SELECT *, start_ts + to_seconds(duration_in_sec) AS end_ts,
+             min(start_ts) OVER (PARTITION BY patient_id, rec_id,
+                 CASE WHEN rec_id IS NULL THEN recording_id END) AS first_ts FROM r),
+a AS (SELECT row_number() OVER () AS n, * FROM annotations),
+j AS (SELECT a.*, e.recording_id, e.rec_id, e.start_ts, e.end_ts, e.first_ts,
+             row_number() OVER (PARTITION BY n ORDER BY start_ts DESC, recording_id DESC) AS late,
+             row_number() OVER (PARTITION BY n ORDER BY end_ts DESC, recording_id DESC) AS far
+      FROM a JOIN e ON a.patient_id = e.patient_id AND e.start_ts <= a.onset),
+hit AS (SELECT n, recording_id, rec_id, start_ts, first_ts FROM j
+        WHERE end_ts > onset AND (late = 1 OR far = 1)
+        QUALIFY row_number() OVER (PARTITION BY n ORDER BY late) = 1),
+far AS (SELECT n, end_ts FROM j WHERE far = 1)
+SELECT a.patient_id, a.onset, a."offset", hit.recording_id, hit.rec_id,
+       CAST(floor(epoch(a.onset)) - epoch(hit.start_ts) AS BIGINT) AS recording_offset_sec,
+       CAST(floor(epoch(a.onset)) - epoch(hit.first_ts) AS BIGINT) AS session_offset_sec,
+       CASE WHEN hit.n IS NULL THEN CAST(floor(epoch(a.onset)) - epoch(far.end_ts) AS BIGINT)
+       END AS since_end_sec
+FROM a LEFT JOIN hit ON a.n = hit.n LEFT JOIN far ON a.n = far.n"""
+
+SQL["listing_links"] = """
+SELECT event_id AS page_id, 2 AS link_pos, 'FR_' || user_id AS anchor FROM events"""
+
+SQL["listing_annotations"] = f"""
+SELECT * FROM ({SQL["parse_annotations"]})
+WHERE (onset_sample // 256) % 19 <> 8"""
+
+SQL["package_datasets"] = """
+SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'inv' WHEN 1 THEN 'surf' ELSE 'other' END
+         AS package_dataset,
+       CASE s_suppkey % 4 WHEN 0 THEN 'inv' WHEN 1 THEN 'surf' END AS dir_dataset,
+       CAST(s_suppkey AS INTEGER) AS patient_id
+FROM supplier"""
+
+SQL["state_sample_200"] = f"""
+WITH {CHUNKS_CTE}, top AS (SELECT seizure_state FROM chunks GROUP BY seizure_state
+                           ORDER BY count(*) DESC, seizure_state LIMIT 1)
+SELECT recording_id, chunk_idx, channel_idx, data, seizure_state, data_type
+FROM chunks WHERE seizure_state IN (SELECT seizure_state FROM top)
+ORDER BY {TRAINING_ORDER} LIMIT 200"""
+
+SQL["patient_select"] = f"""
+WITH {CHUNKS_CTE}, {_TOP1}
+SELECT recording_id, chunk_idx, channel_idx, data, seizure_state, data_type, patient_id
+FROM chunks WHERE patient_id IN (SELECT patient_id FROM top) AND seizure_state IN (0, 2)
+  AND data_type = 3"""
+
+SQL["state_rejects"] = """
+SELECT l_orderkey AS recording_id, l_linenumber AS chunk_idx, l_partkey AS channel_idx,
+       'bad seizure_state ' || coalesce(CAST(CASE WHEN l_linenumber < 7 THEN l_linenumber END
+                                             AS VARCHAR), 'NULL') AS reasons
+FROM lineitem WHERE l_linenumber NOT IN (1, 2)"""

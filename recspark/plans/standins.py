@@ -99,6 +99,21 @@ def timed_chunks(spark, d) -> DataFrame:
                     add_seconds("ts", 1).alias("chunk_end_ts")))
 
 
+def grouped_recordings(spark, d) -> DataFrame:
+    """Orders as recordings in the month of the events, three long recordings a patient.
+
+    ``k = o_orderkey``: start ``k * 7919 % 2592000`` seconds into January 2024, ``rec_id``
+    ``patient * 10 + k % 3`` (NULL where k%29=0), length the rounded price in seconds.
+    """
+    k = F.col("o_orderkey")
+    return table(spark, d, "orders").select(
+        k.alias("recording_id"), F.col("o_custkey").alias("patient_id"),
+        F.when(k % 29 != 0, F.col("o_custkey") * 10 + k % 3).alias("rec_id"),
+        add_seconds(F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"), k * 7919 % 2592000)
+        .alias("start_ts"),
+        F.round("o_totalprice").cast("bigint").alias("duration_in_sec"))
+
+
 # --- synthesised text sources -------------------------------------------------------
 #
 # Header files and annotation lists are rendered from driver rows, with faults
@@ -120,7 +135,9 @@ def header_texts(spark, d) -> DataFrame:
     k%23=7 a blank line; k%7=3 no num_channels line; k%11=5 num_channels
     ``ninety-three``; k%5=1 a trailing ``#`` comment line.
     """
-    o = table(spark, d, "orders")
+    # the narrow rows are dealt to all cores first: a table of one row group is one task,
+    # and rendering and parsing are work per row
+    o = table(spark, d, "orders").repartition(spark.sparkContext.defaultParallelism)
     k = F.col("o_orderkey")
     start = F.when(k % 13 == 6, F.concat(F.date_format("o_orderdate", "yyyy"), F.lit("-96-"),
                                          F.date_format("o_orderdate", "dd HH:mm:ss"))
@@ -186,6 +203,24 @@ def annotation_lines(spark, d) -> DataFrame:
                      line.alias("line"))
 
 
+def listing_pages(spark, d) -> DataFrame:
+    """One fetched patient page per event: ``(page_id, patient_id, html)``.
+
+    Its anchors are ``FR_<user>``, ``inv_30`` (a package, not a listing) and ``home``; its
+    ``<pre>`` holds a comment and the event's annotation line; e%19=8 has no ``<pre>``.
+    """
+    lines = annotation_lines(spark, d)
+    user = F.regexp_extract("path", r"pat_(\d+)", 1)
+    pre = F.concat(F.lit("<pre class='list'># list of "), user, F.lit("\n"),
+                   F.col("line"), F.lit("\n</pre>"))
+    html = F.concat(F.lit('<html><body><a href="/home">home</a><a href="/p">inv_30</a>'
+                          '<A HREF="/l"><b>FR_</b>'), user, F.lit("</A>"),
+                    F.when((F.col("line_no") - 1) % 19 == 8, F.lit("")).otherwise(pre),
+                    F.lit("</body></html>"))
+    return lines.select((F.col("line_no") - 1).cast("bigint").alias("page_id"),
+                        user.cast("int").alias("patient_id"), html.alias("html"))
+
+
 # Electrode names used to label stand-in channels (a mix of iEEG, surface and
 # heart channels; FP1 stays iEEG in an inv dataset because names match whole).
 STANDIN_ELECTRODES = ("GA1", "GA2", "ECG", "FP", "FP1", "T", "HR3", "EKG", "EMG", "TLA4",

@@ -16,8 +16,8 @@ Rules:
 
 A rejected file becomes one ``rejects`` row listing every reason found.
 
-Plan: the file row holds everything, so its lines are cut, filtered and looked up
-with array functions in place. Nothing is exploded, grouped or shuffled.
+Plan: the file row holds everything; a value is cut out behind the last mention of its
+key. No line is exploded, grouped or shuffled.
 """
 
 from __future__ import annotations
@@ -41,13 +41,6 @@ def read_header_files(spark: SparkSession, pattern: str) -> DataFrame:
             .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
 
 
-def _lines(text: Column) -> Column:
-    lines = F.split(F.regexp_replace(text, "\r\n", "\n"), "\n")
-    # a final newline does not make an extra (blank) line
-    return F.when(F.try_element_at(lines, F.lit(-1)) == "",
-                  F.slice(lines, 1, F.size(lines) - 1)).otherwise(lines)
-
-
 def _reason(cond: Column, text: str) -> Column:
     return F.when(cond, F.lit(text))
 
@@ -58,34 +51,54 @@ def _once(*columns: Column) -> Column:
     return F.explode(F.array(F.struct(*columns)))
 
 
+LINE_START, LINE_END = r"(?<![^\n])", r"(?![^\n])"
+# a line that is no comment and has no "=", or more than one
+BAD_LINE = LINE_START + r"(?!#)(?:[^=\n]*" + LINE_END + r"|[^=\n]*=[^=\n]*=)"
+# key=value with a key that is none of the known ones
+OTHER_PAIR = (LINE_START + r"(?!#)(?!(?:" + "|".join(KNOWN_KEYS) + r")=)([^=\n]*=[^=\n]*)"
+              + LINE_END)
+
+
+def _last_value(text: Column, key: str) -> Column:
+    """Value of the last line ``key=value``; NULL without one, '' for an empty value.
+
+    The last line that begins with the key is cut out of the text; only if it holds
+    a second ``=`` a pattern looks for the last good one.
+    """
+    mark = F.lit(f"\n{key}=")
+    lines = F.concat(F.lit("\n"), text)
+    value = F.substring_index(F.substring_index(lines, f"\n{key}=", -1), "\n", 1)
+    earlier = F.regexp_extract(text, r"(?s)\A(?:.*\n)?" + key + r"(=[^=\n]*)" + LINE_END, 1)
+    return (F.when(~F.contains(lines, mark), F.lit(None))
+            .when(~F.contains(value, F.lit("=")), value)
+            .when(earlier != "", F.substr(earlier, F.lit(2))))
+
+
 def _file_fields(headers: DataFrame, text_col: str, path_col: str) -> DataFrame:
     """One row per file: the last value of every known key, the bad line
-    numbers, the other keys and the file's lines."""
-    lines = F.coalesce(_lines(F.col(text_col)), F.array().cast("array<string>"))
+    numbers, the other pairs and the file's text.
+
+    Only a file that has a bad line is cut into lines to number them.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
     df = headers.select(
-        F.col(path_col).alias("_path"),
-        F.coalesce(F.length(F.col(text_col)), F.lit(0)).alias("_len"),
-        _once(lines.alias("_lines")).alias("_x")).select("_path", "_len", "_x._lines")
-    df = df.select("_path", "_len", "_lines", _once(F.filter(
-        F.transform("_lines", lambda x, i: F.struct(
-            (i + 1).alias("_n"), x.alias("_raw"), F.split(x, "=", -1).alias("_p"))),
-        lambda e: ~e["_raw"].startswith("#")).alias("_entries")).alias("_x"))
-    df = df.select("_path", "_len", "_lines", F.col("_x._entries").alias("_entries"), _once(
-        F.filter("_x._entries", lambda e: F.size(e["_p"]) == 2).alias("_pairs")).alias("_y"))
-    df = df.select("_path", "_len", "_lines", "_entries", "_y._pairs")
-
-    def last(key):
-        return F.try_element_at(F.filter("_pairs", lambda e: e["_p"][0] == key),
-                                F.lit(-1))["_p"][1]
-
-    return df.select(
-        "_path", "_len", "_lines", _once(*[last(k).alias(k) for k in KNOWN_KEYS],
-        F.transform(F.filter("_entries", lambda e: F.size(e["_p"]) != 2),
-                    lambda e: e["_n"]).alias("_bad_lines"),
-        F.transform(F.filter("_pairs", lambda e: ~e["_p"][0].isin(list(KNOWN_KEYS))),
-                    lambda e: F.struct(e["_n"].alias("_n"), e["_p"][0].alias("_k"),
-                                       e["_p"][1].alias("_v"))).alias("_other")).alias("_x")
-    ).select("_path", "_len", "_lines", "_x.*")
+        F.col(path_col).alias("_path"), F.length(text).alias("_len"),
+        # a final newline does not make an extra (blank) line
+        _once(F.regexp_replace(F.replace(text, F.lit("\r\n"), F.lit("\n")), r"\n\z", "")
+              .alias("_text")).alias("_x")).select("_path", "_len", "_x._text")
+    text = F.col("_text")
+    numbered = F.transform(F.split(text, "\n", -1), lambda x, i: F.struct(
+        (i + 1).alias("_n"), x.alias("_raw")))
+    bad = F.filter(numbered, lambda e: ~e["_raw"].startswith("#") & (
+        F.length(e["_raw"]) - F.length(F.replace(e["_raw"], F.lit("="), F.lit(""))) != 1))
+    return df.select("_path", "_len", "_text", _once(
+        *[_last_value(text, k).alias(k) for k in KNOWN_KEYS],
+        F.when((F.col("_len") > 0) & text.rlike(BAD_LINE), F.transform(bad, lambda e: e["_n"]))
+        .otherwise(F.array().cast("array<int>")).alias("_bad_lines"),
+        F.transform(F.regexp_extract_all(text, F.lit(OTHER_PAIR), 1), lambda x, i: F.struct(
+            i.alias("_n"), F.substring_index(x, "=", 1).alias("_k"),
+            F.substring_index(x, "=", -1).alias("_v"))).alias("_other")).alias("_x")
+    ).select("_path", "_len", "_text", "_x.*")
 
 
 def parse_headers(headers: DataFrame, text_col: str = "text", path_col: str = "path"
@@ -113,7 +126,6 @@ def parse_headers(headers: DataFrame, text_col: str = "text", path_col: str = "p
         "_other", lambda x: (x["_k"] == e["_k"]) & (x["_n"] > e["_n"])))
     extra = F.map_from_entries(F.transform(
         last_other, lambda e: F.struct(e["_k"].alias("k"), e["_v"].alias("v"))))
-    text = F.array_join("_lines", "\n")
 
     path = F.col("_path")
     data_file = data_file_of(path)
@@ -135,7 +147,7 @@ def parse_headers(headers: DataFrame, text_col: str = "text", path_col: str = "p
         raw["sample_bytes"].try_cast("int").alias("sample_bytes"),
         data_file.alias("data_file"),
         extra.alias("extra"),
-        path.alias("_path"), text.alias("_raw"), all_reasons.alias("_reasons"))
+        path.alias("_path"), F.col("_text").alias("_raw"), all_reasons.alias("_reasons"))
     good = parsed.where(F.size("_reasons") == 0).drop("_path", "_raw", "_reasons")
     rejects = parsed.where(F.size("_reasons") > 0).select(
         F.lit("header").alias("source"), F.col("_path").alias("path"),

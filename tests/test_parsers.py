@@ -91,3 +91,25 @@ def test_inline_annotations(spark):
     text = "#onset offset\n\n2010-01-01 00:00:01\t2010-01-01 00:00:09\t1\t2\n"
     good, bad = parse_annotation_lines(inline_annotations(spark, text, 5), patient_col="patient_id")
     assert [r["patient_id"] for r in good.collect()] == [5] and bad.count() == 0
+
+
+def test_header_values_by_last_good_line(spark):
+    """Repeated keys, a later bad line of a key, CRLF, empty values, keys inside values."""
+    base = ("start_ts=2022-01-01 00:00:00\nnum_samples=5\nsample_freq=512\nnum_channels=2\n"
+            "elec_names=[A,B]\nadm_id=1\nrec_id=2\nduration_in_sec=3\n")
+    texts = [base + "rec_id=9\nsite=a\nsite=b",
+             (base + "note=\n# rec_id=7\nxrec_id=8\n").replace("\n", "\r\n"),
+             base + "rec_id=4=5\n", base + "rec_id=\n", base + "\n", "\n", "", None,
+             "rec_id=6\n" + base + "=x\n"]
+    df = spark.createDataFrame([(f"/d/inv/pat_1/adm_1/rec_1/{i}.head", t)
+                                for i, t in enumerate(texts)], "path string, text string")
+    good, bad = parse_headers(df)
+    rows = {r.data_file.split("/")[-1][0]: (r.rec_id, r.extra) for r in good.collect()}
+    assert rows == {"0": (9, {"site": "b"}), "1": (2, {"note": "", "xrec_id": "8"}),
+                    "8": (2, {"": "x"})}
+    why = {r.path.split("/")[-1][0]: r.reasons for r in bad.collect()}
+    assert why["2"] == ["line 9: not key=value"]
+    assert why["3"] == ["bad int rec_id"]
+    assert why["4"] == ["line 9: not key=value"]
+    assert why["5"][0] == "line 1: not key=value" and "missing rec_id" in why["5"]
+    assert why["6"][0] == why["7"][0] == "empty file"
