@@ -793,6 +793,23 @@ def signal_index(spark, d):
         "seizure_state", "data_type", F.size("data").alias("n_values"))
 
 
+@query("load_replace")
+def load_replace(spark, d):
+    """K4 + K8: all recordings are published without annotations, then those of patients
+    with an even id again with them: live chunks by recording and state. Relabelled chunks leave the
+    partitions they were in, the other recordings stay."""
+    meta, sizes = rendered(spark, d)
+    marks = S.annotations(spark, d)
+    path = scratch_path(spark, "live-store")
+    first, _ = run_load(spark, meta["recordings"], sizes, marks.limit(0))
+    store.publish_recordings(spark, first, path)
+    again, _ = run_load(spark, meta["recordings"].where(F.col("patient_id") % 2 == 0), sizes, marks)
+    store.publish_recordings(spark, again, path)
+    return (store.read_live(spark, path)
+            .join(meta["recordings"].select("recording_id", "rec_id"), "recording_id")
+            .groupBy("rec_id", "seizure_state").agg(F.count(F.lit(1)).alias("n_chunks")))
+
+
 @query("signal_norm")
 def signal_norm(spark, d):
     """W4 on the load's output: squares of a chunk over all channels and its 256 instants."""

@@ -719,3 +719,8 @@ SELECT l_orderkey AS recording_id, l_linenumber AS chunk_idx, l_partkey AS chann
        'bad seizure_state ' || coalesce(CAST(CASE WHEN l_linenumber < 7 THEN l_linenumber END
                                              AS VARCHAR), 'NULL') AS reasons
 FROM lineitem WHERE l_linenumber NOT IN (1, 2)"""
+
+SQL["load_replace"] = f"""
+SELECT rec_id, CASE WHEN patient_id % 2 = 0 THEN seizure_state ELSE 0 END AS seizure_state,
+       count(*) AS n_chunks
+FROM ({SQL["signal_index"]}) GROUP BY ALL"""
