@@ -71,3 +71,44 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame(rows(), SCHEMA)
     plan = exact_dedup.duplicate_groups(spark, df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_later_load_is_compared_with_stored_content(spark, weak):
+    # the first letter of a text as its digest: "a b" and "another" clash across loads
+    digest = (lambda n: F.substring(n, 1, 1)) if weak else exact_dedup.sha256_digest
+    store = exact_dedup.scratch_path(spark, "dedup-test")
+    for load in ([(5, "a  b"), (7, "x y"), (8, "z")], [], [(3, "another"), (2, "x\ty"), (9, "u")]):
+        exact_dedup.add_load(spark, spark.createDataFrame(load, "id long, text string"),
+                             store, digest)
+    clashes = [r.digest for r in exact_dedup.read_clashes(spark, store).collect()]
+    assert clashes == (["a"] if weak else [])
+    content = exact_dedup.read_content(spark, store, "bigint")
+    assert content.select("place").distinct().count() == content.count() == 6
+    index = exact_dedup.read_index(spark, store, "bigint").where("copies > 1")
+    found = {(r.id, r.norm) for r in index.select("id", "place").join(
+        exact_dedup.fetch(content, index).select("place", "norm"), "place").collect()}
+    assert found == ({(2, "x y"), (3, "a b")} if weak else {(2, "x y")})
+
+
+def test_only_texts_of_hits_move(spark):
+    store = exact_dedup.scratch_path(spark, "dedup-plan")
+    df = spark.createDataFrame([(i, f"t{i // 2 if i < 4 else i}") for i in range(50)],
+                               "id long, text string")
+    exact_dedup.add_load(spark, df, store)
+    load = exact_dedup.read_content(spark, store, "bigint")
+    hits = spark.read.option("recursiveFileLookup", "true").parquet(f"{store}/index").where(
+        "copies > 1").select("digest", "place")
+    kept = {k: spark.conf.get(k, None) for k in exact_dedup.HIT_FILTER}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for k, v in exact_dedup.HIT_FILTER.items():
+            spark.conf.set(k, v)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        made = exact_dedup._new_clashes(load, None, hits, 0)
+        assert made.count() == 0
+        assert "might_contain" in made._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        for k, v in kept.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
