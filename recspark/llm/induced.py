@@ -2,11 +2,12 @@
 
 Suffixes are classified as larger (L) or smaller (S) than their right neighbour.
 Leftmost-smaller (LMS) substrings are sorted by one induction and named, the
-string of their names is sorted recursively (each level pairs neighbouring
-names), and a second induction from the sorted LMS suffixes places every
-suffix. An induction visits the buckets of the alphabet in order. What a bucket
-induces is placed with one stable counting step; only a run of one letter
-induces within its own bucket, wave by wave.
+string of their names is sorted recursively by the same method, and a second
+induction from the sorted LMS suffixes places every suffix. An induction visits
+the buckets of the alphabet in order. What a bucket induces is placed with one
+stable counting step; only a run of one letter induces within its own bucket,
+wave by wave. Where the alphabet is large (strings of names: few suffixes a bucket),
+the same scans go suffix by suffix.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from __future__ import annotations
 import numpy as np
 
 _WORD = 8
+_CROWD = 64  # suffixes a bucket, from which whole buckets are faster than single suffixes
 
 
 def classify(s: np.ndarray) -> np.ndarray:
@@ -41,9 +43,38 @@ def _place(sa, spot, letters, found, down):
         spot += counts
 
 
+def _induce_singly(s, smaller, lms, sizes) -> np.ndarray:
+    """``induce`` one suffix at a time."""
+    text, rises, n = s.tolist(), smaller.tolist(), len(s)
+    ends = np.cumsum(sizes)
+    head, tail = (ends - sizes).tolist(), ends.tolist()
+    sa = [0] * n  # suffix 0 has no left neighbour, so it also stands for an empty place
+    for i in lms[::-1].tolist():
+        tail[text[i]] -= 1
+        sa[tail[text[i]]] = i
+    c = text[n - 1]
+    sa[head[c]] = n - 1  # before the end comes an L suffix
+    head[c] += 1
+    for i in sa:  # grows ahead of the scan
+        if i and not rises[i - 1]:
+            c = text[i - 1]
+            sa[head[c]] = i - 1
+            head[c] += 1
+    tail = ends.tolist()
+    for k in range(n - 1, -1, -1):
+        i = sa[k]
+        if i and rises[i - 1]:
+            c = text[i - 1]
+            tail[c] -= 1
+            sa[tail[c]] = i - 1
+    return np.array(sa, np.int64)
+
+
 def induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All suffixes in order, from the LMS suffixes ``lms`` in their order."""
     n, letters = len(s), len(sizes)
+    if n < _CROWD * letters:
+        return _induce_singly(s, smaller, lms, sizes)
     ends = np.cumsum(sizes)
     starts = ends - sizes
     sa = np.full(n, -1, np.int64)
@@ -101,25 +132,8 @@ def _name(s: np.ndarray, order: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(~same)))
 
 
-def _sort_names(names: np.ndarray, reach: int) -> np.ndarray:
-    """Order of the suffixes of the string of names, over ``reach`` names at least."""
-    def level(rank, span):
-        if span >= reach or rank.max() + 1 == len(rank):
-            return rank
-        after = np.zeros(len(rank), np.int64)
-        after[:-span or None] = rank[span:] + 1 if span < len(rank) else 0
-        key = rank * (len(rank) + 1) + after
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        paired = np.empty(len(rank), np.int64)
-        paired[order] = np.concatenate(([0], np.cumsum(key[1:] != key[:-1])))
-        return level(paired, 2 * span)
-    return np.argsort(level(names, 1), kind="stable")
-
-
-def suffix_array(s: np.ndarray, letters: int, reach: int | None = None) -> np.ndarray:
-    """Suffixes of ``s`` (values below ``letters``) in order. With ``reach``, only
-    their first ``reach`` values need to be in order."""
+def suffix_array(s: np.ndarray, letters: int) -> np.ndarray:
+    """Suffixes of ``s`` (values below ``letters``) in order."""
     n = len(s)
     if n == 0:
         return np.zeros(0, np.int64)
@@ -134,9 +148,13 @@ def suffix_array(s: np.ndarray, letters: int, reach: int | None = None) -> np.nd
         order = sa[is_lms[sa]]
         length = np.full(n, 0, np.int64)
         length[lms] = np.concatenate((np.diff(lms), [n]))  # the last one meets the end: unique
-        names = np.empty(n, np.int64)
-        names[order] = _name(s, order, length)
-        lms = lms[_sort_names(names[lms], len(lms) if reach is None else reach // 2 + 1)]
+        named = _name(s, order, length)
+        if named[-1] + 1 == len(lms):  # no two are equal
+            lms = order
+        else:
+            names = np.empty(n, np.int64)
+            names[order] = named
+            lms = lms[suffix_array(names[lms], int(named[-1]) + 1)]
     return induce(s, smaller, lms, sizes)
 
 
@@ -147,15 +165,21 @@ def words_at(data: np.ndarray) -> np.ndarray:
         np.uint64).ravel()
 
 
-def common_prefix_reaches(words: np.ndarray, a: np.ndarray, b: np.ndarray,
-                          length: int) -> np.ndarray:
-    """True where the prefixes at ``a`` and ``b`` agree over ``length`` bytes (8 or more)."""
-    out = np.zeros(len(a), bool)
-    alive = np.arange(len(a))
-    for at in [*range(0, length - _WORD + 1, _WORD), length - _WORD]:
-        alive = alive[words[a[alive] + at] == words[b[alive] + at]]
-    out[alive] = True
-    return out
+def permuted_common_prefixes(words: np.ndarray, before: np.ndarray, limit: int) -> np.ndarray:
+    """For each suffix in text order, its common prefix with the suffix ``before`` it in
+    the array (-1: none, prefix 0), or ``limit`` where it is longer.
+
+    ``limit`` bytes from every suffix that has one before it must be inside the data.
+    """
+    out = np.zeros(len(before), np.int32)
+    at = np.flatnonzero(before >= 0)
+    for done in range(0, limit, _WORD):
+        differ = words[at + done] ^ words[before[at] + done]
+        lowest = differ & (~differ + np.uint64(1))  # its byte is the first that differs
+        same = np.log2(np.maximum(lowest, np.uint64(1)).astype(np.float64)) // 8
+        out[at] += np.where(differ == 0, _WORD, same).astype(np.int32)
+        at = at[differ == 0]
+    return np.minimum(out, limit)
 
 
 def repeated_windows(data: np.ndarray, ends: np.ndarray, owner: np.ndarray,
@@ -163,9 +187,9 @@ def repeated_windows(data: np.ndarray, ends: np.ndarray, owner: np.ndarray,
     """Marks the starts of ``length``-byte windows that also occur under a smaller owner.
 
     ``data`` holds texts one after another, with ``ends`` and an ``owner`` each.
-    Windows never cross texts. Prefixes of neighbours in the suffix array are
-    compared in text order, each against the suffix before it (the permuted
-    form of the common-prefix table), as far as ``length``.
+    Windows never cross texts. Common prefixes of neighbours in the suffix array are
+    computed in text order, each with the suffix before it (the permuted table), as
+    far as ``length``.
     """
     n = len(data)
     flagged = np.zeros(n, bool)
@@ -179,16 +203,14 @@ def repeated_windows(data: np.ndarray, ends: np.ndarray, owner: np.ndarray,
     where = np.arange(n) + np.repeat(gaps, sizes)      # place in the text with separators
     back = np.full(len(letters), -1, np.int64)
     back[where] = np.arange(n)
-    sa = back[suffix_array(letters, 257, reach=length)]
+    sa = back[suffix_array(letters, 257)]
     sa = sa[sa >= 0]
     sa = sa[valid[sa]]
     if not len(sa):
         return flagged
     before = np.full(n, -1, np.int64)                  # the suffix before each, in text order
     before[sa[1:]] = sa[:-1]
-    at = np.flatnonzero(before >= 0)
-    agrees = np.zeros(n, bool)
-    agrees[at] = common_prefix_reaches(words_at(data), at, before[at], length)
+    agrees = permuted_common_prefixes(words_at(data), before, length) >= length
     heads = np.flatnonzero(~agrees[sa])
     owners = np.repeat(owner, sizes)[sa]
     least = np.minimum.reduceat(owners, heads)

@@ -47,3 +47,29 @@ def test_runs_of_one_letter():
     got = induced.suffix_array(s, 3)
     text = s.tolist()
     assert got.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_large_alphabets_and_periods(seed):
+    # periods make equal names at every level of the recursion
+    rng = random.Random(seed)
+    letters = rng.choice([4, 60, 500])
+    unit = [rng.randrange(letters) for _ in range(rng.randrange(1, 40))]
+    s = unit * rng.randrange(2, 30) + [rng.randrange(letters) for _ in range(30)] + unit * 3
+    got = induced.suffix_array(np.array(s, np.int64), letters).tolist()
+    assert got == sorted(range(len(s)), key=lambda i: s[i:])
+
+
+@pytest.mark.parametrize("limit", [8, 13, 50])
+def test_permuted_common_prefixes(limit):
+    rng = random.Random(limit)
+    text = bytes(rng.randrange(97, 99) for _ in range(300)) + bytes([97]) * 200
+    data = np.frombuffer(text, np.uint8)
+    before = np.array([rng.randrange(len(text) - limit) if i + limit <= len(text)
+                       and rng.random() < 0.8 else -1 for i in range(len(text))])
+    got = induced.permuted_common_prefixes(induced.words_at(data), before, limit)
+    for i, b in enumerate(before.tolist()):
+        same = 0
+        while b >= 0 and same < limit and text[i + same] == text[b + same]:
+            same += 1
+        assert got[i] == same
