@@ -7,7 +7,7 @@ induction from the sorted LMS suffixes places every suffix. An induction visits
 the buckets of the alphabet in order. What a bucket induces is placed with one
 stable counting step; only a run of one letter induces within its own bucket,
 wave by wave. Where the alphabet is large (strings of names: few suffixes a bucket),
-the same scans go suffix by suffix.
+the same scans take as many buckets as don't add to each other.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from __future__ import annotations
 import numpy as np
 
 _WORD = 8
-_CROWD = 64  # suffixes a bucket, from which whole buckets are faster than single suffixes
+_CROWD = 64  # suffixes a bucket, from which one bucket at a time is faster than many
+_STEP, _FEW = 2048, 16  # places looked at together; fewer than this are walked singly
 
 
 def classify(s: np.ndarray) -> np.ndarray:
@@ -43,38 +44,72 @@ def _place(sa, spot, letters, found, down):
         spot += counts
 
 
-def _induce_singly(s, smaller, lms, sizes) -> np.ndarray:
-    """``induce`` one suffix at a time."""
-    text, rises, n = s.tolist(), smaller.tolist(), len(s)
+def _scan(sa, own, left, starts, head):
+    """Walk ``sa`` from its start; suffix i puts i - 1 at the head of bucket ``left[i]`` (-1: not).
+
+    Suffixes up to the first bucket that they add to are taken together. Where that are
+    few, some places are walked one by one. Place 0 also stands for an empty one:
+    suffix 0 puts nothing.
+    """
+    lo, n = 0, len(sa)
+    while lo < n:
+        part = sa[lo:lo + _STEP]
+        to = left[part]
+        puts = np.flatnonzero(to >= 0)
+        if not len(puts):
+            lo += len(part)
+            continue
+        i, to = part[puts], to[puts]
+        least = np.minimum.accumulate(to)
+        late = own[i] >= least
+        k = int(late.argmax()) if late.any() else len(i)
+        if k < _FEW and k < len(i):
+            stop = min(n, lo + 4 * _FEW)
+            for p in range(lo, stop):
+                c = left[sa[p]]
+                if c >= 0:
+                    sa[head[c]] = sa[p] - 1
+                    head[c] += 1
+            lo = stop
+            continue
+        order = np.argsort(to[:k], kind="stable")
+        to = to[order]
+        first = np.flatnonzero(np.append(True, to[1:] != to[:-1]))
+        counts = np.diff(np.append(first, k))
+        sa[np.repeat(head[to[first]] - first, counts) + np.arange(k)] = i[order] - 1
+        head[to[first]] += counts
+        walked = int(puts[k]) if k < len(puts) else len(part)
+        lo = min(lo + walked, int(starts[least[k - 1]]))
+
+
+def _induce_names(s, smaller, lms, sizes) -> np.ndarray:
+    """``induce`` for a large alphabet: many buckets at a time."""
+    n, letters, s = len(s), len(sizes), s.astype(np.int64)
     ends = np.cumsum(sizes)
-    head, tail = (ends - sizes).tolist(), ends.tolist()
-    sa = [0] * n  # suffix 0 has no left neighbour, so it also stands for an empty place
-    for i in lms[::-1].tolist():
-        tail[text[i]] -= 1
-        sa[tail[text[i]]] = i
-    c = text[n - 1]
-    sa[head[c]] = n - 1  # before the end comes an L suffix
-    head[c] += 1
-    for i in sa:  # grows ahead of the scan
-        if i and not rises[i - 1]:
-            c = text[i - 1]
-            sa[head[c]] = i - 1
-            head[c] += 1
-    tail = ends.tolist()
-    for k in range(n - 1, -1, -1):
-        i = sa[k]
-        if i and rises[i - 1]:
-            c = text[i - 1]
-            tail[c] -= 1
-            sa[tail[c]] = i - 1
-    return np.array(sa, np.int64)
+    starts = ends - sizes
+    sa = np.zeros(n, np.int64)
+    at = s[lms]
+    seeds = ends[at] - np.searchsorted(at, at, side="right") + np.arange(len(at))
+    sa[seeds] = lms
+    head = starts.copy()
+    sa[head[s[-1]]] = n - 1  # before the end comes an L suffix
+    head[s[-1]] += 1
+    left = np.full(n, -1, np.int64)
+    left[1:] = np.where(smaller[:-1], -1, s[:-1])
+    _scan(sa, s, left, starts, head)
+    sa[seeds] = 0
+    # S suffixes: the same walk from the other end, with the alphabet turned round
+    left[1:] = np.where(smaller[:-1], letters - 1 - s[:-1], -1)
+    starts = n - ends[::-1]
+    _scan(sa[::-1], letters - 1 - s, left, starts, starts.copy())
+    return sa
 
 
 def induce(s: np.ndarray, smaller: np.ndarray, lms: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """All suffixes in order, from the LMS suffixes ``lms`` in their order."""
     n, letters = len(s), len(sizes)
     if n < _CROWD * letters:
-        return _induce_singly(s, smaller, lms, sizes)
+        return _induce_names(s, smaller, lms, sizes)
     ends = np.cumsum(sizes)
     starts = ends - sizes
     sa = np.full(n, -1, np.int64)
