@@ -39,6 +39,7 @@ from recspark.llm.common import (Words, column, free_name, gram_hash, map_batche
 
 WINDOW = 10
 GRAM = 5
+BROADCAST_ROWS = 200_000  # digests of 64 characters: about 32 MB as a hash table
 FILTER_BITS = 1 << 28   # of the filter of grams: 32 MB at most
 _PER_GRAM = 32          # bits of the filter for each gram of a smaller benchmark
 _PROBES = 4
@@ -214,9 +215,10 @@ def find_contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFram
 def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame,
                       text_col: str = "text", item_col: str = "item_id",
                       item_text_col: str = "text", window: int = WINDOW,
-                      gram: int = GRAM) -> DataFrame:
+                      gram: int = GRAM, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The documents without any benchmark window, all their columns unchanged. Contaminated
-    texts are known by their digests; Spark broadcasts those while they are few."""
+    texts are known by their digests. These are counted: up to ``broadcast_rows`` are
+    broadcast, so that no text moves; more are joined as Spark chooses, with the same result."""
     windows = window_table(spark, benchmark, item_col, item_text_col, window, gram)
     rows = docs.select(F.lit(0).alias("id"), column(text_col).alias("text"))
     scanned = _scan(spark, rows, windows, window, gram, False)
@@ -224,4 +226,6 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, benchmark: DataFrame
     doomed = stored(spark, _hits(scanned, windows).select(
         F.col("digest").alias(name)).distinct(), "contaminated")
     digest = F.sha2(F.coalesce(column(text_col), F.lit("")), 256)
+    if doomed.count() <= broadcast_rows:
+        doomed = F.broadcast(doomed)
     return docs.join(doomed, digest == F.col(name), "left_anti")

@@ -109,7 +109,8 @@ def add_load(spark: SparkSession, rows: DataFrame, store: str, digest=sha256_dig
     norm = normalised(F.col("text"))
     (rows.select(digest(norm).alias("digest"), "id",
                  (F.monotonically_increasing_id() + first_place).alias("place"),
-                 norm.alias("norm")).write.mode("overwrite").parquet(path))
+                 norm.alias("norm")).write.mode("overwrite")
+     .option("compression", "zstd").parquet(path))
 
     def publish(changed: DataFrame, epoch: int) -> None:
         session = changed.sparkSession

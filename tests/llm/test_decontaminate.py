@@ -103,3 +103,14 @@ def test_filter_is_bounded_and_loses_nothing(spark, monkeypatch):
     small, _ = decontaminate.gram_filter(windows)
     assert len(small) * 64 == 1 << 14
     assert len(decontaminate._in_filter(grams, small)) == 5000
+
+
+def test_broadcast_and_join_drop_the_same(spark):
+    words = [f"w{i}" for i in range(400)]
+    docs = spark.createDataFrame(
+        [(i, " ".join(words[i:i + 30])) for i in range(0, 300, 7)] + [(900, None), (901, "")],
+        "doc_id long, text string")
+    items = spark.createDataFrame([("a", " ".join(words[100:120]))], "item_id string, text string")
+    kept = [sorted(r.doc_id for r in decontaminate.drop_contaminated(
+        spark, docs, items, broadcast_rows=n).collect()) for n in (0, 1000)]
+    assert kept[0] == kept[1] and {900, 901} < set(kept[0]) and 105 not in kept[0]
