@@ -843,7 +843,7 @@ def bad_recordings(spark, d):
     sizes = sizes.join(patients, "data_file").where("fault <> 2").select(
         "data_file", F.when(F.col("fault") == 4, F.col("length") + 60 * 1024 * 6)
         .otherwise(F.col("length")).alias("length"))
-    good, errors = run_load(spark, recs, sizes, S.annotations(spark, d))
+    good, errors = run_load(spark, recs, sizes, S.annotations(spark, d), payload=[])
     chunks = good.groupBy("recording_id").agg(F.count(F.lit(1)).alias("n_chunks"))
     # a message of the block job names the error's class first
     error = F.when(F.col("error").contains(":"), F.lit("unreadable block")).otherwise(F.col("error"))

@@ -20,7 +20,7 @@ def tables(spark, tmp_path_factory):
     return root
 
 
-@pytest.mark.parametrize("name", ["signal_norm"])
+@pytest.mark.parametrize("name", ["signal_norm", "bad_recordings"])
 def test_payloads_are_not_staged(spark, tables, monkeypatch, name):
     made = []
 
