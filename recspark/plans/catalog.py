@@ -792,10 +792,11 @@ def signal_index(spark, d):
     """S2 + S5 + W1 + J3 + J6: what the load stores next to the payload, for every chunk
     and channel, in the tree's own record ids."""
     meta, sizes = rendered(spark, d)
-    good, _ = run_load(spark, meta["recordings"], sizes, S.annotations(spark, d))
+    good, _ = run_load(spark, meta["recordings"], sizes, S.annotations(spark, d),
+                       payload=[F.size("data").alias("n_values")])
     return good.join(meta["recordings"].select("recording_id", "rec_id"), "recording_id").select(
         "patient_id", "rec_id", "chunk_idx", "channel_idx", "electrode", "chunk_start_ts",
-        "seizure_state", "data_type", F.size("data").alias("n_values"))
+        "seizure_state", "data_type", "n_values")
 
 
 @query("load_replace")

@@ -20,7 +20,7 @@ def tables(spark, tmp_path_factory):
     return root
 
 
-@pytest.mark.parametrize("name", ["signal_norm", "bad_recordings", "signal_chunks"])
+@pytest.mark.parametrize("name", ["signal_norm", "bad_recordings", "signal_chunks", "signal_index"])
 def test_payloads_are_not_staged(spark, tables, monkeypatch, name):
     made = []
 
