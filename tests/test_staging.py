@@ -2,9 +2,10 @@
 
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 
-from recspark.plans import catalog
+from recspark.plans import catalog, recordings
 
 
 @pytest.fixture(scope="module")
@@ -33,3 +34,40 @@ def test_payloads_are_not_staged(spark, tables, monkeypatch, name):
     assert catalog.REGISTRY[name](spark, tables).count() > 0
     staged = [p for what, p in made if what == "signal-staging"]
     assert len(staged) == 1 and "data" not in spark.read.parquet(staged[0]).columns
+
+
+def test_load_replace_stores_payloads_once(spark, tables, monkeypatch):
+    """Payloads lie in the store's own files and nowhere else."""
+    made, scratch_path = [], catalog.scratch_path
+
+    def path(session, what):
+        made.append((what, scratch_path(session, what)))
+        return made[-1][1]
+
+    monkeypatch.setattr(catalog, "scratch_path", path)
+    rows = catalog.REGISTRY["load_replace"](spark, tables).collect()
+    assert "signal-staging" not in {what for what, _ in made}
+    # user 2 was loaded again with annotations: 7 events, one of them an error
+    total = {}
+    for r in rows:
+        total[r.rec_id] = total.get(r.rec_id, 0) + r.n_chunks
+    assert total == {100000: 40 * 3, 200000: 7 * 3}
+    assert {r.seizure_state for r in rows if r.rec_id == 100000} == {0}
+    assert {r.seizure_state for r in rows if r.rec_id == 200000} != {0}
+
+
+def test_rendering_is_dealt_to_all_cores(spark, tables):
+    dealt = recordings.dealt_events(spark, tables, 600)
+    assert dealt.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert dealt.count() == 47
+    root = recordings.render_recordings(spark, tables)
+    with open(f"{root.removeprefix('file:')}/inv/pat_1/adm_11/rec_100000/100000_0000.data",
+              "rb") as f:
+        got = np.frombuffer(f.read(), "<u2").reshape(-1, 3)
+    freq = 512  # user 1, recording 0
+    assert len(got) == 40 * freq
+    for row in (0, 100, 39 * freq + 7):
+        amp = (row // freq + 1 + 1) * 200
+        for c in range(3):
+            place = (row % freq * 3 * (c + 1) * (4096 // freq) + c * 512) % 4096
+            assert got[row, c] == 30000 + amp * (abs(place - 2048) - 1024) // 1024
