@@ -35,3 +35,35 @@ def test_fields_reasons_and_nulls(spark):
         (1, datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1, 0, 500000), 7, 8)]
     got = {r.line_no: r.reasons for r in bad.orderBy(F.col("line_no")).collect()}
     assert got == {2: ["bad onset", "bad onset_sample"], 3: ["expected 6 fields, got 2"]}
+
+
+def test_each_stamp_is_rendered_once_and_each_line_trimmed_once(spark, sf_dir):
+    plan = catalog.REGISTRY["annotation_rejects"](spark, sf_dir)._jdf.queryExecution()
+    text = plan.optimizedPlan().toString()
+    # onset and offset, each in whole seconds or with the fraction, and the year of a bad onset
+    assert text.count("date_format(") == 5
+    assert text.count("make_dt_interval(") == 1
+    assert text.count("regexp_replace(") == 1
+
+
+def test_rendered_lines_with_nulls(spark, tmp_path):
+    ts = datetime(2024, 1, 2, 3, 4, 5, 250000)
+    spark.createDataFrame(
+        [(2, ts, 5, "view", 1.5, "{}"), (3, ts, 5, "view", 1.5, "{}"),
+         (14, ts, 5, "view", 1.5, "{}"), (6, None, 5, "view", 1.0, "{}"),
+         (7, ts, 5, "view", None, "{}"), (8, ts, None, "view", 1.0, "{}"),
+         (None, ts, 5, "view", 1.0, "{}"), (10, ts, 5, "view", 1.0, "{}"),
+         (15, ts, 5, "view", 1.0, "{}")],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+        "props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r.line_no: (r.path, r.line)
+           for r in standins.annotation_lines(spark, str(tmp_path)).collect()}
+    path, stamp = "/data/inv/pat_5/seizure_list", "2024-01-02 03:04:05.250000"
+    end = "2024-01-02 03:05:05.250000"
+    assert got == {
+        3: (path, "2024-01-02 03:04:05 2024-01-02 03:05:35 512 517"),
+        4: (path, "2024-96-02 03:04:05.250000\t2024-01-02 03:05:35.250000\t768\t773"),
+        15: (path, f"{stamp}  2024-01-02 03:05:35.250000  3584"),
+        7: (path, "1536 1541"), 8: (path, f"{stamp} 1792 1797"),
+        9: (None, f"{stamp}\t{end}\t2048"), None: (path, f"{stamp} {end} "),
+        11: (path, "# note 10"), 16: (path, "")}
