@@ -182,7 +182,7 @@ def annotation_lines(spark, d) -> DataFrame:
     """
     # dealt to all cores, as the headers are: rendering and parsing are work per row. The
     # one-element explodes keep filters on the line from moving back before the deal, and
-    # have each stamp rendered once, in a method of its own that is small enough to compile
+    # have each stamp rendered once, not again wherever it is used
     ev = (table(spark, d, "events").select("event_id", "ts", "user_id", "value")
           .repartition(spark.sparkContext.defaultParallelism))
     e = F.col("event_id")
