@@ -11,8 +11,9 @@ with a smaller id goes. Strings are judged on the input and never cross texts.
    a first fold of equal segments in each batch. Of a class of equal segments all but
    those of the smallest id are repeated as a whole. What remains to be settled
    are anchors with different segments.
-3. Shards. The bytes of those segments, one for each class, go to shards by anchor. A
-   shard's suffix array is built by induced sorting (``induced``). Neighbours
+3. Shards. The bytes of those segments, one for each class, go to shards by anchor. There,
+   segments are cut to the windows whose hash other owners have, too: most segments share
+   nothing but the anchor. The suffix array of the rest of a shard is built by induced sorting (``induced``). Neighbours
    whose common prefix reaches ``LENGTH`` bytes share a window, and windows
    with a smaller owner are repeated.
 4. Repeated ranges meet their document, where they are merged and cut.
@@ -52,6 +53,7 @@ GRAM = 16
 BUCKET_BYTES = 24 << 20   # of text for each bucket
 SHARD_BYTES = 1 << 20     # of one suffix array
 HOT = 20_000
+PIECE = 128 << 10         # of text hashed together, so that its arrays stay in the cache
 _LAST = np.iinfo(np.int64).max
 _POSITION = np.uint64(31)  # low bits of a sort key that hold the position
 
@@ -94,10 +96,14 @@ def find_segments(data: np.ndarray, offsets: np.ndarray, owner: np.ndarray,
     place = np.arange(len(grams), dtype=np.uint64)
     best = sliding_min((grams >> _POSITION << _POSITION) | place, length - gram + 1)
     anchor = (best & np.uint64((1 << 31) - 1)).astype(np.int64)
-    row = np.repeat(np.arange(len(owner)), np.diff(offsets))[:len(best)]
-    inside = np.arange(len(best)) + length <= offsets[1:][row]
+    # windows that start in the last bytes of a text would reach out of it
+    edges = np.zeros(n + 1, np.int8)
+    np.add.at(edges, np.maximum(offsets[:-1], offsets[1:] - length + 1), 1)
+    np.add.at(edges, offsets[1:], -1)
+    inside = np.cumsum(edges[:len(best)], dtype=np.int8) == 0
     fresh = np.ones(len(best), bool)
-    fresh[1:] = (anchor[1:] != anchor[:-1]) | (row[1:] != row[:-1])
+    np.not_equal(anchor[1:], anchor[:-1], out=fresh[1:])
+    fresh[offsets[:-1][offsets[:-1] < len(best)]] = True
     starts = np.flatnonzero(inside & fresh)
     if not len(starts):
         return _joined([])
@@ -105,22 +111,39 @@ def find_segments(data: np.ndarray, offsets: np.ndarray, owner: np.ndarray,
     end = stops + length
     whole = mix((total[end] - total[starts]) * down[starts])
     shift = (anchor[starts] - starts).astype(np.uint64) << np.uint64(32)
-    row = row[starts]
+    row = np.searchsorted(offsets, starts, side="right") - 1
     return Rows.of(anchor=grams[anchor[starts]],
                    kind=mix(whole + (shift | (end - starts).astype(np.uint64))),
                    owner=owner[row], key=key[row], lo=starts - offsets[row],
                    n=stops - starts + 1)
 
 
-def _first_owner(rows: Rows) -> tuple[Rows, np.ndarray]:
-    """Rows sorted by class and owner, and True for those of the class's smallest owner."""
-    order = np.lexsort((rows["owner"], rows["kind"], rows["anchor"]))
-    rows = rows.take(order)
-    new = np.ones(len(rows), bool)
-    new[1:] = (rows["anchor"][1:] != rows["anchor"][:-1]) | (rows["kind"][1:] != rows["kind"][:-1])
+def _classes(rows: Rows) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class (anchor and kind) of each row, and of each class its anchor and smallest owner.
+
+    Sorted by one number made of both; should two classes have the same, by both."""
+    if not len(rows):
+        return np.zeros(0, np.int64), rows["anchor"], rows["owner"]
+    anchor, kind = rows["anchor"], rows["kind"]
+    both = mix(anchor) + kind
+    order = np.argsort(both)
+    both = both[order]
+    new = np.append(True, (anchor[order][1:] != anchor[order][:-1])
+                    | (kind[order][1:] != kind[order][:-1]))
+    if new.sum() != 1 + np.count_nonzero(both[1:] != both[:-1]):
+        order = np.lexsort((kind, anchor))
+        new = np.append(True, (anchor[order][1:] != anchor[order][:-1])
+                        | (kind[order][1:] != kind[order][:-1]))
     heads = np.flatnonzero(new)
-    least = np.repeat(rows["owner"][heads], np.diff(np.append(heads, len(rows))))
-    return rows, rows["owner"] == least
+    of_row = np.empty(len(rows), np.int64)
+    of_row[order] = np.cumsum(new) - 1
+    return of_row, anchor[order[heads]], np.minimum.reduceat(rows["owner"][order], heads)
+
+
+def _first_owner(rows: Rows) -> np.ndarray:
+    """True for the rows of their class's smallest owner."""
+    of_row, _, least = _classes(rows)
+    return rows["owner"] == least[of_row]
 
 
 def _owners(column: pa.Array) -> np.ndarray:
@@ -131,8 +154,9 @@ _BLOB = "bucket bigint, settled boolean, " + ", ".join(f"{k} binary" for k in _C
 
 
 def _blobs(rows: Rows, bucket: np.ndarray, settled: bool):
-    """One record batch: the rows of each bucket as packed arrays."""
-    order = np.argsort(bucket, kind="stable")
+    """One record batch: the rows of each bucket as packed arrays, in the order given."""
+    small = bucket.astype(np.uint16) if len(bucket) and bucket.max() < 1 << 16 else bucket
+    order = np.argsort(small, kind="stable")  # 16 bits are sorted by counting
     bucket, rows = bucket[order], rows.take(order)
     heads = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else []
     ends = np.append(heads[1:], len(bucket)) if len(bucket) else []
@@ -158,14 +182,14 @@ def _segment_task(length: int, gram: int, n_buckets: int):
             owner, key = _owners(batch.column(0)), _owners(batch.column(1))
             data, offsets = utf8(batch.column(2))
             found = []
-            for lo, hi in pieces(offsets):
+            for lo, hi in pieces(offsets, PIECE):
                 off = offsets[lo:hi + 1]
                 found.append(find_segments(data[off[0]:off[-1]], off - off[0], owner[lo:hi],
                                            key[lo:hi], length, gram))
-            rows, first = _first_owner(_joined(found))
+            rows = _joined(found)
+            first = _first_owner(rows)
+            # in text order, so the rows of a document lie together
             for part, settled in ((rows.take(first), False), (rows.take(~first), True)):
-                order = np.lexsort((part["lo"], part["key"]))
-                part = part.take(order)
                 bucket = (part["key"] % n_buckets if settled else
                           (part["anchor"] % np.uint64(n_buckets)).astype(np.int64))
                 yield _blobs(part, bucket, settled)
@@ -190,25 +214,23 @@ def _class_task(n_buckets: int, hot: int):
     """Arrow task over blobs by anchor bucket: settled rows, and the rows whose windows
     a shard must settle, dealt to document buckets. ``kind`` tells those of hot anchors."""
     def finish(settled, rows):
-        rows, first = _first_owner(rows)
+        of_row, anchor, least = _classes(rows)
+        first = rows["owner"] == least[of_row]
         settled = _joined([settled, rows.take(~first)])
-        rows = rows.take(first)
-        new = np.ones(len(rows), bool)
-        new[1:] = rows["anchor"][1:] != rows["anchor"][:-1]
-        heads = np.flatnonzero(new)
-        if len(heads):
-            size = np.diff(np.append(heads, len(rows)))
-            classes = np.add.reduceat(np.append(True, rows["kind"][1:] != rows["kind"][:-1])
-                                      | new, heads)
-            differ = np.minimum.reduceat(rows["owner"], heads) < np.maximum.reduceat(
-                rows["owner"], heads)
-            asked = np.repeat((classes > 1) & differ, size)
-            rows["kind"] = np.repeat(classes > hot, size).astype(np.uint64)
-            rows = rows.take(asked)
+        rows, of_row = rows.take(first), of_row[first]
+        if len(rows):
+            by_anchor = np.argsort(anchor)
+            sorted_anchor, owner = anchor[by_anchor], least[by_anchor]
+            heads = np.flatnonzero(np.append(True, sorted_anchor[1:] != sorted_anchor[:-1]))
+            classes = np.diff(np.append(heads, len(anchor)))
+            differ = np.minimum.reduceat(owner, heads) < np.maximum.reduceat(owner, heads)
+            asked, crowded = np.empty(len(anchor), bool), np.empty(len(anchor), bool)
+            asked[by_anchor] = np.repeat((classes > 1) & differ, classes)
+            crowded[by_anchor] = np.repeat(classes > hot, classes)
+            rows["kind"] = crowded[of_row].astype(np.uint64)
+            rows = rows.take(asked[of_row])
         for part, done in ((settled, True), (rows, False)):
             if len(part):
-                order = np.lexsort((part["lo"], part["key"]))
-                part = part.take(order)
                 yield _blobs(part, part["key"] % n_buckets, done)
 
     def run(batches):
@@ -242,14 +264,18 @@ def _text_task(n_buckets: int):
 
 
 def _texts(table: pa.Table):
-    """(owner, key, offsets, data) for each packed row of a document bucket."""
+    """(owner, key, offsets, data) of the texts of a document bucket."""
     unpack = zstandard.ZstdDecompressor()
-    for r in range(table.num_rows):
-        owner, key, sizes = (np.frombuffer(table.column(c)[r].as_buffer(), np.int64)
-                             for c in ("owner", "key", "sizes"))
-        total = int(sizes.sum())
-        raw = unpack.decompress(table.column("texts")[r].as_py(), max_output_size=total or 1)
-        yield owner, key, np.concatenate(([0], np.cumsum(sizes))), np.frombuffer(raw, np.uint8)
+    owner, key, sizes = (np.frombuffer(b"".join(table.column(c).to_pylist()), np.int64)
+                         for c in ("owner", "key", "sizes"))
+    offsets = np.concatenate(([0], np.cumsum(sizes)))
+    data, at, row = np.empty(offsets[-1], np.uint8), 0, 0
+    for n, blob in zip(table.column("row").to_pylist(), table.column("texts")):
+        total = int(offsets[row + n] - offsets[row])
+        raw = unpack.decompress(blob.as_buffer(), max_output_size=total or 1)
+        data[at:at + total] = np.frombuffer(raw, np.uint8)
+        at, row = at + total, row + n
+    return owner, key, offsets, data
 
 
 def _asked(table: pa.Table, settled: bool) -> Rows:
@@ -257,12 +283,45 @@ def _asked(table: pa.Table, settled: bool) -> Rows:
              for r in range(batch.num_rows)
              if batch.column(1)[r].as_py() == settled]
     rows = _joined(parts)
-    rows = rows.take(np.lexsort((rows["n"], rows["lo"], rows["owner"], rows["key"])))
+    rows = rows.take(_by_place(rows))
     new = np.ones(len(rows), bool)  # rows that repeat an id and a text have the same ranges
     new[1:] = np.any([rows[k][1:] != rows[k][:-1] for k in ("key", "owner", "lo", "n")], axis=0)
     return rows.take(new)
 
 
+def _by_place(rows: Rows) -> np.ndarray:
+    """The order of rows by key, owner, first window and number of windows. Two sorts by one
+    number do where no two owners share a key, as the windows of rows of a text differ."""
+    order = np.argsort(rows["key"])
+    key, owner = rows["key"][order], rows["owner"][order]
+    new = key[1:] != key[:-1]
+    if np.any((owner[1:] != owner[:-1]) & ~new):
+        return np.lexsort((rows["n"], rows["lo"], rows["owner"], rows["key"]))
+    rank = np.append(0, np.cumsum(new)) if len(order) else order
+    return order[np.argsort((rank << 32) | rows["lo"][order].astype(np.int64))]
+
+
+def _window_hashes(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """Hashes of the windows that start at ``at`` (ascending), a piece of the data at a time."""
+    out, lo = np.empty(len(at), np.uint64), 0
+    while lo < len(at):
+        hi = int(np.searchsorted(at, at[lo] + PIECE, side="left"))
+        part = data[at[lo]:at[hi - 1] + length]
+        up, down = _powers(len(part) + 1)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum((part.astype(np.uint64) + np.uint64(1)) * up[:len(part)], out=total[1:])
+        place = at[lo:hi] - at[lo]
+        out[lo:hi] = mix((total[place + length] - total[place]) * down[place])
+        lo = hi
+    return out
+
+
+def _each_window(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For rows of ``n`` windows: the row of every window, and its number in the row."""
+    row = np.repeat(np.arange(len(n)), n)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+
+
 def _of_documents(rows: Rows, keys: np.ndarray, owner: np.ndarray):
     """First and last + 1 of the rows of each document, in rows sorted by key and owner."""
     a = np.searchsorted(rows["key"], keys, side="left")
@@ -286,49 +345,32 @@ def _fetch_task(length: int, n_buckets: int):
     def run(key, texts, asked):
         want = _asked(asked, False)
         packer = zstandard.ZstdCompressor(level=3)
-        out = []
-        for owner, keys, offsets, data in _texts(texts):
-            a, b = _of_documents(want, keys, owner)
-            rows = np.concatenate([np.arange(x, y) for x, y in zip(a, b)]) if len(a) else []
-            doc = np.repeat(np.arange(len(keys)), b - a)
-            part = want.take(np.asarray(rows, np.int64))
-            start = offsets[doc] + part["lo"]
-            hot = part["kind"] > 0
-            if hot.any():  # one row per window, dealt out by the window itself
-                n = np.where(hot, part["n"], 1)
-                each = np.repeat(np.arange(len(n)), n)
-                step = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                part, start = part.take(each), start[each] + step
-                hot = hot[each]
-                part["lo"] = (part["lo"] + step).astype(np.int32)
-                part["n"] = np.where(hot, 1, part["n"]).astype(np.int32)
-                up, down = _powers(len(data) + 1)
-                total = np.zeros(len(data) + 1, np.uint64)
-                np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
-                window = mix((total[start[hot] + length] - total[start[hot]]) * down[start[hot]])
-                anchor = part["anchor"].copy()
-                anchor[hot] = mix(window + anchor[hot])
-                part["anchor"] = anchor
-            out.append((part, start, data))
-        rows = _joined([p for p, _, _ in out])
+        owner, keys, offsets, data = _texts(texts)
+        a, b = _of_documents(want, keys, owner)
+        doc, step = _each_window(b - a)
+        rows = want.take(a[doc] + step)
+        start = offsets[doc] + rows["lo"]
         if not len(rows):
             return pa.Table.from_batches([], schema=_arrow(_SHARDS))
-        source = np.repeat(np.arange(len(out)), [len(p) for p, _, _ in out])
-        start = np.concatenate([s for _, s, _ in out])
-        single = np.flatnonzero(rows["kind"] > 0)
-        if len(single):
-            _, first = _first_owner(rows.take(single))
-            order = np.lexsort((rows["owner"][single], rows["anchor"][single]))
-            rows["n"][single[order[~first]]] = -1  # settled: no bytes needed
+        hot = rows["kind"] > 0
+        if hot.any():  # one row per window, dealt out by the window itself
+            each, step = _each_window(np.where(hot, rows["n"], 1))
+            rows, start, hot = rows.take(each), start[each] + step, hot[each]
+            rows["lo"] = (rows["lo"] + step).astype(np.int32)
+            rows["n"] = np.where(hot, 1, rows["n"]).astype(np.int32)
+            anchor = rows["anchor"].copy()
+            anchor[hot] = mix(_window_hashes(data, start[hot], length) + anchor[hot])
+            rows["anchor"] = anchor
+            single = np.flatnonzero(hot)
+            rows["n"][single[~_first_owner(rows.take(single))]] = -1  # settled: no bytes needed
         bucket = (mix(rows["anchor"]) % np.uint64(n_buckets)).astype(np.int64)
         order = np.lexsort((rows["anchor"], bucket))
+        ends = start + _sizes(rows["n"], length)
         heads = np.flatnonzero(np.append(True, np.diff(bucket[order]) != 0))
         cols = [[] for _ in range(len(_COLUMNS) + 2)]
         for x, y in zip(heads.tolist(), np.append(heads[1:], len(order)).tolist()):
             at = order[x:y]
-            ends = start[at] + _sizes(rows["n"][at], length)
-            raw = b"".join(out[s][2][p:q].tobytes() for s, p, q in
-                           zip(source[at].tolist(), start[at].tolist(), ends.tolist()))
+            raw = b"".join(data[p:q] for p, q in zip(start[at].tolist(), ends[at].tolist()))
             part = rows.take(at)
             for c, v in zip(cols, [int(bucket[at[0]]), *[packed(part[k]) for k in _COLUMNS],
                                    packer.compress(raw)]):
@@ -350,6 +392,30 @@ def _sizes(n: np.ndarray, length: int) -> np.ndarray:
     return np.where(n > 0, n.astype(np.int64) + length - 1, 0)
 
 
+def _contested(rows: Rows, start: np.ndarray, data: np.ndarray,
+               length: int) -> tuple[Rows, np.ndarray]:
+    """Rows, and where they start, cut to the windows from the first to the last of those
+    whose hash other owners have too; rows without any are left out. Equal windows have equal
+    hashes, so no window that recurs is lost, and what does recur is settled byte by byte."""
+    row, step = _each_window(np.maximum(rows["n"], 0))
+    if not len(row):
+        return rows.take(row), start[row]
+    hashes, owner = _window_hashes(data, start[row] + step, length), rows["owner"][row]
+    order = np.argsort(hashes)
+    hashes, owner = hashes[order], owner[order]
+    heads = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1]))
+    several = np.minimum.reduceat(owner, heads) < np.maximum.reduceat(owner, heads)
+    shared = np.sort(order[np.repeat(several, np.diff(np.append(heads, len(order))))])
+    row, step = row[shared], step[shared]
+    new = np.append(True, row[1:] != row[:-1]) if len(row) else np.zeros(0, bool)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(row)) - 1 if len(row) else first
+    out, lo, hi = rows.take(row[first]), step[first], step[last]
+    out["lo"] = (out["lo"] + lo).astype(np.int32)
+    out["n"] = (hi - lo + 1).astype(np.int32)
+    return out, start[row[first]] + lo
+
+
 def _settle(rows: Rows, data: np.ndarray, ends: np.ndarray, length: int) -> Rows:
     """Repeated windows of a shard, as rows of consecutive windows."""
     flagged = repeated_windows(data, ends, rows["owner"], length)
@@ -371,10 +437,12 @@ def _shard_task(length: int, shard_bytes: int, n_buckets: int):
     def finish(parts):
         rows = _joined([r for r, _ in parts])
         raw = np.concatenate([np.frombuffer(t, np.uint8) for _, t in parts])
+        settled = rows.take(rows["n"] < 0)
+        settled["n"] = -settled["n"]
+        start = np.cumsum(_sizes(rows["n"], length)) - _sizes(rows["n"], length)
+        rows, start = _contested(rows, start, raw, length)
         size = _sizes(rows["n"], length)
-        start = np.cumsum(size) - size
         order = np.lexsort((start, rows["anchor"]))
-        order = order[size[order] > 0]
         edge = np.flatnonzero(np.append(True, rows["anchor"][order][1:]
                                         != rows["anchor"][order][:-1]))
         filled = np.concatenate(([0], np.cumsum(size[order])))
@@ -383,15 +451,12 @@ def _shard_task(length: int, shard_bytes: int, n_buckets: int):
             if filled[e] - filled[lo] >= shard_bytes:
                 cuts.append(e)
                 lo = e
-        settled = rows.take(rows["n"] < 0)
-        settled["n"] = -settled["n"]
         done = [settled]
         for x, y in zip(cuts, [*cuts[1:], len(order)] if len(order) else []):
             at = order[x:y]
-            total = int(size[at].sum())
-            take = np.repeat(start[at] - (np.cumsum(size[at]) - size[at]), size[at])
-            done.append(_settle(rows.take(at), raw[take + np.arange(total)],
-                                np.cumsum(size[at]), length))
+            spans = zip(start[at].tolist(), (start[at] + size[at]).tolist())
+            text = np.frombuffer(b"".join(raw[p:q] for p, q in spans), np.uint8)
+            done.append(_settle(rows.take(at), text, np.cumsum(size[at]), length))
         part = _joined(done)
         order = np.lexsort((part["lo"], part["key"]))
         part = part.take(order)
@@ -422,30 +487,26 @@ def _cut_task(length: int, with_text: bool):
     def run(key, texts, settled):
         rows = _asked(settled, True)
         schema = _arrow(ddl)
-        cols = [[] for _ in schema]
-        for owner, keys, offsets, data in _texts(texts):
-            a, b = _of_documents(rows, keys, owner)
-            for d, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
-                text = data[offsets[d]:offsets[d + 1]]
-                spans = []
-                if y > x:
-                    lo = rows["lo"][x:y].astype(np.int64)
-                    hi = lo + rows["n"][x:y] + length - 1
-                    for s, e in zip(lo.tolist(), hi.tolist()):  # in order of lo
-                        if spans and s <= spans[-1][1]:
-                            spans[-1][1] = max(spans[-1][1], e)
-                        else:
-                            spans.append([s, e])
-                keep, at = [], 0
-                for s, e in spans:
-                    keep.append(text[at:s].tobytes())
-                    at = e
-                keep.append(text[at:].tobytes())
-                kept = b"".join(keep)
-                row = [None if owner[d] == _LAST else int(owner[d]), len(text),
-                       len(text) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()]
-                for c, v in zip(cols, row + [kept] * with_text):
-                    c.append(v)
+        owner, keys, offsets, data = _texts(texts)
+        a, b = _of_documents(rows, keys, owner)
+        doc, step = _each_window(b - a)
+        part = rows.take(a[doc] + step)
+        lo = offsets[doc] + part["lo"]
+        hi = np.maximum.accumulate(lo + part["n"] + length - 1)  # in order of document and lo
+        new = np.ones(len(doc), bool)
+        new[1:] = (lo[1:] > hi[:-1]) | (doc[1:] != doc[:-1])
+        heads = np.flatnonzero(new)
+        edges = np.zeros(len(data) + 1, np.int8)
+        edges[lo[heads]] = 1
+        edges[hi[np.append(heads[1:], len(doc)) - 1] if len(doc) else heads] -= 1
+        gone = np.cumsum(edges[:-1], dtype=np.int8).astype(bool)
+        kept = data[~gone]
+        ends = np.concatenate(([0], np.cumsum(~gone)))[offsets]
+        sizes = np.diff(offsets)
+        some = [kept[x:y].tobytes() for x, y in zip(ends[:-1].tolist(), ends[1:].tolist())]
+        cols = [pa.array(owner, pa.int64(), mask=owner == _LAST), sizes, sizes - np.diff(ends),
+                np.bincount(doc[heads], minlength=len(keys)),
+                [hashlib.sha256(x).hexdigest() for x in some]] + [some] * with_text
         return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)],
                                     schema=schema)
     return run, ddl

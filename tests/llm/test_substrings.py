@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from recspark.llm import substrings
@@ -91,3 +92,38 @@ def test_rows_of_documents_with_one_key():
                               key=[5, 5, 5, 5, 8], lo=[0, 9, 0, 1, 3], n=[1] * 5)
     a, b = substrings._of_documents(rows, np.array([8, 5, 5, 5, 6]), np.array([4, 2, 1, 3, 4]))
     assert [list(range(x, y)) for x, y in zip(a, b)] == [[4], [2], [0, 1], [], []]
+
+
+def _shard_rows(texts):
+    """Segments of one anchor, one of each text, as the batch of a shard bucket."""
+    import zstandard
+    n = len(texts)
+    rows = substrings.Rows.of(anchor=[7] * n, kind=[0] * n, owner=range(n), key=range(n),
+                              lo=[100] * n, n=[len(t) - 49 for t in texts])
+    schema = substrings._arrow(substrings._SHARDS)
+    values = [3, *[substrings.packed(rows[k]) for k in substrings._COLUMNS],
+              zstandard.ZstdCompressor().compress(b"".join(texts))]
+    return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)],
+                                      schema=schema)
+
+
+def test_only_contested_windows_are_sorted(monkeypatch):
+    """Segments that share an anchor and no window don't reach the suffix arrays."""
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 123, 30, np.uint8)) + b"the same anchor " + bytes(
+        rng.integers(97, 123, 30, np.uint8)) for _ in range(300)]
+    sorted_bytes, whole = [], substrings.repeated_windows
+
+    def sort(data, *rest):
+        sorted_bytes.append(len(data))
+        return whole(data, *rest)
+
+    monkeypatch.setattr(substrings, "repeated_windows", sort)
+    run = substrings._shard_task(50, 1 << 20, 4)
+    assert not [r for b in run(iter([_shard_rows(texts)])) for r in range(b.num_rows)]
+    assert sum(sorted_bytes) == 0
+    texts[200] = texts[10][:60] + texts[200][60:]   # 11 windows of 27 recur
+    found = [substrings._unpack(b, r) for b in run(iter([_shard_rows(texts)]))
+             for r in range(b.num_rows)]
+    assert [[int(r[k][0]) for k in ("owner", "lo", "n")] for r in found] == [[200, 100, 11]]
+    assert sum(sorted_bytes) == 2 * 60
