@@ -88,7 +88,8 @@ def many(spark, tmp_path_factory):
     return root
 
 
-@pytest.mark.parametrize("name", ["signal_chunks", "load_replace", "signal_norm"])
+@pytest.mark.parametrize("name", ["signal_chunks", "load_replace", "signal_norm",
+                                  "binary_roundtrip"])
 def test_recordings_are_rendered_in_waves(spark, many, monkeypatch, name):
     """However many recordings there are, a bounded part of their samples is on disk, and
     the result is that of one tree of all."""
