@@ -12,9 +12,9 @@ with a smaller id goes. Strings are judged on the input and never cross texts.
    those of the smallest id are repeated as a whole. What remains to be settled
    are anchors with different segments.
 3. Shards. The bytes of those segments, one for each class, go to shards by anchor. There,
-   segments are cut to the windows whose hash other owners have, too: most segments share
-   nothing but the anchor. The suffix array of the rest of a shard is built by induced sorting (``induced``). Neighbours
-   whose common prefix reaches ``LENGTH`` bytes share a window, and windows
+   segments are cut to the windows whose hash other owners have, too: most share nothing
+   but the anchor. The suffix array of the rest is built by induced sorting (``induced``).
+   Neighbours whose common prefix reaches ``LENGTH`` bytes share a window, and windows
    with a smaller owner are repeated.
 4. Repeated ranges meet their document, where they are merged and cut.
 
